@@ -1,0 +1,107 @@
+"""Named queries: ``name -> (spark, sf_dir) -> DataFrame`` and their SQL oracle.
+
+Each entry is a thin composition of library operators over the fixture
+mapping; the matching SQL lives next to it so both stay in step.  Arrays are
+returned as comma-joined strings and doubles rounded where the driver's
+value hash needs engine-independent text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.constants import PERFORMANCE_TIERS
+from ..operators import aggregates, curate
+from . import oracle as O
+from .context import Context
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+    return deco
+
+
+# --------------------------------------------------------------------------
+# C1 / C2 / C3 curated layer
+# --------------------------------------------------------------------------
+@register("articles_dim", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, body="SELECT * FROM articles"))
+def q_articles_dim(spark, sf_dir):
+    return Context(spark, sf_dir).articles
+
+
+@register("authors_dim", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, body=f"""
+SELECT author AS name, max(section) AS section,
+       CASE {O.sql_bucket('author', 3)} WHEN 0 THEN 'senior' WHEN 1 THEN 'staff' ELSE 'contributor' END
+         AS seniority,
+       count(*) AS article_count
+FROM articles GROUP BY author"""))
+def q_authors_dim(spark, sf_dir):
+    return curate.authors_dim(Context(spark, sf_dir).articles)
+
+
+@register("typed_events", O.with_events("SELECT * FROM ev"))
+def q_typed_events(spark, sf_dir):
+    return Context(spark, sf_dir).events
+
+
+# --------------------------------------------------------------------------
+# C4 / C5 continuously refreshed aggregates (batch form)
+# --------------------------------------------------------------------------
+READER_ENGAGEMENT_SQL = """
+SELECT event_date AS day, section, publication,
+       count(DISTINCT user_pseudo_id) AS unique_readers,
+       count(*) AS page_views,
+       round(avg(engagement_time_sec), 1) AS avg_engagement_sec,
+       count_if(event_name = 'paywall_hit') AS paywall_hits,
+       count_if(event_name = 'subscribe_click') AS subscribe_clicks,
+       round(count_if(event_name = 'subscribe_click')
+             / nullif(count_if(event_name = 'paywall_hit'), 0) * 100, 1) AS conversion_rate_pct
+FROM ev GROUP BY 1, 2, 3"""
+
+
+@register("reader_engagement", O.with_events(READER_ENGAGEMENT_SQL))
+def q_reader_engagement(spark, sf_dir):
+    return aggregates.reader_engagement(Context(spark, sf_dir).events)
+
+
+def _tier_sql(expr: str, tiers, strict: bool) -> str:
+    op = ">" if strict else ">="
+    whens = " ".join(f"WHEN {expr} {op} {thr} THEN '{label}'" for label, thr in tiers)
+    return f"CASE {whens} ELSE 'LOW' END"
+
+
+ARTICLE_PERFORMANCE_SQL = f"""
+SELECT a.article_id, a.title, a.author, a.section, a.publication, a.published_at, a.paywall_type,
+       count(DISTINCT e.user_pseudo_id) AS unique_readers,
+       round(avg(e.engagement_time_sec), 1) AS avg_read_time_sec,
+       count(CASE WHEN e.scroll_pct >= 75 THEN 1 END) AS deep_reads,
+       count(CASE WHEN e.event_name = 'share' THEN 1 END) AS shares,
+       count(CASE WHEN e.event_name = 'paywall_hit' THEN 1 END) AS paywall_hits,
+       count(CASE WHEN e.event_name = 'subscribe_click' THEN 1 END) AS conversions,
+       {_tier_sql('count(DISTINCT e.user_pseudo_id)', PERFORMANCE_TIERS, False)} AS performance_tier
+FROM articles a LEFT JOIN ev e ON e.article_id = a.article_id
+GROUP BY 1, 2, 3, 4, 5, 6, 7"""
+
+
+@register("article_performance", O.with_events(ARTICLE_PERFORMANCE_SQL))
+def q_article_performance(spark, sf_dir):
+    ctx = Context(spark, sf_dir)
+    return aggregates.article_performance(ctx.articles, ctx.events)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
