@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, governance, ingest  # noqa: F401  (registers)
+from . import core, governance, ingest, streams  # noqa: F401  (registers)
 from .registry import ORACLE, QUERIES
 
 

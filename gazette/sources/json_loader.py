@@ -32,9 +32,15 @@ def load_ndjson(spark: SparkSession, paths, schema: StructType, case_insensitive
     r = spark.read
     if path_glob:
         r = r.option("pathGlobFilter", path_glob)
-    lines = r.text(paths).where(F.length(F.trim("value")) > 0)
+    return parse_lines(r.text(paths), schema, fail_fast)
+
+
+def parse_lines(lines: DataFrame, schema: StructType, fail_fast: bool = True,
+                col: str = "value") -> DataFrame:
+    """Parse a frame of JSON text lines into ``schema``, keys matched case-insensitively."""
+    lines = lines.where(F.length(F.trim(col)) > 0)
     opts = {"mode": "FAILFAST"} if fail_fast else {}
-    kv = F.transform_keys(F.from_json("value", "map<string,string>", opts), lambda k, v: F.lower(k))
+    kv = F.transform_keys(F.from_json(col, "map<string,string>", opts), lambda k, v: F.lower(k))
     parsed = lines.select(kv.alias("_kv"))
     return parsed.select(*[
         F.col("_kv")[f.name.lower()].cast(f.dataType).alias(f.name) for f in schema.fields
