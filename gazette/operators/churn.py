@@ -115,8 +115,22 @@ def gbt_pipeline(max_iter: int = 100, max_depth: int = 5, step_size: float = 0.1
 
 
 def train(split_df: DataFrame, **kw) -> PipelineModel:
+    """Fit on the ``train`` rows.
+
+    Boosting runs one Spark job per tree level; each job pays one task per
+    input partition, so the (cached) training frame is narrowed to at most
+    the cluster's task slots: fewer, fuller tasks, never fewer than the
+    cores that can run them.
+    """
     train_df = model_inputs(split_df.where(F.col("split") == "train"))
-    return gbt_pipeline(**kw).fit(train_df)
+    slots = train_df.sparkSession.sparkContext.defaultParallelism
+    if train_df.rdd.getNumPartitions() > slots:
+        train_df = train_df.coalesce(slots)
+    train_df = train_df.persist()
+    try:
+        return gbt_pipeline(**kw).fit(train_df)
+    finally:
+        train_df.unpersist()
 
 
 def score(model: PipelineModel, features: DataFrame, as_served: bool = False) -> DataFrame:

@@ -28,12 +28,12 @@ TYPED_EVENT_COLUMNS = [
 
 def article_ids(raw: DataFrame, extra_ids: list | None = None) -> DataFrame:
     """Distinct non-NULL article ids of the feed (+ optional catalogue-only ids)."""
-    ids = raw.where(F.col("article_id").isNotNull()).select("article_id").distinct()
+    ids = raw.where(F.col("article_id").isNotNull()).select("article_id")
     if extra_ids:
-        spark = raw.sparkSession
-        extra = spark.createDataFrame([(int(i),) for i in extra_ids], "article_id long")
-        ids = ids.unionByName(extra).distinct()
-    return ids
+        extra = raw.sparkSession.range(1).select(
+            F.explode(F.array(*[F.lit(int(i)).cast("long") for i in extra_ids])).alias("article_id"))
+        ids = ids.unionByName(extra)
+    return ids.distinct()
 
 
 def article_attributes(ids: DataFrame, as_of: str) -> DataFrame:

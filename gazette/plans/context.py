@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import testdata as td
 from ..operators import curate
+from ..session import materialize
 
 
 class Context:
@@ -29,7 +30,9 @@ class Context:
 
     @cached_property
     def articles(self) -> DataFrame:
-        return curate.articles_dim(self.raw, td.ARTICLE_AS_OF_TS, td.UNREAD_ARTICLE_IDS)
+        """C1, materialized in the shared folder like the reference's CTAS."""
+        return materialize(curate.articles_dim(self.raw, td.ARTICLE_AS_OF_TS, td.UNREAD_ARTICLE_IDS),
+                           "curated-articles")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -104,3 +104,21 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def materialize(df, name: str, partition_by: list | None = None):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Used for dimensions derived from facts (CREATE TABLE AS SELECT): the
+    lineage is cut and the planner gets real file sizes, so a small table is
+    broadcast at planning time (size checked against
+    ``spark.sql.autoBroadcastJoinThreshold``) instead of after the large side
+    has already been shuffled; a large one stays a sort-merge join.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)

@@ -142,7 +142,10 @@ def stage_typed_events(events: DataFrame, spark: SparkSession, files: int = 6,
     file_no = F.least(F.floor((day - 1) / 5), F.lit(files - 1))
     if late_every:
         file_no = F.when(F.pmod(F.col("event_id"), F.lit(late_every)) == 0, F.lit(files - 1)).otherwise(file_no)
-    tagged = events.withColumn("_file", file_no)
-    for k in range(files):
-        tagged.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(path)
+    tagged = events.withColumn("_file", file_no).persist()
+    try:
+        for k in range(files):
+            tagged.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(path)
+    finally:
+        tagged.unpersist()
     return path
