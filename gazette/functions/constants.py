@@ -47,6 +47,7 @@ SENIORITY = ["senior", "staff", "contributor"]  # hash % 3: 0, 1, else
 
 # Masking policies.
 PRIVILEGED_ROLES = ["ARCTIC_TIMES_ADMIN", "ACCOUNTADMIN"]
+ANALYST_ROLE = "ARCTIC_TIMES_ANALYST"
 NAME_MASK = "*** MASKED ***"
 EMAIL_MASK = "****@"
 PHONE_MASK_PREFIX = "+33 **** ** "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.constants import ANALYST_ROLE, PRIVILEGED_ROLES
 from ..operators import aggregates, masking, metrics
 from . import oracle as O
 from .context import Context
@@ -26,14 +27,14 @@ FROM subscribers""")
 
 @register("masked_admin", _CLEAR_SQL)
 def q_masked_admin(spark, sf_dir):
-    """C16 as ARCTIC_TIMES_ADMIN: clear values."""
-    return _masked(spark, sf_dir, "ARCTIC_TIMES_ADMIN")
+    """C16 as the admin role: clear values."""
+    return _masked(spark, sf_dir, PRIVILEGED_ROLES[0])
 
 
 @register("masked_analyst", _MASKED_SQL)
 def q_masked_analyst(spark, sf_dir):
-    """C16 as ARCTIC_TIMES_ANALYST: email, name and phone masked."""
-    return _masked(spark, sf_dir, "ARCTIC_TIMES_ANALYST")
+    """C16 as the analyst role: email, name and phone masked."""
+    return _masked(spark, sf_dir, ANALYST_ROLE)
 
 
 @register("masked_sysadmin", _MASKED_SQL)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.buckets import sql_pick
+from ..functions.constants import PUBLICATIONS, SECTIONS
 from ..operators import cdc
 from ..session import scratch_path
 from ..sources import staging
@@ -26,13 +28,11 @@ CDC_KEY, CDC_ORDER = ["article_id"], ["change_ts", "change_seq"]
 CDC_COLUMNS = ["article_id", "title", "section", "publication", "published_at", "word_count",
                "change_ts", "change_seq"]
 
-CHANGE_FEED_CTE = """
+CHANGE_FEED_CTE = f"""
 feed AS (
   SELECT o_custkey AS article_id, 'Article ' || CAST(o_orderkey AS VARCHAR) AS title,
-         (['Politique', 'International', 'Economie', 'Culture', 'Sciences', 'Sport', 'Planete',
-           'Opinions', 'Societe'])[o_orderkey % 9 + 1] AS section,
-         (['Arctic Times', 'Courrier Polaire', 'Telerama Nord', 'La Vie Glaciale',
-           'Arctic Times Diplomatique'])[o_orderkey % 5 + 1] AS publication,
+         {sql_pick(SECTIONS, 'o_orderkey % 9')} AS section,
+         {sql_pick(PUBLICATIONS, 'o_orderkey % 5')} AS publication,
          o_orderdate AS published_at, 300 + CAST(floor(o_totalprice) AS BIGINT) % 2200 AS word_count,
          CASE o_orderstatus WHEN 'P' THEN 'I' WHEN 'O' THEN 'U' ELSE 'D' END AS op,
          o_orderdate AS change_ts, o_orderkey AS change_seq

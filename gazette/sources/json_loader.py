@@ -76,19 +76,43 @@ def record_files(files: DataFrame, ledger_path: str) -> None:
     files.select("_source_file").distinct().write.mode("append").parquet(ledger_path)
 
 
+def pending_files(spark: SparkSession, paths, ledger_path: str) -> list[str]:
+    """Files under ``paths`` not yet in the ledger (a file listing, not a data scan)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        it = fs.listFiles(hp, True)
+        while it.hasNext():
+            st = it.next()
+            name = st.getPath().getName()
+            if not name.startswith(("_", ".")):
+                found.append(st.getPath().toString())
+    if not found:
+        return []
+    listing = spark.createDataFrame([(f,) for f in found], "_source_file string")
+    return sorted(r[0] for r in new_files(spark, listing, ledger_path).collect())
+
+
 def load_once(spark: SparkSession, paths, schema: StructType, ledger_path: str,
-              case_insensitive: bool = True) -> DataFrame:
+              case_insensitive: bool = True) -> tuple[DataFrame, list[str]]:
     """Directory-scoped idempotent load: only files absent from the ledger.
 
-    Returns the rows of the new files; the ledger is updated after the rows
-    have been materialised by the caller via :func:`record_files`.
+    Returns ``(rows, files)``; once the rows are written, the caller records
+    the files with :func:`record_file_list` so a re-run skips them.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    probe = spark.read.text(paths).select(F.col("_metadata.file_path").alias("_source_file")).distinct()
-    fresh = [r["_source_file"] for r in new_files(spark, probe, ledger_path).collect()]
+    fresh = pending_files(spark, paths, ledger_path)
     if not fresh:
-        return spark.createDataFrame([], schema)
-    return load_ndjson(spark, fresh, schema, case_insensitive)
+        return spark.createDataFrame([], schema), []
+    return load_ndjson(spark, fresh, schema, case_insensitive), fresh
+
+
+def record_file_list(spark: SparkSession, files: list[str], ledger_path: str) -> None:
+    if files:
+        record_files(spark.createDataFrame([(f,) for f in files], "_source_file string"), ledger_path)
 
 
 def infer_schema(spark: SparkSession, paths, sampling_ratio: float = 1.0) -> StructType:

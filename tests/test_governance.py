@@ -1,6 +1,7 @@
 import pytest
 
 from conftest import SMOKE, rows
+from gazette.functions.constants import ANALYST_ROLE
 from gazette.operators import masking, metrics
 from gazette.operators.aggregates import article_performance, reader_engagement
 from gazette.plans.context import Context
@@ -15,7 +16,7 @@ def subs(spark):
 
 
 def test_analyst_masks(spark):
-    got = rows(masking.secured(subs(spark), masking.SUBSCRIBER_POLICIES, "ARCTIC_TIMES_ANALYST"))
+    got = rows(masking.secured(subs(spark), masking.SUBSCRIBER_POLICIES, ANALYST_ROLE))
     assert got == [(1, "*** MASKED ***", "****@example.com", "+33 **** ** 44"),
                    (2, "*** MASKED ***", "no-at-sign", None),
                    (3, "*** MASKED ***", None, "+33 **** ** 7")]

@@ -80,3 +80,13 @@ def test_variant_unwrap_and_flatten(spark):
     assert proj == [("u1", "FR", "Lyon"), ("u3", "FR", None)]
     assert rows(nested.params_exploded(v)) == [("u1", "article_section", "Sport")]
     assert len(nested.params_exploded(v, key=None).collect()) == 2
+
+
+def test_ledger_makes_reload_a_noop(spark):
+    d = write_lines([{"event_name": "a", "n": 1}, {"event_name": "b", "n": 2}])
+    ledger = tempfile.mkdtemp(prefix="gz-ledger-") + "/ledger"
+    rows1, files1 = json_loader.load_once(spark, d, SCHEMA, ledger)
+    assert rows1.count() == 2 and len(files1) == 1
+    json_loader.record_file_list(spark, files1, ledger)
+    rows2, files2 = json_loader.load_once(spark, d, SCHEMA, ledger)
+    assert files2 == [] and rows2.count() == 0
