@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sql_functions import register_sql_functions
 from ..operators import churn
 from ..sources import testdata as td
 from . import oracle as O
@@ -127,6 +128,30 @@ def q_at_risk_topn(spark, sf_dir):
         "user_id", "subscription_type", "ltv_estimated_eur", "churn_probability", "risk_segment")
 
 
+@register("churn_udtf_sql", _with(SCORES_CTE, body="""
+SELECT s.user_id, s.subscription_type, s.ltv_estimated_eur, round(c.raw_score, 4) AS churn_probability,
+       'HIGH' AS risk_segment
+FROM subscribers s JOIN scores c ON s.user_id = c.user_id
+WHERE c.raw_score > 0.7
+ORDER BY s.ltv_estimated_eur DESC, s.user_id ASC LIMIT 10"""))
+def q_churn_udtf_sql(spark, sf_dir):
+    """SQL with a LATERAL table-function call per subscriber (rule scorer)."""
+    register_sql_functions(spark)
+    Context(spark, sf_dir).subscribers.createOrReplaceTempView("subscribers")
+    return spark.sql(f"""
+SELECT s.user_id, s.subscription_type, s.ltv_estimated_eur, c.churn_probability, c.risk_segment
+FROM subscribers s,
+     LATERAL predict_churn_rule(
+         datediff(DATE'{AS_OF}', to_date(s.last_login)),
+         s.articles_read_30d,
+         (year(DATE'{AS_OF}') * 12 + month(DATE'{AS_OF}')) - (year(s.start_date) * 12 + month(s.start_date)),
+         CAST(s.avg_session_sec AS DOUBLE),
+         s.paywall_bounces_30d) c
+WHERE c.risk_segment = 'HIGH'
+ORDER BY s.ltv_estimated_eur DESC, s.user_id ASC
+LIMIT 10""")
+
+
 _MODELS: dict = {}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.constants import ANALYST_ROLE, PRIVILEGED_ROLES
+from ..functions.sql_functions import register_sql_functions
 from ..operators import aggregates, masking, metrics
 from . import oracle as O
 from .context import Context
@@ -91,3 +92,15 @@ FROM perf GROUP BY publication, author"""))
 def q_metric_by_synonyms(spark, sf_dir):
     """C18 with synonyms: 'lecteurs', 'partages', 'abonnements' by 'journal' x 'auteur'."""
     return _model(spark, sf_dir).query(["lecteurs", "partages", "abonnements"], ["journal", "auteur"])
+
+
+@register("masked_sql", _MASKED_SQL)
+def q_masked_sql(spark, sf_dir):
+    """G1-G3 through the SQL masking functions, role given explicitly."""
+    register_sql_functions(spark)
+    Context(spark, sf_dir).subscribers.createOrReplaceTempView("subscribers")
+    return spark.sql(f"""
+SELECT user_id, mask_name(full_name, '{ANALYST_ROLE}') AS full_name,
+       mask_email(email, '{ANALYST_ROLE}') AS email, mask_phone(phone, '{ANALYST_ROLE}') AS phone,
+       subscription_type, ltv_estimated_eur
+FROM subscribers""")
