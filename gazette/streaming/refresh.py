@@ -111,6 +111,23 @@ class PerformanceRefresh:
         arts = self.articles.where(F.col("_bucket").isin(buckets)).drop("_bucket")
         _overwrite(self._compute(events, arts), self.out_path, "_bucket")
 
+    def apply_dimension_change(self, spark: SparkSession, changed: DataFrame) -> None:
+        """A CMS edit of article rows: swap them into the dimension and
+        recompute only the buckets of the changed ids (from RAW)."""
+        changed = changed.select(*[c for c in self.articles.columns if c != "_bucket"]) \
+            .withColumn("_bucket", article_bucket())
+        keep = self.articles.join(changed.select("article_id"), "article_id", "left_anti")
+        self.articles = keep.unionByName(changed)
+        buckets = [r[0] for r in changed.select("_bucket").distinct().collect()]
+        if not buckets:
+            return
+        try:
+            events = self.raw.read(spark).where(article_bucket().isin(buckets))
+        except Exception:  # nothing ingested yet
+            events = self.raw_schema_empty(spark)
+        arts = self.articles.where(F.col("_bucket").isin(buckets)).drop("_bucket")
+        _overwrite(self._compute(events, arts), self.out_path, "_bucket")
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.out_path).drop("_bucket")
 
