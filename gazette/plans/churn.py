@@ -65,7 +65,7 @@ def q_churn_rule_score(spark, sf_dir):
 
 
 @register("engagement_segment", _with(SCORES_CTE, body="""
-SELECT engagement_segment, count(*) AS subscribers, sum(churned) AS churned
+SELECT engagement_segment, count(*) AS subscribers, CAST(sum(churned) AS BIGINT) AS churned
 FROM scores GROUP BY 1"""))
 def q_engagement_segment(spark, sf_dir):
     """Ordered segment rules, subscribers and churners per segment."""

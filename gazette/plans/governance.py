@@ -65,10 +65,10 @@ ARTICLE_METRICS = ["total_unique_readers", "avg_reading_time", "total_deep_reads
 
 
 @register("metric_by_section", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, _perf_sql(), body="""
-SELECT section, sum(unique_readers) AS total_unique_readers,
-       round(avg(avg_read_time_sec), 6) AS avg_reading_time, sum(deep_reads) AS total_deep_reads,
-       sum(shares) AS total_shares, sum(conversions) AS total_conversions,
-       sum(paywall_hits) AS total_paywall_hits, count(article_id) AS article_count
+SELECT section, CAST(sum(unique_readers) AS BIGINT) AS total_unique_readers,
+       round(avg(avg_read_time_sec), 6) AS avg_reading_time, CAST(sum(deep_reads) AS BIGINT) AS total_deep_reads,
+       CAST(sum(shares) AS BIGINT) AS total_shares, CAST(sum(conversions) AS BIGINT) AS total_conversions,
+       CAST(sum(paywall_hits) AS BIGINT) AS total_paywall_hits, count(article_id) AS article_count
 FROM perf GROUP BY section"""))
 def q_metric_by_section(spark, sf_dir):
     """All article metrics by section."""
@@ -77,7 +77,7 @@ def q_metric_by_section(spark, sf_dir):
 
 
 @register("metric_by_day", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, _eng_sql(), body="""
-SELECT day, sum(page_views) AS total_page_views, round(avg(avg_engagement_sec), 6) AS avg_engagement
+SELECT day, CAST(sum(page_views) AS BIGINT) AS total_page_views, round(avg(avg_engagement_sec), 6) AS avg_engagement
 FROM eng GROUP BY day"""))
 def q_metric_by_day(spark, sf_dir):
     """Engagement metrics by day."""
@@ -86,8 +86,8 @@ def q_metric_by_day(spark, sf_dir):
 
 
 @register("metric_by_synonyms", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, _perf_sql(), body="""
-SELECT publication, author, sum(unique_readers) AS total_unique_readers, sum(shares) AS total_shares,
-       sum(conversions) AS total_conversions
+SELECT publication, author, CAST(sum(unique_readers) AS BIGINT) AS total_unique_readers, CAST(sum(shares) AS BIGINT) AS total_shares,
+       CAST(sum(conversions) AS BIGINT) AS total_conversions
 FROM perf GROUP BY publication, author"""))
 def q_metric_by_synonyms(spark, sf_dir):
     """C18 with synonyms: 'lecteurs', 'partages', 'abonnements' by 'journal' x 'auteur'."""
