@@ -72,35 +72,30 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     """M3: exact, deterministic stratified split.
 
     Rows are ordered inside each label by a 60-bit hash of ``(key, seed)``
-    (ties by key); the first ``ceil(fraction * n_label)`` are ``test``.  The
-    rank is found without sorting a whole label in one task: a histogram of
-    the hash's top ``buckets_bits`` bits per label gives cumulative counts
-    (small: at most 2^bits rows per label), only rows of the single boundary
-    bucket of each label are ranked exactly.
+    (ties by key); the first ``ceil(fraction * n_label)`` are ``test``.
+
+    No task sorts a whole label: the hash's top ``buckets_bits`` bits form
+    order-preserving buckets; a per-label histogram of bucket counts (at most
+    2^bits rows per label) yields, by a running sum, how many rows precede
+    each bucket; each row's exact rank is that offset plus its rank inside
+    its own bucket.  Buckets are uniform hash ranges, so that last window
+    has small, even partitions whatever the label balance.
     """
     h = hash60(F.col(key), f"seed{seed}")
-    shift = 60 - buckets_bits
-    rows = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), shift))
-    hist = rows.groupBy(label, "_b").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(label).orderBy("_b")
-    lw = Window.partitionBy(label)
+    rows = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 60 - buckets_bits))
     frac = Fraction(test_fraction).limit_denominator(1_000_000)
-    hist = (hist.withColumn("_cum", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_tot", F.sum("_n").over(lw))
+    w = Window.partitionBy(label).orderBy("_b")
+    hist = (rows.groupBy(label, "_b").agg(F.count("*").alias("_n"))
+            .withColumn("_before", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_tot", F.sum("_n").over(Window.partitionBy(label)))
             # ceil(n * p / q) in exact integer arithmetic
             .withColumn("_k", F.expr(f"(_tot * {frac.numerator} + {frac.denominator - 1}) div {frac.denominator}"))
-            .withColumn("_before", F.col("_cum") - F.col("_n"))
-            .select(label, "_b", "_before", "_cum", "_k"))
-    j = rows.join(hist, [label, "_b"], "inner")
-    inner = Window.partitionBy(label, "_b").orderBy("_h", key)
-    boundary = (F.col("_before") < F.col("_k")) & (F.col("_cum") > F.col("_k"))
-    full = j.where(~boundary).withColumn(
-        "split", F.when(F.col("_cum") <= F.col("_k"), "test").otherwise("train"))
-    part = (j.where(boundary)
-            .withColumn("_r", F.row_number().over(inner))
-            .withColumn("split", F.when(F.col("_before") + F.col("_r") <= F.col("_k"), "test")
-                        .otherwise("train")).drop("_r"))
-    return full.unionByName(part).drop("_h", "_b", "_before", "_cum", "_k")
+            .select(label, "_b", F.coalesce("_before", F.lit(0).cast("long")).alias("_before"), "_k"))
+    ranked = rows.join(hist, [label, "_b"], "inner").withColumn(
+        "_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)))
+    return (ranked.withColumn("split", F.when(F.col("_before") + F.col("_r") <= F.col("_k"), "test")
+                              .otherwise("train"))
+            .drop("_h", "_b", "_before", "_k", "_r"))
 
 
 def gbt_pipeline(max_iter: int = 100, max_depth: int = 5, step_size: float = 0.1,
@@ -160,27 +155,25 @@ def classification_report(pred: DataFrame, label: str = "churned", prediction: s
                           names: dict | None = None) -> DataFrame:
     """M6: precision, recall, F1 and support per class from one confusion pass."""
     names = names or {0: "Active", 1: "Churned"}
-    conf = pred.groupBy(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("p")) \
-               .agg(F.count("*").alias("n"))
-    per = conf.groupBy().agg(*[
-        agg for c in names for agg in (
-            F.sum(F.when((F.col("y") == c) & (F.col("p") == c), F.col("n")).otherwise(0)).alias(f"tp{c}"),
-            F.sum(F.when(F.col("p") == c, F.col("n")).otherwise(0)).alias(f"pp{c}"),
-            F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"s{c}"))
+    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
+    zero = F.lit(0).cast("long")
+    sums = pred.agg(*[
+        a for c in names for a in (
+            F.count_if((y == c) & (p == c)).alias(f"tp{c}"),
+            F.count_if(p == c).alias(f"pp{c}"),
+            F.count_if(y == c).alias(f"s{c}"))
     ])
-    rows = []
-    for c, nm in names.items():
-        tp, pp, s = F.col(f"tp{c}"), F.col(f"pp{c}"), F.col(f"s{c}")
-        prec = F.when(pp > 0, tp / pp).otherwise(F.lit(0.0))
-        rec = F.when(s > 0, tp / s).otherwise(F.lit(0.0))
-        f1 = F.when(prec + rec > 0, F.lit(2.0) * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-        rows.append(per.select(F.lit(nm).alias("class"), F.round(prec, 6).alias("precision"),
-                               F.round(rec, 6).alias("recall"), F.round(f1, 6).alias("f1"),
-                               s.alias("support")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    per_class = F.inline(F.array(*[
+        F.struct(F.lit(nm).alias("class"), F.coalesce(F.col(f"tp{c}"), zero).alias("tp"),
+                 F.coalesce(F.col(f"pp{c}"), zero).alias("pp"), F.coalesce(F.col(f"s{c}"), zero).alias("s"))
+        for c, nm in names.items()]))
+    t = sums.select(per_class)
+    tp, pp, s = F.col("tp"), F.col("pp"), F.col("s")
+    prec = F.when(pp > 0, tp / pp).otherwise(F.lit(0.0))
+    rec = F.when(s > 0, tp / s).otherwise(F.lit(0.0))
+    f1 = F.when(prec + rec > 0, F.lit(2.0) * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
+    return t.select("class", F.round(prec, 6).alias("precision"), F.round(rec, 6).alias("recall"),
+                    F.round(f1, 6).alias("f1"), s.alias("support"))
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:

@@ -72,7 +72,7 @@ class SemanticModel:
         return obj
 
     def query(self, metrics: list, dimensions: list | None = None,
-              where: Column | None = None, order_by_dims: bool = True) -> DataFrame:
+              where: Column | None = None, order_by_dims: bool = False) -> DataFrame:
         ms = [self.resolve(m) for m in metrics]
         ds = [self.resolve(d) for d in (dimensions or [])]
         for o in ms:

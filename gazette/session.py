@@ -122,3 +122,34 @@ def materialize(df, name: str, partition_by: list | None = None):
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (a listing, no data read)."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return total
+
+
+def tune_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 128 << 20,
+                            max_partitions: int = 100_000, only_if_default: bool = True) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input volume.
+
+    About one partition per ``target_bytes`` of input (shuffled data is
+    usually smaller, and AQE coalesces further), never fewer than the task
+    slots.  With ``only_if_default`` an explicit user setting is kept.
+    """
+    current = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    if only_if_default and current != "200":
+        return int(current)
+    slots = spark.sparkContext.defaultParallelism
+    n = max(slots, min(max_partitions, -(-input_bytes(spark, paths) // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
