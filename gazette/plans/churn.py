@@ -74,6 +74,16 @@ def q_engagement_segment(spark, sf_dir):
             .agg(F.count("*").alias("subscribers"), F.sum("churned").cast("long").alias("churned")))
 
 
+@register("churn_base_rate", _with(body="""
+SELECT count(*) AS subscribers, CAST(sum(churned) AS BIGINT) AS churned, round(avg(churned), 6) AS churn_rate
+FROM features"""))
+def q_churn_base_rate(spark, sf_dir):
+    """Label base rate of the training frame."""
+    return _features(spark, sf_dir).agg(F.count("*").alias("subscribers"),
+                                        F.sum("churned").cast("long").alias("churned"),
+                                        F.round(F.avg("churned"), 6).alias("churn_rate"))
+
+
 @register("stratified_split", _with("""
 hashed AS (
   SELECT user_id, churned,

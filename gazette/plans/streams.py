@@ -110,6 +110,16 @@ def q_performance_stream(spark, sf_dir):
     return h.read(spark)
 
 
+@register("performance_incremental", O.with_events(ARTICLE_PERFORMANCE_SQL))
+def q_performance_incremental(spark, sf_dir):
+    """T4, additive form: per-article totals + first-seen reader pairs."""
+    ctx, stream = _typed_stream(spark, sf_dir)
+    h = refresh.PerformanceIncremental(scratch_path(spark, "article-performance-inc"), ctx.articles)
+    h.publish(spark)
+    refresh.run_available_now(stream, h, scratch_path(spark, "performance-inc-ckpt"))
+    return h.read(spark)
+
+
 @register("file_ingest_dedup", RAW_EVOLVED_SQL)
 def q_file_ingest_dedup(spark, sf_dir):
     """File-arrival ingest with schema evolution, run twice (replay adds nothing)."""

@@ -48,3 +48,17 @@ def test_hot_user_sessions_match_window_form(spark):
     hot = Context(spark, SMOKE).events.withColumn(
         "user_pseudo_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(7)).otherwise(F.col("user_pseudo_id")))
     assert rows(S.sessions(hot, 30, method="buckets")) == rows(S.sessions(hot, 30, method="window"))
+
+
+def test_incremental_performance_replay_and_late(spark):
+    ctx = Context(spark, SMOKE)
+    ev = ctx.events
+    h = refresh.PerformanceIncremental(scratch_path(spark, "t-inc"), ctx.articles)
+    h.publish(spark)
+    assert h.read(spark).count() == ctx.articles.count()        # initialized: every article, zero stats
+    h(ev.where(F.pmod("event_id", F.lit(4)) != 0), 0)
+    h(ev.where(F.pmod("event_id", F.lit(4)) == 0), 1)            # late events of all days
+    h(ev.where(F.pmod("event_id", F.lit(4)) == 0), 1)            # replayed batch id
+    h(ev.where(F.pmod("event_id", F.lit(8)) == 0), 2)            # duplicate readers only: no new pairs
+    want = aggregates.article_performance(ctx.articles, ev.unionByName(ev.where(F.pmod("event_id", F.lit(8)) == 0)))
+    assert rows(h.read(spark)) == rows(want)
