@@ -109,19 +109,22 @@ def gbt_pipeline(max_iter: int = 100, max_depth: int = 5, step_size: float = 0.1
     ])
 
 
-def train(split_df: DataFrame, **kw) -> PipelineModel:
+def train(split_df: DataFrame, rows_per_partition: int = 50_000, **kw) -> PipelineModel:
     """Fit on the ``train`` rows.
 
-    Boosting runs one Spark job per tree level; each job pays one task per
-    input partition, so the (cached) training frame is narrowed to at most
-    the cluster's task slots: fewer, fuller tasks, never fewer than the
-    cores that can run them.
+    Boosting runs one Spark job per tree level and each job pays one task
+    per input partition, so the cached training frame is narrowed to about
+    one partition per ``rows_per_partition`` rows, capped by the task
+    slots (large inputs keep full parallelism).
     """
-    train_df = model_inputs(split_df.where(F.col("split") == "train"))
+    train_df = model_inputs(split_df.where(F.col("split") == "train")).persist()
     slots = train_df.sparkSession.sparkContext.defaultParallelism
-    if train_df.rdd.getNumPartitions() > slots:
-        train_df = train_df.coalesce(slots)
-    train_df = train_df.persist()
+    want = max(1, min(slots, -(-train_df.count() // rows_per_partition)))
+    if train_df.rdd.getNumPartitions() > want:
+        narrowed = train_df.coalesce(want).persist()
+        narrowed.count()
+        train_df.unpersist()
+        train_df = narrowed
     try:
         return gbt_pipeline(**kw).fit(train_df)
     finally:

@@ -153,3 +153,19 @@ def tune_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 128
     n = max(slots, min(max_partitions, -(-input_bytes(spark, paths) // target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+def rebalance_small_scan(df, path: str, min_bytes: int = 1 << 20):
+    """Spread an under-partitioned scan over the task slots.
+
+    A few large unsplittable inputs (single-row-group Parquet, gzip JSON)
+    give fewer scan tasks than cores; a round-robin repartition then lets
+    the per-row work (parsing, projection, partial aggregation) run in
+    parallel.  On a cluster input of many files the scan already has more
+    partitions than slots and this is a no-op.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots or input_bytes(spark, path) < min_bytes:
+        return df
+    return df.repartition(slots)
