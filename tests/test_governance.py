@@ -54,3 +54,12 @@ def test_metric_totals_consistent(model):
     s = by_sec.groupBy().sum("article_count", "total_unique_readers").first()
     t = total.first()
     assert (s[0], s[1]) == (t.article_count, t.total_unique_readers)
+
+
+def test_secured_view_same_query_role_dependent(spark):
+    df = subs(spark)
+    masking.create_secured_view(df, "subscribers_admin", masking.SUBSCRIBER_POLICIES, "ACCOUNTADMIN")
+    masking.create_secured_view(df, "subscribers_analyst", masking.SUBSCRIBER_POLICIES, ANALYST_ROLE)
+    q = "SELECT user_id, email FROM {} WHERE user_id = 1"
+    assert spark.sql(q.format("subscribers_admin")).first().email == "a.b@c@example.com"
+    assert spark.sql(q.format("subscribers_analyst")).first().email == "****@example.com"
