@@ -45,45 +45,75 @@ def merge_changes(snapshot: DataFrame | None, batch: DataFrame, key: list, order
 
 
 class SnapshotStore:
-    """Versioned snapshot directories under the shared checkpoint folder.
-
-    Each batch writes ``v=<batch_id>`` in full and then a commit marker; the
-    current version is the highest committed one.  A replayed batch id
-    rewrites its own version from the previous one, so the result is the same.
+    """Current state (tombstones kept) as a Parquet table partitioned by key bucket.
+
+    Copy-on-write per bucket: a batch reads only the buckets its keys fall
+    in, merges them with the batch (latest per key) into a staging folder,
+    then swaps those bucket partitions in with dynamic partition overwrite.
+    Work per batch is O(batch + touched buckets), not O(state); size
+    ``buckets`` so one bucket is a few hundred MB at the expected state size.
+
+    Crash and replay safe: merging is idempotent (taking the latest of rows
+    that already include the batch changes nothing), so re-running a batch
+    after a partial swap converges to the same state.  A commit marker per
+    batch id records completion.
     """
 
-    def __init__(self, spark, root: str | None = None, name: str = "cdc"):
+    def __init__(self, spark, root: str | None = None, name: str = "cdc", buckets: int = 64):
         self.spark = spark
-        self.root = root or f"{checkpoint_root(spark)}/{name}"
+        self.root = (root or f"{checkpoint_root(spark)}/{name}").rstrip("/")
+        self.buckets = buckets
+        self.state_path = f"{self.root}/state"
 
-    def _committed(self) -> list[int]:
+    def _fs(self, path):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _committed(self) -> list[int]:
+        p, fs = self._fs(f"{self.root}/_commits")
+        if not fs.exists(p):
             return []
-        return sorted(int(st.getPath().getName()) for st in fs.listStatus(path))
+        return sorted(int(st.getPath().getName()) for st in fs.listStatus(p))
 
     def _mark(self, batch_id: int) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{batch_id}")
-        fs = path.getFileSystem(conf)
-        fs.create(path, True).close()
+        p, fs = self._fs(f"{self.root}/_commits/{batch_id}")
+        fs.create(p, True).close()
+
+    def _bucket(self, key: list):
+        return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(self.buckets))
 
     def latest(self) -> DataFrame | None:
-        done = self._committed()
-        if not done:
+        if not self._committed():
             return None
-        return self.spark.read.parquet(f"{self.root}/v={done[-1]}")
+        return self.spark.read.parquet(self.state_path).drop("_bucket")
 
     def apply(self, batch: DataFrame, batch_id: int, key: list, order: list) -> None:
-        prev = [b for b in self._committed() if b < batch_id]
-        snap = self.spark.read.parquet(f"{self.root}/v={prev[-1]}") if prev else None
-        merged = merge_changes(snap, batch, key, order)
-        merged.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
-        self._mark(batch_id)
+        batch = batch.withColumn("_bucket", self._bucket(key)).persist()
+        try:
+            touched = [r[0] for r in batch.select("_bucket").distinct().collect()]
+            if not touched:
+                self._mark(batch_id)
+                return
+            combined = batch
+            path, fs = self._fs(self.state_path)
+            if fs.exists(path):
+                state = self.spark.read.parquet(self.state_path).where(F.col("_bucket").isin(touched))
+                combined = state.unionByName(batch)
+            merged = latest_per_key(combined, key, order)
+            staging = f"{self.root}/staging"
+            merged.write.mode("overwrite").partitionBy("_bucket").parquet(staging)
+            (self.spark.read.parquet(staging).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.state_path))
+            self._mark(batch_id)
+        finally:
+            batch.unpersist()
+
+
+def buckets_for(state_bytes: int, target_bytes: int = 256 << 20, minimum: int = 4,
+                maximum: int = 65_536) -> int:
+    """Bucket count keeping one state bucket near ``target_bytes``."""
+    return max(minimum, min(maximum, -(-state_bytes // target_bytes)))
 
 
 def latest_topn(state: DataFrame, by: str, n: int, tiebreak: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.buckets import sql_pick
 from ..functions.constants import PUBLICATIONS, SECTIONS
 from ..operators import cdc
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path
 from ..sources import staging
 from ..sources.schemas import TRACKING_SCHEMA
 from ..streaming import native, refresh
@@ -59,7 +59,9 @@ def q_cdc_current_state(spark, sf_dir):
 def _cdc_stream(spark, sf_dir):
     landing = staging.stage_change_feed(spark, sf_dir)
     schema = Context(spark, sf_dir).change_feed.schema
-    store = cdc.SnapshotStore(spark, scratch_path(spark, "cdc-snapshot"))
+    # state is at most the size of the change log; size buckets from it
+    nb = cdc.buckets_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/orders.parquet"))
+    store = cdc.SnapshotStore(spark, scratch_path(spark, "cdc-snapshot"), buckets=nb)
     handler = st_ingest.apply_change_stream(spark, landing, schema, store, CDC_KEY, CDC_ORDER,
                                             scratch_path(spark, "cdc-ckpt"))
     return handler.current().select(*CDC_COLUMNS)

@@ -62,3 +62,22 @@ def test_gbt_learns_rule_label(spark):
     assert set(r.risk_segment for r in scored.select("risk_segment").distinct().collect()) <= {"HIGH", "MEDIUM", "LOW"}
     fi = churn.feature_importance(model).collect()
     assert len(fi) == 6 and abs(sum(r.importance for r in fi) - 1.0) < 1e-6
+
+
+def test_snapshot_rewrites_only_touched_buckets(spark):
+    import glob
+    import os
+
+    root = tempfile.mkdtemp(prefix="gz-cdc-b-")
+    store = cdc.SnapshotStore(spark, root, buckets=8)
+    key, order = ["article_id"], ["change_ts", "change_seq"]
+    b0 = spark.createDataFrame([(i, f"v{i}", "I", t("2024-01-01 00:00:00"), i) for i in range(40)], CH)
+    store.apply(b0, 0, key, order)
+    before = {d: sorted(os.listdir(d)) for d in glob.glob(f"{root}/state/_bucket=*")}
+    b1 = spark.createDataFrame([(1, "v1-new", "U", t("2024-01-02 00:00:00"), 100)], CH)
+    store.apply(b1, 1, key, order)
+    after = {d: sorted(os.listdir(d)) for d in glob.glob(f"{root}/state/_bucket=*")}
+    changed = [d for d in before if before[d] != after.get(d)]
+    assert len(changed) == 1
+    cur = store.latest().where(F.col("op") != "D")
+    assert cur.count() == 40 and cur.where("article_id = 1").first().title == "v1-new"
