@@ -101,8 +101,9 @@ class SnapshotStore:
                 state = self.spark.read.parquet(self.state_path).where(F.col("_bucket").isin(touched))
                 combined = state.unionByName(batch)
             merged = latest_per_key(combined, key, order)
-            staging = f"{self.root}/staging"
-            merged.write.mode("overwrite").partitionBy("_bucket").parquet(staging)
+            staging = f"{self.root}/staging/batch={batch_id}"
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("_bucket").parquet(staging))
             (self.spark.read.parquet(staging).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.state_path))
             self._mark(batch_id)

@@ -126,7 +126,8 @@ def refresh_all(spark: SparkSession, sf_dir: str, out_root: str | None = None) -
     events = ctx.events.cache()
     try:
         eng = aggregates.reader_engagement(events)
-        eng.write.mode("overwrite").partitionBy("day").parquet(f"{root}/reader_engagement")
+        (eng.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("day").parquet(f"{root}/reader_engagement"))
         perf = aggregates.article_performance(ctx.articles, events)
         perf.write.mode("overwrite").parquet(f"{root}/article_performance")
     finally:

@@ -25,7 +25,8 @@ def export_parquet(df: DataFrame, path: str, partition_by: str | None = "section
     of every section; ``maxRecordsPerFile`` bounds file sizes.
     """
     out = df.select(*columns) if columns else df
-    w = out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+    w = (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .option("maxRecordsPerFile", 5_000_000))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
