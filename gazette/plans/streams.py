@@ -15,6 +15,7 @@ from ..functions.constants import PUBLICATIONS, SECTIONS
 from ..operators import cdc
 from ..session import input_bytes, scratch_path
 from ..sources import staging
+from ..sources import testdata as td
 from ..sources.schemas import TRACKING_SCHEMA
 from ..streaming import native, refresh
 from ..streaming import ingest as st_ingest
@@ -56,6 +57,30 @@ def q_cdc_current_state(spark, sf_dir):
     return cdc.current_state(Context(spark, sf_dir).change_feed, CDC_KEY, CDC_ORDER).select(*CDC_COLUMNS)
 
 
+CALENDAR_SQL = """
+WITH feed AS (
+  SELECT l_partkey AS article_id, l_orderkey * 10 + l_linenumber AS entry_id,
+         CAST(l_shipdate AS DATE) AS planned_date,
+         CASE WHEN l_linestatus = 'O' THEN 'high' ELSE 'normal' END AS priority,
+         CASE l_returnflag WHEN 'N' THEN 'I' WHEN 'A' THEN 'U' ELSE 'D' END AS op,
+         l_shipdate AS change_ts, l_orderkey AS change_seq, CAST(l_linenumber AS BIGINT) AS change_sub
+  FROM lineitem
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY article_id
+                               ORDER BY change_ts DESC, change_seq DESC, change_sub DESC) AS rn
+  FROM feed
+)
+SELECT article_id, entry_id, planned_date, priority, change_ts, change_seq, change_sub
+FROM ranked WHERE rn = 1 AND op <> 'D'"""
+
+
+@register("cdc_calendar_state", CALENDAR_SQL)
+def q_cdc_calendar_state(spark, sf_dir):
+    """T2 on a second CMS table (editorial calendar), three ordering columns."""
+    feed = td.calendar_change_feed(spark, sf_dir)
+    return cdc.current_state(feed, ["article_id"], ["change_ts", "change_seq", "change_sub"])
+
+
 def _cdc_stream(spark, sf_dir):
     landing = staging.stage_change_feed(spark, sf_dir)
     schema = Context(spark, sf_dir).change_feed.schema

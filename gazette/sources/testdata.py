@@ -161,6 +161,28 @@ def article_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def calendar_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CMS ``editorial_calendar`` change rows derived from ``lineitem``.
+
+    key = article (l_partkey); order of changes = (l_shipdate, l_orderkey,
+    l_linenumber); return flag N -> insert, A -> update, R -> delete.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    rf = F.col("l_returnflag")
+    op = F.when(rf == "N", "I").when(rf == "A", "U").otherwise("D")
+    priority = F.when(F.col("l_linestatus") == "O", "high").otherwise("normal")
+    return li.select(
+        F.col("l_partkey").alias("article_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("entry_id"),
+        F.to_date("l_shipdate").alias("planned_date"),
+        priority.alias("priority"),
+        op.alias("op"),
+        F.col("l_shipdate").alias("change_ts"),
+        F.col("l_orderkey").alias("change_seq"),
+        F.col("l_linenumber").cast("long").alias("change_sub"),
+    )
+
+
 def batch1_cutoff(ev: DataFrame) -> DataFrame:
     """One-row frame with the event_id cutoff of the first staged batch."""
     return ev.agg((F.count("*") * F.lit(BATCH1_SHARE)).alias("cutoff"))

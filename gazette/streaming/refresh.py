@@ -258,6 +258,14 @@ class PerformanceIncremental:
                 new_pairs.unpersist()
         self.publish(spark)
 
+    def apply_dimension_change(self, spark, changed: DataFrame) -> None:
+        """CMS edit of article rows: swap them into the dimension and republish
+        (the totals are keyed by id, so no event history is touched)."""
+        cols = self.articles.columns
+        keep = self.articles.join(changed.select("article_id"), "article_id", "left_anti")
+        self.articles = keep.unionByName(changed.select(*cols))
+        self.publish(spark)
+
     def publish(self, spark) -> None:
         from ..functions.constants import PERFORMANCE_TIERS
         from ..functions.rules import tier as tier_expr

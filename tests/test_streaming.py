@@ -78,3 +78,16 @@ def test_daily_windows_append_mode_emits_only_final_days(spark):
     assert got and len(got) < len(want)              # the open (last) days stay in state
     assert all(want[k] == v for k, v in got.items())  # finalized windows are exact
     assert "approx_unique_readers" in out.columns
+
+
+def test_incremental_performance_dimension_change(spark):
+    ctx = Context(spark, SMOKE)
+    h = refresh.PerformanceIncremental(scratch_path(spark, "t-inc-dim"), ctx.articles)
+    h(ctx.events, 0)
+    edited = ctx.articles.orderBy("article_id").limit(2).withColumn("section", F.lit("Sciences"))
+    h.apply_dimension_change(spark, edited)
+    out = h.read(spark)
+    ids = [r.article_id for r in edited.collect()]
+    assert {r.section for r in out.where(F.col("article_id").isin(ids)).collect()} == {"Sciences"}
+    base = {r.article_id: r.unique_readers for r in aggregates.article_performance(ctx.articles, ctx.events).collect()}
+    assert {r.article_id: r.unique_readers for r in out.collect()} == base
