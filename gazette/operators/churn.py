@@ -98,37 +98,45 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
             .drop("_h", "_b", "_before", "_k", "_r"))
 
 
-def gbt_pipeline(max_iter: int = 100, max_depth: int = 5, step_size: float = 0.1,
-                 subsampling_rate: float = 0.8, seed: int = 42) -> Pipeline:
-    """M4: gradient-boosted trees on the six features."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="features"),
-        GBTClassifier(featuresCol="features", labelCol="churned", maxIter=max_iter,
-                      maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsampling_rate,
-                      seed=seed),
-    ])
+def assembler() -> VectorAssembler:
+    return VectorAssembler(inputCols=FEATURES, outputCol="features")
+
+
+def gbt(max_iter: int = 100, max_depth: int = 5, step_size: float = 0.1,
+        subsampling_rate: float = 0.8, seed: int = 42) -> GBTClassifier:
+    """M4: gradient-boosted trees, 100 trees of depth 5, lr 0.1, 0.8 subsample."""
+    return GBTClassifier(featuresCol="features", labelCol="churned", maxIter=max_iter,
+                         maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsampling_rate,
+                         seed=seed)
+
+
+def gbt_pipeline(**kw) -> Pipeline:
+    """The unfitted two-stage pipeline (assembler + trees)."""
+    return Pipeline(stages=[assembler(), gbt(**kw)])
 
 
 def train(split_df: DataFrame, rows_per_partition: int = 50_000, **kw) -> PipelineModel:
-    """Fit on the ``train`` rows.
+    """Fit on the ``train`` rows; returns ``PipelineModel([assembler, trees])``.
 
     Boosting runs one Spark job per tree level and each job pays one task
-    per input partition, so the cached training frame is narrowed to about
-    one partition per ``rows_per_partition`` rows, capped by the task
-    slots (large inputs keep full parallelism).
+    per input partition, so the assembled (vector, label) frame is cached
+    once and narrowed to about one partition per ``rows_per_partition``
+    rows, capped by the task slots (large inputs keep full parallelism).
     """
-    train_df = model_inputs(split_df.where(F.col("split") == "train")).persist()
-    slots = train_df.sparkSession.sparkContext.defaultParallelism
-    want = max(1, min(slots, -(-train_df.count() // rows_per_partition)))
-    if train_df.rdd.getNumPartitions() > want:
-        narrowed = train_df.coalesce(want).persist()
-        narrowed.count()
-        train_df.unpersist()
-        train_df = narrowed
+    asm = assembler()
+    vec = asm.transform(model_inputs(split_df.where(F.col("split") == "train"))) \
+        .select("features", "churned").persist()
     try:
-        return gbt_pipeline(**kw).fit(train_df)
+        slots = vec.sparkSession.sparkContext.defaultParallelism
+        want = max(1, min(slots, -(-vec.count() // rows_per_partition)))
+        if vec.rdd.getNumPartitions() > want:
+            narrowed = vec.coalesce(want).persist()
+            narrowed.count()
+            vec.unpersist()
+            vec = narrowed
+        return PipelineModel(stages=[asm, gbt(**kw).fit(vec)])
     finally:
-        train_df.unpersist()
+        vec.unpersist()
 
 
 def score(model: PipelineModel, features: DataFrame, as_served: bool = False) -> DataFrame:
