@@ -72,8 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  If
-    neither is set, as in tests, create a private local folder and register it
-    so later ``checkpoint()`` calls use the same place.
+    neither is set and the session runs in local mode (tests), create a
+    private local folder and register it; on a cluster an unset folder is an
+    error, never a machine-local fallback.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -82,6 +83,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder "
+                               "(e.g. an object-store path) for this cluster session")
         root = tempfile.mkdtemp(prefix="gazette-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:

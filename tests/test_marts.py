@@ -76,3 +76,17 @@ def test_content_analytics_zero_rules(spark):
     b = out[2]
     assert (b.unique_readers, b.total_events, b.avg_engagement_sec, b.conversion_rate_pct) == (0, 0, 0.0, 0.0)
     assert b.lifespan_hours is None and b.performance_tier == "LOW"
+
+
+def test_tiers_partition_all_articles(spark):
+    import __spark_entry__ as E
+    from conftest import SMOKE
+
+    for name in ("article_performance_tiers", "content_analytics", "tier_summary"):
+        df = E.queries()[name](spark, SMOKE)
+        if name == "tier_summary":
+            total = df.groupBy().sum("articles").first()[0]
+        else:
+            assert df.where(~df.performance_tier.isin("VIRAL", "HIGH", "NORMAL", "LOW")).count() == 0
+            total = df.count()
+        assert total == E.queries()["articles_dim"](spark, SMOKE).count()
