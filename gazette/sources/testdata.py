@@ -101,9 +101,18 @@ def tracking_columns(ev: DataFrame, evolved: bool = False) -> DataFrame:
     return ev.select(*cols)
 
 
-def tracking_events(spark: SparkSession, sf_dir: str, evolved: bool = False) -> DataFrame:
-    """The raw tracking feed (RAW layer shape) derived from ``events``."""
-    return tracking_columns(table(spark, sf_dir, "events"), evolved)
+def tracking_events(spark: SparkSession, sf_dir: str, evolved: bool = False,
+                    since: str | None = None) -> DataFrame:
+    """The raw tracking feed (RAW layer shape) derived from ``events``.
+
+    ``since`` (a date) keeps events of that day and later, as a bound on the
+    source timestamp column so it reaches the Parquet scan (PushedFilters,
+    row-group / partition skipping) before any parsing happens.
+    """
+    ev = table(spark, sf_dir, "events")
+    if since is not None:
+        ev = ev.where(F.col("ts") >= F.lit(f"{since} 00:00:00").cast("timestamp_ntz"))
+    return tracking_columns(ev, evolved)
 
 
 def subscribers(spark: SparkSession, sf_dir: str, as_of: str = SUBSCRIBER_AS_OF) -> DataFrame:
