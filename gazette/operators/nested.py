@@ -22,12 +22,27 @@ def path_str(col: str, path: str):
     return F.variant_get(F.col(col), path, "string")
 
 
+# Leaves that queries filter on, stored as typed columns next to the VARIANT
+# so predicates on them reach the Parquet scan (min/max skipping).
+HOT_LEAVES = {"geo_country": "$.geo.country", "event_name": "$.event_name"}
+
+
+def with_hot_leaves(variant_df: DataFrame, col: str = "raw_event", leaves: dict = HOT_LEAVES) -> DataFrame:
+    """Shred the hot leaves into columns (the VARIANT stays whole)."""
+    return variant_df.select(col, *[path_str(col, p).alias(name) for name, p in leaves.items()])
+
+
 def nested_projection(variant_df: DataFrame, col: str = "raw_event",
                       country: str | None = "FR") -> DataFrame:
-    """Dot-path projection of seven leaves, optionally filtered on geo.country."""
+    """Dot-path projection of seven leaves, optionally filtered on geo.country.
+
+    Uses the shredded ``geo_country`` column when the frame has one (the
+    filter is then pushed to the scan), else the VARIANT path.
+    """
     df = variant_df
     if country is not None:
-        df = df.where(path_str(col, "$.geo.country") == F.lit(country))
+        key = F.col("geo_country") if "geo_country" in df.columns else path_str(col, "$.geo.country")
+        df = df.where(key == F.lit(country))
     return df.select(*[path_str(col, p).alias(name) for name, p in NESTED_FIELDS])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, curate, evolve, nested
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import json_loader, staging
 from ..sources import testdata as td
 from ..sources.schemas import EVOLVED_FIELDS, TRACKING_SCHEMA
@@ -105,9 +105,11 @@ def q_field_presence(spark, sf_dir):
 
 
 def load_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage nested documents and load them as one VARIANT column (unwrapped)."""
+    """Stage nested documents, load them as one VARIANT column (unwrapped)
+    and store the RAW table as Parquet with the hot leaves shredded."""
     path = staging.stage_nested(spark, sf_dir)
-    return json_loader.load_variant(spark, path, "raw_event", unwrap_key="raw_event")
+    v = json_loader.load_variant(spark, path, "raw_event", unwrap_key="raw_event")
+    return materialize(nested.with_hot_leaves(v), "raw-events-variant")
 
 
 @register("nested_projection", O.with_ctes(O.EV_CTE, body="""
