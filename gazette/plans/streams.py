@@ -141,7 +141,8 @@ def q_performance_stream(spark, sf_dir):
 def q_performance_incremental(spark, sf_dir):
     """T4, additive form: per-article totals + first-seen reader pairs."""
     ctx, stream = _typed_stream(spark, sf_dir)
-    h = refresh.PerformanceIncremental(scratch_path(spark, "article-performance-inc"), ctx.articles)
+    nb = cdc.buckets_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    h = refresh.PerformanceIncremental(scratch_path(spark, "article-performance-inc"), ctx.articles, buckets=nb)
     h.publish(spark)
     refresh.run_available_now(stream, h, scratch_path(spark, "performance-inc-ckpt"))
     return h.read(spark)

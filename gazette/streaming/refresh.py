@@ -28,9 +28,9 @@ from ..session import scratch_path
 ARTICLE_BUCKETS = 32
 
 
-def article_bucket(col="article_id"):
+def article_bucket(col="article_id", buckets: int = ARTICLE_BUCKETS):
     c = F.col(col) if isinstance(col, str) else col
-    return F.pmod(F.xxhash64(c), F.lit(ARTICLE_BUCKETS))
+    return F.pmod(F.xxhash64(c), F.lit(buckets))
 
 
 def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
@@ -186,12 +186,14 @@ class PerformanceIncremental:
 
     Per batch the work is O(batch + pairs of touched buckets + articles), not
     O(history); late events are simply added; exact distinct readers.
+    Size ``buckets`` from the expected pair volume (a few hundred MB each).
     """
 
-    def __init__(self, root: str, articles: DataFrame, tiers=None):
+    def __init__(self, root: str, articles: DataFrame, tiers=None, buckets: int = ARTICLE_BUCKETS):
         self.root = root.rstrip("/")
         self.articles = articles
         self.tiers = tiers
+        self.buckets = buckets
 
     # -- state helpers -----------------------------------------------------
     def _fs(self, spark, path):
@@ -222,7 +224,7 @@ class PerformanceIncremental:
         try:
             pairs = (batch.where(F.col("user_pseudo_id").isNotNull())
                      .select("article_id", "user_pseudo_id").distinct()
-                     .withColumn("_bucket", article_bucket()))
+                     .withColumn("_bucket", article_bucket(buckets=self.buckets)))
             buckets = [r[0] for r in pairs.select("_bucket").distinct().collect()]
             new_pairs = pairs
             if buckets:
