@@ -54,10 +54,6 @@ def add_hours(col, n) -> Column:
     return F.timestamp_add("HOUR", n, _c(col))
 
 
-def as_of_date(as_of) -> Column:
-    """Explicit evaluation date used in place of CURRENT_DATE()."""
-    return F.lit(as_of).cast("date") if isinstance(as_of, str) else F.lit(as_of)
-
 
 def as_of_ts(as_of) -> Column:
     """Explicit evaluation timestamp (NTZ) used in place of CURRENT_TIMESTAMP()."""

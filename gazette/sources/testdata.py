@@ -11,8 +11,6 @@ grows with those tables.  Everything here is a lazy projection: no action.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +38,6 @@ UNREAD_ARTICLE_IDS = [100, 101, 102, 103, 104]
 EVENT_NAME_MAP = [("view", "page_view"), ("click", "scroll"), ("signup", "subscribe_click"),
                   ("error", "paywall_hit")]
 EVENT_NAME_DEFAULT = "share"
-# Share of events (by event_id order) in the first staged batch.
-BATCH1_SHARE = 0.6
 
 
 # Fact tables whose per-row work benefits from spreading a small scan.
@@ -190,12 +186,3 @@ def calendar_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("change_seq"),
         F.col("l_linenumber").cast("long").alias("change_sub"),
     )
-
-
-def batch1_cutoff(ev: DataFrame) -> DataFrame:
-    """One-row frame with the event_id cutoff of the first staged batch."""
-    return ev.agg((F.count("*") * F.lit(BATCH1_SHARE)).alias("cutoff"))
-
-
-def as_date(s: str) -> _dt.date:
-    return _dt.date.fromisoformat(s)

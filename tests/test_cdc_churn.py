@@ -81,3 +81,16 @@ def test_snapshot_rewrites_only_touched_buckets(spark):
     assert len(changed) == 1
     cur = store.latest().where(F.col("op") != "D")
     assert cur.count() == 40 and cur.where("article_id = 1").first().title == "v1-new"
+
+
+def test_merge_changes_equals_state_of_union(spark):
+    key, order = ["article_id"], ["change_ts", "change_seq"]
+    a = spark.createDataFrame([(1, "a1", "I", t("2024-01-01 00:00:00"), 1),
+                               (2, "b1", "I", t("2024-01-01 00:00:00"), 2)], CH)
+    b = spark.createDataFrame([(1, "a2", "U", t("2024-01-02 00:00:00"), 3),
+                               (2, "b-del", "D", t("2024-01-03 00:00:00"), 4)], CH)
+    snap = cdc.merge_changes(cdc.merge_changes(None, a, key, order), b, key, order)
+    assert rows(snap.where(F.col("op") != "D").drop("op")) == \
+        rows(cdc.current_state(a.unionByName(b), key, order))
+    again = cdc.merge_changes(snap, b, key, order)          # idempotent
+    assert rows(again) == rows(snap)
