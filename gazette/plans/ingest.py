@@ -9,7 +9,7 @@ from ..operators import audit, curate, evolve, nested
 from ..session import materialize, scratch_path
 from ..sources import json_loader, staging
 from ..sources import testdata as td
-from ..sources.schemas import EVOLVED_FIELDS, TRACKING_SCHEMA
+from ..sources.schemas import EVOLVED_FIELDS, SUBSCRIBER_SCHEMA, TRACKING_SCHEMA
 from . import oracle as O
 from .context import Context
 from .registry import register
@@ -141,6 +141,30 @@ def q_params_all(spark, sf_dir):
     return nested.params_exploded(load_nested(spark, sf_dir), key=None)
 
 
+def load_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriber NDJSON into the declared 13-column schema (keys matched
+    case-insensitively, text values cast with ANSI rules, abort on bad input)."""
+    return json_loader.load_ndjson(spark, staging.stage_subscribers(spark, sf_dir), SUBSCRIBER_SCHEMA)
+
+
+@register("subscribers_loaded", O.with_ctes(O.SUBSCRIBERS_CTE, body="SELECT * FROM subscribers"))
+def q_subscribers_loaded(spark, sf_dir):
+    """S1 typed round trip: DATE, TIMESTAMP_NTZ (Z text), BOOLEAN, DOUBLE from JSON."""
+    return load_subscribers(spark, sf_dir)
+
+
+@register("load_audit", f"""
+SELECT 'GA4_TRACKING' AS tbl, {CUTOFF_SQL} AS n
+UNION ALL SELECT 'GA4_EVENTS_VARIANT', count(*) FROM events
+UNION ALL SELECT 'SUBSCRIBERS', count(*) FROM customer""")
+def q_load_audit(spark, sf_dir):
+    """S6 + S15: the RAW load step (batch 2 held back), then its row-count audit."""
+    paths = staging.stage_tracking_batches(spark, sf_dir)
+    tracking = json_loader.load_ndjson(spark, paths["batch_1"], TRACKING_SCHEMA)
+    return audit.row_audit({"GA4_TRACKING": tracking, "GA4_EVENTS_VARIANT": load_nested(spark, sf_dir),
+                            "SUBSCRIBERS": load_subscribers(spark, sf_dir)})
+
+
 @register("row_audit", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, O.SUBSCRIBERS_CTE, body="""
 SELECT 'GA4_TRACKING' AS tbl, count(*) AS n FROM ev_raw
 UNION ALL SELECT 'SUBSCRIBERS', count(*) FROM subscribers

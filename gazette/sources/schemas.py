@@ -21,3 +21,19 @@ TRACKING_SCHEMA = T.StructType([
 ])
 
 EVOLVED_FIELDS = ["consent_state", "engagement_score", "ab_test_variant"]
+
+SUBSCRIBER_SCHEMA = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("full_name", T.StringType()),
+    T.StructField("email", T.StringType()),
+    T.StructField("phone", T.StringType()),
+    T.StructField("subscription_type", T.StringType()),
+    T.StructField("start_date", T.DateType()),
+    T.StructField("last_login", T.TimestampNTZType()),
+    T.StructField("articles_read_30d", T.LongType()),
+    T.StructField("avg_session_sec", T.LongType()),
+    T.StructField("paywall_bounces_30d", T.LongType()),
+    T.StructField("ltv_estimated_eur", T.DoubleType()),
+    T.StructField("segment", T.StringType()),
+    T.StructField("churn_flag", T.BooleanType()),
+])

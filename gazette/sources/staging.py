@@ -45,6 +45,19 @@ def stage_tracking_batches(spark: SparkSession, sf_dir: str, compression: str =
     return paths
 
 
+def stage_subscribers(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> str:
+    """Subscribers as NDJSON with upper-case keys and text timestamps
+    (``YYYY-MM-DDTHH:MM:SSZ``), the shape of the subscriber export."""
+    from ..functions.dates import format_raw_ts
+
+    path = scratch_path(spark, "landing-subscribers")
+    subs = td.subscribers(spark, sf_dir)
+    out = subs.withColumn("last_login", format_raw_ts("last_login"))
+    out.select(*[F.col(c).alias(c.upper()) for c in out.columns]) \
+        .write.option("compression", compression).json(path)
+    return path
+
+
 def nested_events(ev_raw: DataFrame) -> DataFrame:
     """Nested event documents ``{"raw_event": {...}}`` built from the raw feed."""
     eid, uid = F.col("event_id"), F.col("user_pseudo_id")
