@@ -36,6 +36,26 @@ SUBSCRIPTION_TYPES = ["premium", "standard", "digital_only", "student"]
 CONSENT_STATES = ["granted", "denied", "pending"]
 AB_VARIANTS = ["control", "variant_a", "variant_b", None]
 
+CAMPAIGNS = [None, "summer_promo", "election_2026", "culture_week"]
+REGIONS = ["Ile-de-France", "Provence-Alpes-Cote d'Azur"]
+
+# Churn rule score: recency days / 90 weighted 0.6, low reading
+# (1 - min(reads, 60) / 60) weighted 0.25, min(bounces, 30) / 30 weighted 0.15.
+CHURN_DAYS_SCALE = 90
+CHURN_READS_CAP = 60
+CHURN_BOUNCES_CAP = 30
+CHURN_W_RECENCY = 0.6
+CHURN_W_READING = 0.25
+CHURN_W_BOUNCES = 0.15
+# Engagement segments, tested in this order: loyal (>= 60 reads and <= 7 days
+# since login), regular (>= 20 reads), dormant (>= 45 days), else casual.
+LOYAL_MIN_READS = 60
+LOYAL_MAX_DAYS = 7
+REGULAR_MIN_READS = 20
+DORMANT_MIN_DAYS = 45
+# A deep read scrolls at least this far.
+DEEP_READ_SCROLL_PCT = 75
+
 # Ordinal encoding of the subscription type for the churn model; unknown -> 2.
 SUBSCRIPTION_CODE = {"student": 0, "digital_only": 1, "standard": 2, "premium": 3}
 SUBSCRIPTION_CODE_DEFAULT = 2

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import RISK_HIGH, RISK_MEDIUM
+from .constants import (
+    CHURN_BOUNCES_CAP, CHURN_DAYS_SCALE, CHURN_READS_CAP, CHURN_W_BOUNCES, CHURN_W_READING,
+    CHURN_W_RECENCY, DORMANT_MIN_DAYS, LOYAL_MAX_DAYS, LOYAL_MIN_READS, REGULAR_MIN_READS,
+    RISK_HIGH, RISK_MEDIUM,
+)
 
 
 def _c(x) -> Column:
@@ -42,18 +46,37 @@ def pct_or_zero(num, den, scale: int = 1) -> Column:
 
 
 def churn_rule_score(days_since_login, articles_read_30d, paywall_bounces_30d) -> Column:
-    """Fixed-formula churn score: 0.6 recency + 0.25 low reading + 0.15 bounces."""
-    return (_c(days_since_login) / F.lit(90.0) * F.lit(0.6)
-            + (F.lit(1.0) - F.least(_c(articles_read_30d), F.lit(60)) / F.lit(60.0)) * F.lit(0.25)
-            + F.least(_c(paywall_bounces_30d), F.lit(30)) / F.lit(30.0) * F.lit(0.15))
+    """Fixed-formula churn score (weights and caps in ``constants``), double arithmetic."""
+    return (_c(days_since_login) / F.lit(float(CHURN_DAYS_SCALE)) * F.lit(CHURN_W_RECENCY)
+            + (F.lit(1.0) - F.least(_c(articles_read_30d), F.lit(CHURN_READS_CAP))
+               / F.lit(float(CHURN_READS_CAP))) * F.lit(CHURN_W_READING)
+            + F.least(_c(paywall_bounces_30d), F.lit(CHURN_BOUNCES_CAP))
+            / F.lit(float(CHURN_BOUNCES_CAP)) * F.lit(CHURN_W_BOUNCES))
+
+
+def churn_rule_score_sql(days: str, reads: str, bounces: str, dbl: str = "") -> str:
+    """The same score as SQL text; ``dbl="D"`` marks double literals for Spark SQL."""
+    def lit(x):
+        return f"{float(x)}{dbl}"
+    return (f"CAST({days} AS DOUBLE) / {lit(CHURN_DAYS_SCALE)} * {lit(CHURN_W_RECENCY)}"
+            f" + ({lit(1)} - CAST(least({reads}, {CHURN_READS_CAP}) AS DOUBLE) / {lit(CHURN_READS_CAP)})"
+            f" * {lit(CHURN_W_READING)}"
+            f" + CAST(least({bounces}, {CHURN_BOUNCES_CAP}) AS DOUBLE) / {lit(CHURN_BOUNCES_CAP)}"
+            f" * {lit(CHURN_W_BOUNCES)}")
+
+
+def engagement_segment_sql(reads: str, days: str) -> str:
+    return (f"CASE WHEN {reads} >= {LOYAL_MIN_READS} AND {days} <= {LOYAL_MAX_DAYS} THEN 'loyal'"
+            f" WHEN {reads} >= {REGULAR_MIN_READS} THEN 'regular'"
+            f" WHEN {days} >= {DORMANT_MIN_DAYS} THEN 'dormant' ELSE 'casual' END")
 
 
 def engagement_segment(articles_read_30d, days_since_login) -> Column:
-    """Ordered rules: loyal, regular (>= 20 reads, tested before dormant), dormant, casual."""
+    """Ordered rules: loyal, regular (tested before dormant), dormant, casual."""
     a, d = _c(articles_read_30d), _c(days_since_login)
-    return (F.when((a >= 60) & (d <= 7), F.lit("loyal"))
-            .when(a >= 20, F.lit("regular"))
-            .when(d >= 45, F.lit("dormant"))
+    return (F.when((a >= LOYAL_MIN_READS) & (d <= LOYAL_MAX_DAYS), F.lit("loyal"))
+            .when(a >= REGULAR_MIN_READS, F.lit("regular"))
+            .when(d >= DORMANT_MIN_DAYS, F.lit("dormant"))
             .otherwise(F.lit("casual")))
 
 

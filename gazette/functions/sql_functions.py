@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .rules import churn_rule_score_sql
 from .constants import (
     EMAIL_MASK, NAME_MASK, PHONE_MASK_PREFIX, PRIVILEGED_ROLES, RISK_HIGH, RISK_MEDIUM,
 )
@@ -34,9 +35,8 @@ CREATE OR REPLACE TEMPORARY FUNCTION predict_churn_rule(
 RETURNS TABLE (churn_probability DOUBLE, risk_segment STRING)
 RETURN SELECT round(s, 4),
               CASE WHEN s > {RISK_HIGH}D THEN 'HIGH' WHEN s > {RISK_MEDIUM}D THEN 'MEDIUM' ELSE 'LOW' END
-FROM (SELECT CAST(coalesce(days_since_last_login, 0) AS DOUBLE) / 90.0D * 0.6D
-             + (1.0D - CAST(least(coalesce(articles_read_30d, 0), 60) AS DOUBLE) / 60.0D) * 0.25D
-             + CAST(least(coalesce(paywall_bounces_30d, 0), 30) AS DOUBLE) / 30.0D * 0.15D AS s)""")
+FROM (SELECT {churn_rule_score_sql("coalesce(days_since_last_login, 0)", "coalesce(articles_read_30d, 0)",
+                                    "coalesce(paywall_bounces_30d, 0)", dbl="D")} AS s)""")
     spark.sql(f"""
 CREATE OR REPLACE TEMPORARY FUNCTION mask_email(val STRING, role STRING) RETURNS STRING
 RETURN CASE WHEN role IN ({_roles()}) THEN val ELSE regexp_replace(val, '.+@', '{EMAIL_MASK}') END""")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import PERFORMANCE_TIERS
+from ..functions.constants import DEEP_READ_SCROLL_PCT, PERFORMANCE_TIERS
 from ..functions.rules import pct_or_null, tier
 
 ENGAGEMENT_KEYS = ["day", "section", "publication"]
@@ -45,7 +45,7 @@ def article_event_stats(events: DataFrame) -> DataFrame:
             .groupBy("article_id")
             .agg(F.count_distinct("user_pseudo_id").alias("unique_readers"),
                  F.round(F.avg("engagement_time_sec"), 1).alias("avg_read_time_sec"),
-                 F.count_if(F.col("scroll_pct") >= 75).alias("deep_reads"),
+                 F.count_if(F.col("scroll_pct") >= DEEP_READ_SCROLL_PCT).alias("deep_reads"),
                  F.count_if(ev == "share").alias("shares"),
                  F.count_if(ev == "paywall_hit").alias("paywall_hits"),
                  F.count_if(ev == "subscribe_click").alias("conversions")))

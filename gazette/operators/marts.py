@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import CONTENT_TIERS
+from ..functions.constants import CONTENT_TIERS, DEEP_READ_SCROLL_PCT
 from ..functions.dates import boundary_diff
 from ..functions.rules import pct_or_zero, tier
 
@@ -24,7 +24,7 @@ def content_article_stats(events: DataFrame) -> DataFrame:
             .agg(F.count_distinct("user_pseudo_id").alias("unique_readers"),
                  F.count("*").alias("total_events"),
                  F.avg("engagement_time_sec").alias("avg_engagement_sec"),
-                 F.count_if((ev == "scroll") & (F.col("scroll_pct") >= 75)).alias("deep_reads"),
+                 F.count_if((ev == "scroll") & (F.col("scroll_pct") >= DEEP_READ_SCROLL_PCT)).alias("deep_reads"),
                  F.count_if(ev == "share").alias("shares"),
                  F.count_if(ev == "paywall_hit").alias("paywall_hits"),
                  F.count_if(ev == "subscribe_click").alias("conversions"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.rules import churn_rule_score_sql, engagement_segment_sql
 from ..functions.sql_functions import register_sql_functions
 from ..operators import churn
 from ..sources import testdata as td
@@ -26,16 +27,12 @@ features AS (
   FROM subscribers
 )"""
 
-SCORE_EXPR = ("CAST(days_since_login AS DOUBLE) / 90.0 * 0.6"
-              " + (1 - CAST(least(articles_read_30d, 60) AS DOUBLE) / 60.0) * 0.25"
-              " + CAST(least(paywall_bounces_30d, 30) AS DOUBLE) / 30.0 * 0.15")
+SCORE_EXPR = churn_rule_score_sql("days_since_login", "articles_read_30d", "paywall_bounces_30d")
 
 SCORES_CTE = f"""
 scores AS (
   SELECT user_id, churned, {SCORE_EXPR} AS raw_score,
-         CASE WHEN articles_read_30d >= 60 AND days_since_login <= 7 THEN 'loyal'
-              WHEN articles_read_30d >= 20 THEN 'regular'
-              WHEN days_since_login >= 45 THEN 'dormant' ELSE 'casual' END AS engagement_segment
+         {engagement_segment_sql("articles_read_30d", "days_since_login")} AS engagement_segment
   FROM features
 )"""
 

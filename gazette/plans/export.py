@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import DEEP_READ_SCROLL_PCT
 from ..operators import aggregates, marts, metrics
 from ..operators import sessions as sessions_op
 from ..session import scratch_path
@@ -85,7 +86,7 @@ WITH ev AS (
 ), st AS (
   SELECT article_id, count(DISTINCT user_pseudo_id) AS unique_readers, count(*) AS total_events,
          avg(engagement_time_sec) AS avg_engagement_sec,
-         count(CASE WHEN event_name = 'scroll' AND scroll_pct >= 75 THEN 1 END) AS deep_reads,
+         count(CASE WHEN event_name = 'scroll' AND scroll_pct >= {DEEP_READ_SCROLL_PCT} THEN 1 END) AS deep_reads,
          count(CASE WHEN event_name = 'share' THEN 1 END) AS shares,
          count(CASE WHEN event_name = 'paywall_hit' THEN 1 END) AS paywall_hits,
          count(CASE WHEN event_name = 'subscribe_click' THEN 1 END) AS conversions,

@@ -12,6 +12,7 @@ from ..functions.constants import (
     AUTHORS, BROWSERS, COUNTRIES, DEVICES, FR_CITIES, MEDIUMS, OS_LIST, PUBLICATIONS,
     SECTIONS, SOURCES, CONSENT_STATES, AB_VARIANTS,
 )
+from ..functions.rules import churn_rule_score_sql, engagement_segment_sql
 from ..sources import testdata as td
 
 
@@ -99,11 +100,8 @@ subscribers AS (
     30 + (k * 13) % 1171 AS avg_session_sec,
     bounces AS paywall_bounces_30d,
     c_acctbal AS ltv_estimated_eur,
-    CASE WHEN reads >= 60 AND dsl <= 7 THEN 'loyal' WHEN reads >= 20 THEN 'regular'
-         WHEN dsl >= 45 THEN 'dormant' ELSE 'casual' END AS segment,
-    (CAST(dsl AS DOUBLE) / 90.0 * 0.6 + (1 - CAST(least(reads, 60) AS DOUBLE) / 60.0) * 0.25
-     + CAST(least(bounces, 30) AS DOUBLE) / 30.0 * 0.15) > 0.5
-      AS churn_flag
+    {engagement_segment_sql('reads', 'dsl')} AS segment,
+    ({churn_rule_score_sql('dsl', 'reads', 'bounces')}) > 0.5 AS churn_flag
   FROM subs_base
 )"""
 

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import pick
+from ..functions.constants import CAMPAIGNS, REGIONS
 from ..session import scratch_path
 from . import testdata as td
 
-CAMPAIGNS = [None, "summer_promo", "election_2026", "culture_week"]
-REGIONS = ["Ile-de-France", "Provence-Alpes-Cote d'Azur"]
 
 
 def batch_cutoff(spark: SparkSession, sf_dir: str) -> int:

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import DEEP_READ_SCROLL_PCT
 from ..operators import aggregates
 from ..session import scratch_path
 
@@ -243,7 +244,7 @@ class PerformanceIncremental:
             delta = (batch.groupBy("article_id")
                      .agg(F.sum("engagement_time_sec").alias("eng_sum"),
                           F.count("engagement_time_sec").alias("eng_cnt"),
-                          F.count_if(F.col("scroll_pct") >= 75).alias("deep_reads"),
+                          F.count_if(F.col("scroll_pct") >= DEEP_READ_SCROLL_PCT).alias("deep_reads"),
                           F.count_if(ev == "share").alias("shares"),
                           F.count_if(ev == "paywall_hit").alias("paywall_hits"),
                           F.count_if(ev == "subscribe_click").alias("conversions"))
