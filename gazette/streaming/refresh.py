@@ -70,7 +70,11 @@ class EngagementRefresh:
             batch.unpersist()
         if not days:
             return
-        touched = self.raw.read(spark).where(F.col("event_date").isin(days))
+        known = [d for d in days if d is not None]
+        cond = F.col("event_date").isin(known) if known else F.lit(False)
+        if len(known) < len(days):      # events without a date form their own group
+            cond = cond | F.col("event_date").isNull()
+        touched = self.raw.read(spark).where(cond)
         _overwrite(aggregates.reader_engagement(touched), self.out_path, "day")
 
 

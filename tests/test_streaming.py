@@ -91,3 +91,14 @@ def test_incremental_performance_dimension_change(spark):
     assert {r.section for r in out.where(F.col("article_id").isin(ids)).collect()} == {"Sciences"}
     base = {r.article_id: r.unique_readers for r in aggregates.article_performance(ctx.articles, ctx.events).collect()}
     assert {r.article_id: r.unique_readers for r in out.collect()} == base
+
+
+def test_engagement_refresh_null_day_group(spark):
+    ev = Context(spark, SMOKE).events
+    with_null = ev.withColumn("event_date", F.when(F.pmod("event_id", F.lit(50)) == 0, F.lit(None).cast("date"))
+                              .otherwise(F.col("event_date")))
+    h = refresh.EngagementRefresh(scratch_path(spark, "t-raw-n"), scratch_path(spark, "t-out-n"))
+    h(with_null.where(F.pmod("event_id", F.lit(2)) == 0), 0)
+    h(with_null.where(F.pmod("event_id", F.lit(2)) == 1), 1)
+    cols = aggregates.reader_engagement(with_null).columns
+    assert rows(spark.read.parquet(h.out_path).select(*cols)) == rows(aggregates.reader_engagement(with_null))
