@@ -82,13 +82,13 @@ def q_cdc_calendar_state(spark, sf_dir):
 
 
 def _cdc_stream(spark, sf_dir):
-    landing = staging.stage_change_feed(spark, sf_dir)
+    landing, files = staging.stage_change_feed(spark, sf_dir)
     schema = Context(spark, sf_dir).change_feed.schema
     # state is at most the size of the change log; size buckets from it
     nb = cdc.buckets_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/orders.parquet"))
     store = cdc.SnapshotStore(spark, scratch_path(spark, "cdc-snapshot"), buckets=nb)
     handler = st_ingest.apply_change_stream(spark, landing, schema, store, CDC_KEY, CDC_ORDER,
-                                            scratch_path(spark, "cdc-ckpt"))
+                                            scratch_path(spark, "cdc-ckpt"), max_files=max(1, files // 4))
     return handler.current().select(*CDC_COLUMNS)
 
 
@@ -108,10 +108,12 @@ def q_latest_articles_top5(spark, sf_dir):
             .select("article_id", "title", "section", "published_at"))
 
 
-def _typed_stream(spark, sf_dir, max_files: int = 1, late_every: int | None = 20):
+def _typed_stream(spark, sf_dir, groups_per_batch: int = 1, late_every: int | None = 20):
+    """Typed events replayed as a file stream, ``groups_per_batch`` time groups per micro-batch."""
     ctx = Context(spark, sf_dir)
-    landing = refresh.stage_typed_events(ctx.events, spark, late_every=late_every)
-    stream = spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", max_files).parquet(landing)
+    landing, per_group = refresh.stage_typed_events(ctx.events, spark, late_every=late_every)
+    stream = (spark.readStream.schema(ctx.events.schema)
+              .option("maxFilesPerTrigger", per_group * groups_per_batch).parquet(landing))
     return ctx, stream
 
 
@@ -181,7 +183,7 @@ def q_session_stream(spark, sf_dir):
 
     Fed in event-time order: rows later than the watermark are dropped by
     design in the native variants (late data is the job of T3/T4)."""
-    _, stream = _typed_stream(spark, sf_dir, max_files=2, late_every=None)
+    _, stream = _typed_stream(spark, sf_dir, groups_per_batch=2, late_every=None)
     agg = native.native_sessions(stream)
     return native.run_to_table(agg, scratch_path(spark, "native-sessions"), mode="complete")
 
@@ -193,7 +195,7 @@ SELECT event_date AS day, section, count(*) AS page_views,
 FROM ev GROUP BY 1, 2"""))
 def q_engagement_window_stream(spark, sf_dir):
     """One-day tumbling windows per section with a watermark (exact columns checked)."""
-    _, stream = _typed_stream(spark, sf_dir, max_files=2, late_every=None)
+    _, stream = _typed_stream(spark, sf_dir, groups_per_batch=2, late_every=None)
     agg = native.daily_windows(stream, approx_readers=False)
     return native.run_to_table(agg, scratch_path(spark, "native-windows"), mode="complete")
 

@@ -87,15 +87,20 @@ def stage_nested(spark: SparkSession, sf_dir: str, compression: str = "gzip") ->
     return path
 
 
-def stage_change_feed(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+def stage_change_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> tuple[str, int]:
     """Write the CMS change rows as Parquet files, ordered by change time.
 
-    ``files`` range-partitions by change time so a file stream replays the
-    feed in several micro-batches, older changes first.
+    The feed is range-partitioned by change time into ``files`` files (by
+    default one per ~64 MB of log, at least 8), so a file stream replays it
+    in several micro-batches, older changes first.  Returns ``(path, files)``.
     """
+    from ..session import input_bytes
+
     path = scratch_path(spark, "landing-cdc")
+    if files is None:
+        files = max(8, -(-input_bytes(spark, f"{sf_dir.rstrip('/')}/orders.parquet") // (64 << 20)))
     feed = td.article_change_feed(spark, sf_dir)
     (feed.repartitionByRange(files, "change_ts", "change_seq")
      .sortWithinPartitions("change_ts", "change_seq")
      .write.parquet(path))
-    return path
+    return path, files

@@ -151,15 +151,19 @@ def run_available_now(stream: DataFrame, handler, checkpoint: str, name: str | N
 
 
 def stage_typed_events(events: DataFrame, spark: SparkSession, files: int = 6,
-                       late_every: int | None = 20) -> str:
-    """Write typed events as time-ordered files, oldest first.
-
-    File ``k`` holds days ``[5k+1, 5k+5]`` of the month.  With ``late_every``
-    every n-th event is held back into the last file, so later micro-batches
-    carry late events for old days.  Files are written one after another so
-    the stream's modification-time order is the time order.
+                       late_every: int | None = 20) -> tuple[str, int]:
+    """Write typed events as time-ordered groups of files, oldest group first.
+
+    Group ``k`` holds days ``[5k+1, 5k+5]`` of the month.  With ``late_every``
+    every n-th event is held back into the last group, so later micro-batches
+    carry late events for old days.  Each group is written by all task slots
+    (one file per slot, never a single-task write); groups are written one
+    after another so the stream's modification-time order is the time order.
+    Returns ``(path, files_per_group)``: read with ``maxFilesPerTrigger`` set
+    to that number, one micro-batch is one group.
     """
     path = scratch_path(spark, "landing-typed")
+    per_group = spark.sparkContext.defaultParallelism
     day = F.dayofmonth("event_date")
     file_no = F.least(F.floor((day - 1) / 5), F.lit(files - 1))
     if late_every:
@@ -167,10 +171,11 @@ def stage_typed_events(events: DataFrame, spark: SparkSession, files: int = 6,
     tagged = events.withColumn("_file", file_no).persist()
     try:
         for k in range(files):
-            tagged.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(path)
+            (tagged.where(F.col("_file") == k).drop("_file").repartition(per_group)
+             .write.mode("append").parquet(path))
     finally:
         tagged.unpersist()
-    return path
+    return path, per_group
 
 
 class PerformanceIncremental:

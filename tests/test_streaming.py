@@ -68,8 +68,8 @@ def test_daily_windows_append_mode_emits_only_final_days(spark):
     from gazette.streaming import native
 
     ctx = Context(spark, SMOKE)
-    landing = refresh.stage_typed_events(ctx.events, spark, late_every=None)
-    stream = spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    landing, per_group = refresh.stage_typed_events(ctx.events, spark, late_every=None)
+    stream = spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", 2 * per_group).parquet(landing)
     out = native.run_to_table(native.daily_windows(stream), scratch_path(spark, "t-win"), mode="append")
     batch = (ctx.events.groupBy(F.col("event_date").alias("day"), "section")
              .agg(F.count("*").alias("page_views")))

@@ -32,11 +32,11 @@ def main():
     spark = get_spark("local[8]", 16)
     spark.sparkContext.setLogLevel("ERROR")
     ctx = Context(spark, sf)
-    landing = refresh.stage_typed_events(ctx.events, spark)
+    landing, per_group = refresh.stage_typed_events(ctx.events, spark)
     out = {}
 
     def stream():
-        return spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        return spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", per_group).parquet(landing)
 
     h = refresh.EngagementRefresh(scratch_path(spark, "f-raw"), scratch_path(spark, "f-eng"))
     out["reader_engagement (target 300 s)"] = durations(refresh.run_available_now(stream(), h, scratch_path(spark, "f-c1")))
@@ -49,10 +49,10 @@ def main():
     h.publish(spark)
     out["article_performance incremental (target 600 s)"] = durations(
         refresh.run_available_now(stream(), h, scratch_path(spark, "f-c3")))
-    feed = staging.stage_change_feed(spark, sf)
+    feed, feed_files = staging.stage_change_feed(spark, sf)
     nb = cdc.buckets_for(input_bytes(spark, f"{sf}/orders.parquet"))
     store = cdc.SnapshotStore(spark, scratch_path(spark, "f-cdc"), buckets=nb)
-    s = spark.readStream.schema(ctx.change_feed.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    s = spark.readStream.schema(ctx.change_feed.schema).option("maxFilesPerTrigger", max(1, feed_files // 8)).parquet(feed)
     q = refresh.run_available_now(s, st_ingest.ChangeFeedApply(store, ["article_id"], ["change_ts", "change_seq"]),
                                   scratch_path(spark, "f-c4"))
     out["cms change visible (target 5 s)"] = durations(q)
