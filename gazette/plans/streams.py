@@ -128,6 +128,15 @@ def q_engagement_stream(spark, sf_dir):
                       "avg_engagement_sec", "paywall_hits", "subscribe_clicks", "conversion_rate_pct")
 
 
+@register("engagement_incremental", O.with_events(READER_ENGAGEMENT_SQL))
+def q_engagement_incremental(spark, sf_dir):
+    """T3, additive form: per-group totals + first-seen reader tuples by day."""
+    _, stream = _typed_stream(spark, sf_dir)
+    h = refresh.EngagementIncremental(scratch_path(spark, "reader-engagement-inc"))
+    refresh.run_available_now(stream, h, scratch_path(spark, "engagement-inc-ckpt"))
+    return h.read(spark)
+
+
 @register("performance_stream", O.with_events(ARTICLE_PERFORMANCE_SQL))
 def q_performance_stream(spark, sf_dir):
     """T4: article performance maintained by touched-bucket recompute."""

@@ -102,3 +102,17 @@ def test_engagement_refresh_null_day_group(spark):
     h(with_null.where(F.pmod("event_id", F.lit(2)) == 1), 1)
     cols = aggregates.reader_engagement(with_null).columns
     assert rows(spark.read.parquet(h.out_path).select(*cols)) == rows(aggregates.reader_engagement(with_null))
+
+
+def test_incremental_engagement_replay_late_and_null_groups(spark):
+    ev = Context(spark, SMOKE).events
+    odd = (ev.withColumn("section", F.when(F.pmod("event_id", F.lit(7)) == 0, F.lit(None).cast("string"))
+                         .otherwise(F.col("section")))
+             .withColumn("event_date", F.when(F.pmod("event_id", F.lit(45)) == 0, F.lit(None).cast("date"))
+                         .otherwise(F.col("event_date"))))
+    h = refresh.EngagementIncremental(scratch_path(spark, "t-eng-inc"))
+    h(odd.where(F.pmod("event_id", F.lit(3)) != 0), 0)
+    h(odd.where(F.pmod("event_id", F.lit(3)) == 0), 1)        # late events for all days
+    h(odd.where(F.pmod("event_id", F.lit(3)) == 0), 1)        # replay
+    want = aggregates.reader_engagement(odd)
+    assert rows(h.read(spark).select(*want.columns)) == rows(want)
