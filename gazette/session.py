@@ -31,9 +31,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast only what AQE has measured to be small at runtime.
+    # Broadcast decisions: at planning time only for inputs whose file size,
+    # inflated by a conservative decompression factor, is under the
+    # threshold; everything else is decided by AQE on measured shuffle sizes.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.variant.allowReadingShredded": "true",
