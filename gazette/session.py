@@ -15,7 +15,6 @@ temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -101,10 +100,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, eager: bool = True):
