@@ -90,8 +90,8 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         small = (linked.where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
                  .union(linked.select("a", F.col("m").alias("b"))).distinct())
         cur = materialize(small, f"{name}-edges")
-        state = cur.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("s"),
-                        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        state = cur.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h"),
+                        F.bit_xor(F.xxhash64("b", "a")).alias("g")).first()
         if state == last:
             break
         last = state

@@ -13,19 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .common import read
+from .decontaminate import contamination
 from .mixing import mix_documents
 from .shards import shard_documents
+from .simhash import near_duplicates
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read(spark, sf_dir, "documents"))
 
 
+def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_hilbert_shards, op8_sainte_lague_mix)
+    f.__name__: f for f in (
+        op1_hilbert_shards, op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
