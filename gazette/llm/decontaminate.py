@@ -215,13 +215,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, most_hit: float = MOST
         b = F.when(i == F.size(spans), F.octet_length("text").cast("long")).otherwise(F.get(spans, i.cast("int"))["start"])
         return F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string")
 
-    left = F.concat_ws("", F.transform(F.sequence(F.lit(0), F.size(spans)), piece))
-    text = F.when(F.size(spans) > 0, left).otherwise(F.col("text"))
-    kind = dict(docs.dtypes)
-    new = {"text": text.cast(kind["text"])}
-    if "n_chars" in kind:
-        new["n_chars"] = F.when(F.size(spans) > 0, F.length(left)).otherwise(F.col("n_chars")).cast(kind["n_chars"])
-    return df.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    kept = fresh(df, "_kept")
+    df = df.withColumn(kept, F.when(F.size(spans) > 0, F.concat_ws("", F.transform(
+        F.sequence(F.lit(0), F.size(spans)), piece))))
+    new = {"text": F.coalesce(F.col(kept), F.col("text")), "n_chars": F.coalesce(F.length(kept), F.col("n_chars"))}
+    return df.select(*[(new[c].cast(t) if c in new else F.col(f"`{c}`")).alias(c) for c, t in docs.dtypes])
 
 
 def brute_force(texts_: list[str | None], items: list[tuple[str, str | None]], window: int = WINDOW) -> list[tuple]:

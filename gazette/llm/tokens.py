@@ -18,12 +18,11 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     """``base ** i`` modulo 2^64 for ``i < n``, by doubling."""
     out = np.ones(max(n, 1), np.uint64)
-    done, step = 1, base
+    done = 1
     while done < len(out):
         k = min(done, len(out) - done)
-        out[done:done + k] = out[:k] * step
+        out[done:done + k] = out[:k] * np.uint64(pow(int(base), done, 1 << 64))
         done += k
-        step = step * step
     return out
 
 
