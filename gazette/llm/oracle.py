@@ -3,6 +3,8 @@ definitions and not from the Spark plans."""
 
 from __future__ import annotations
 
+from .licences import TEMPLATES
+
 # Highest quotients taken literally: every quotient of every shard is listed and ranked.
 MIX = r"""
 WITH d AS (
@@ -64,4 +66,41 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(words) AS
 FROM w GROUP BY id
 """
 
-SQL = {"op8_sainte_lague_mix": MIX}
+_TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)
+
+# Every line and every text of several lines joined with every template of fitting size.
+LICENCES = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS tid, name, string_split(trim(regexp_replace(lower(body), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
+  FROM (VALUES {_TEMPLATES}) v(name, body)
+), tb AS (
+  SELECT tid, b, count(*) AS c FROM (SELECT tid, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM t)
+  GROUP BY tid, b
+), d AS (
+  SELECT row_number() OVER () AS id, doc_id, COALESCE(text, '') AS text,
+         CASE WHEN COALESCE(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+), u AS (
+  SELECT id, row_number() OVER () AS uid, string_split(trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
+  FROM (SELECT id, unnest(lines) AS x FROM d UNION ALL SELECT id, text FROM d WHERE len(lines) > 1)
+), p AS (
+  SELECT u.id, u.uid, u.w, t.tid, t.name, len(u.w) - 1 AS n, len(t.w) - 1 AS m FROM u JOIN t
+  ON 20 * least(len(u.w) - 1, len(t.w) - 1) >= 8 * (len(u.w) + len(t.w) - 2) AND len(u.w) > 1
+), c AS (
+  SELECT id, uid, tid, name, n, m, b, count(*) AS k
+  FROM (SELECT *, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM p) GROUP BY ALL
+), s AS (
+  SELECT c.id, c.uid, c.name, 2.0::DOUBLE * sum(least(c.k, tb.c)) / (any_value(n) + any_value(m)) AS dice,
+         20 * sum(least(c.k, tb.c)) >= 8 * (any_value(n) + any_value(m)) AS ok
+  FROM c JOIN tb ON c.tid = tb.tid AND c.b = tb.b GROUP BY c.id, c.uid, c.tid, c.name
+), best AS (
+  SELECT id, uid, name, dice FROM s WHERE ok QUALIFY row_number() OVER (PARTITION BY uid ORDER BY dice DESC, name) = 1
+), g AS (
+  SELECT id, count(*) AS n, arg_min(name, (-dice, name)) AS name, max(dice) AS dice,
+         list_sort(list_distinct(list(name))) AS names FROM best GROUP BY id
+)
+SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, CAST(COALESCE(g.n, 0) AS BIGINT) AS n_statements,
+       g.name AS licence, g.dice AS dice, COALESCE(array_to_string(g.names, ','), '') AS licences
+FROM d LEFT JOIN g USING (id)
+"""
+
+SQL = {"op2_licence_scan": LICENCES, "op8_sainte_lague_mix": MIX}

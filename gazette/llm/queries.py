@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .common import read
 from .decontaminate import contamination
+from .language import page_languages
+from .licences import scan_licences
 from .mixing import mix_documents
 from .shards import shard_documents
 from .simhash import near_duplicates
@@ -23,6 +25,10 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 16)
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(read(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -35,8 +41,13 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_languages(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_hilbert_shards, op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates)
+        op1_hilbert_shards, op2_licence_scan, op7_benchmark_decontamination, op8_sainte_lague_mix,
+        op9_simhash_near_duplicates, op10_language_evidence)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
