@@ -127,13 +127,13 @@ def text_evidence(rows: DataFrame, keep: list[str], model: np.ndarray, html: boo
     return df.mapInArrow(run, schema)
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    parts = [F.exp(x - top) for x in logs]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return [p / total for p in parts]
+def _sum(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _softmax(logs: Column) -> Column:
+    parts = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    return F.transform(logs, lambda x: F.exp(x - F.array_max(logs)) / _sum(parts))
 
 
 def domain(host: Column) -> Column:
@@ -163,63 +163,53 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     model = trigram_model(plain, languages, html)
     ll = fresh(rows, "_ll")
     scored = text_evidence(rows, rows.columns, model, html, text, ll)
-    logs = [F.get(F.col(ll), F.lit(i + 1)) for i in range(k)]
+    logs, seen = F.slice(F.col(ll), 2, k), F.get(F.col(ll), F.lit(0)) > 0
 
     narrow = text_evidence(rows, [declared, host], model, html, text, ll)
-    narrow = narrow.select(F.col(f"`{declared}`").alias("declared"), F.col(f"`{host}`").alias("host"), ll)
-    own = [x.alias(f"p{i}") for i, x in enumerate(_softmax(logs))]
-    narrow = narrow.where(F.get(F.col(ll), F.lit(0)) > 0).select("declared", "host", *own)
-    sums = [F.sum(f"p{i}").alias(f"p{i}") for i in range(k)]
+    narrow = narrow.where(seen).select(F.col(f"`{declared}`").alias("declared"), F.col(f"`{host}`").alias("host"),
+                                       _softmax(logs).alias("p"))
+    sums = [F.sum(F.get("p", F.lit(i))).alias(f"p{i}") for i in range(k)]
+    again = [F.sum(f"p{i}").alias(f"p{i}") for i in range(k)]
     # one row per (host, declared): every other sum is taken over these
     cells = materialize(narrow.groupBy("host", "declared").agg(*sums), "lang-cells")
-    whole = cells.agg(*sums).first()
-    whole = [(x or 0.0) + 1.0 for x in whole]
+    whole = [(x or 0.0) + 1.0 for x in cells.agg(*again).first()]
     total = sum(whole)
 
-    def table(column: Column, key: str, tag: str) -> DataFrame:
-        return cells.select(column.alias(key), *[f"p{i}" for i in range(k)]).where(F.col(key).isNotNull()) \
-            .groupBy(key).agg(*[F.sum(f"p{i}").alias(f"{tag}{i}") for i in range(k)])
-
-    names = {c: fresh(scored, f"_{c}") for c in ("host", "domain", "suffix", "declared")}
-    h = F.col(f"`{host}`")
-    df = scored.withColumns({names["domain"]: domain(h), names["suffix"]: suffix(h)})
-    tags = {}
-    for what, source in (("host", F.col("host")), ("domain", domain(F.col("host"))),
-                         ("suffix", suffix(F.col("host"))), ("declared", F.col("declared"))):
+    # the sums of each row's host, domain, suffix and declared language, without its own part
+    own = fresh(scored, "_own")
+    df = scored.withColumn(own, F.transform(_softmax(logs), lambda x: F.when(seen, x).otherwise(0.0)))
+    h, cell_host, tags = F.col(f"`{host}`"), F.col("host"), {}
+    for what, of_cell, of_row in (("host", cell_host, h), ("domain", domain(cell_host), domain(h)),
+                                  ("suffix", suffix(cell_host), suffix(h)),
+                                  ("declared", F.col("declared"), F.col(f"`{declared}`"))):
         key, tag = fresh(df, f"_key_{what}"), fresh(df, f"_{what}_p")
-        have = {"host": h, "declared": F.col(f"`{declared}`")}.get(what, F.col(names[what]))
-        df = df.join(table(source, key, tag), have == F.col(key), "left").drop(key)
-        tags[what] = [F.coalesce(F.col(f"{tag}{i}"), F.lit(0.0)) for i in range(k)]
-    seen = F.get(F.col(ll), F.lit(0)) > 0
-    own = _softmax(logs)
-
-    def rest(what: str, i: int) -> Column:  # the sums of others
-        return F.greatest(tags[what][i] - F.when(seen, own[i]).otherwise(0.0), F.lit(0.0))
-
-    def added(xs: list[Column]) -> Column:
-        out = xs[0]
-        for x in xs[1:]:
-            out = out + x
-        return out
-
-    base = [w / total for w in whole]
-    at_domain = [rest("domain", i) for i in range(k)]
-    at_host = [rest("host", i) for i in range(k)]
-    by_domain = [(at_domain[i] + STRENGTH * base[i]) / (added(at_domain) + STRENGTH) for i in range(k)]
+        table = (cells.select(of_cell.alias(key), *[f"p{i}" for i in range(k)]).where(F.col(key).isNotNull())
+                 .groupBy(key).agg(*again).select(key, F.array(*[f"p{i}" for i in range(k)]).alias(tag)))
+        df = df.join(table, of_row == F.col(key), "left").drop(key)
+        df = df.withColumn(tag, F.zip_with(F.coalesce(F.col(tag), F.array(*[F.lit(0.0)] * k)), F.col(own),
+                                           lambda t, x: F.greatest(t - x, F.lit(0.0))))
+        tags[what] = F.col(tag)
+    # host prior, smoothed towards the domain's, that towards the corpus
     prior = fresh(df, "_prior")
-    df = df.withColumn(prior, F.array(*[(at_host[i] + STRENGTH * by_domain[i]) / (added(at_host) + STRENGTH)
-                                        for i in range(k)]))
+    base = F.array(*[F.lit(w / total) for w in whole])
+
+    def smoothed(counts: Column, towards: Column) -> Column:
+        return F.zip_with(counts, towards, lambda c, t: (c + STRENGTH * t) / (_sum(counts) + STRENGTH))
+
+    df = df.withColumn(prior, smoothed(tags["domain"], base))
+    df = df.withColumn(prior, smoothed(tags["host"], F.col(prior)))
+    sizes = F.array(*[F.lit(w) for w in whole])
 
-    def factor(what: str, i: int) -> Column:
-        # P(value | language), smoothed towards the value's share in the corpus
-        share = (added(tags[what]) + 1.0) / (total + 1.0)
-        return F.log((rest(what, i) + STRENGTH * share) / (whole[i] + STRENGTH))
+    def factor(what: str, i: Column) -> Column:
+        # P(value | language), smoothed towards the value's share of the corpus
+        share = (_sum(tags[what]) + 1.0) / (total + 1.0)
+        return F.log((F.get(tags[what], i) + STRENGTH * share) / (F.get(sizes, i) + STRENGTH))
 
-    fused = [F.when(seen, logs[i]).otherwise(0.0) + F.log(F.get(F.col(prior), F.lit(i))) +
-             factor("declared", i) + factor("suffix", i) for i in range(k)]
     final = fresh(df, "_final")
-    df = df.withColumn(final, F.array(*fused))
-    df = df.withColumn(final, F.array(*_softmax([F.get(F.col(final), F.lit(i)) for i in range(k)])))
+    df = df.withColumn(final, F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (
+        F.when(seen, F.get(F.col(ll), i + 1)).otherwise(0.0) + F.log(F.get(F.col(prior), i))
+        + factor("declared", i) + factor("suffix", i))))
+    df = df.withColumn(final, _softmax(F.col(final)))
     best = F.array_max(final)
     return df.select(*[f"`{c}`" for c in rows.columns],
                      F.get(F.array(*[F.lit(x) for x in languages]),
