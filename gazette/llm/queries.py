@@ -17,8 +17,10 @@ from .decontaminate import contamination
 from .language import page_languages
 from .licences import scan_licences
 from .mixing import mix_documents
+from .quality import quality_scores
 from .shards import shard_documents
 from .simhash import near_duplicates
+from .toxicity import toxicity_scores
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,14 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -47,7 +57,7 @@ def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_hilbert_shards, op2_licence_scan, op7_benchmark_decontamination, op8_sainte_lague_mix,
-        op9_simhash_near_duplicates, op10_language_evidence)
+        op1_hilbert_shards, op2_licence_scan, op4_toxicity, op5_quality_classifier, op7_benchmark_decontamination,
+        op8_sainte_lague_mix, op9_simhash_near_duplicates, op10_language_evidence)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
