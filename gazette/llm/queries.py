@@ -20,6 +20,7 @@ from .mixing import mix_documents
 from .quality import quality_scores
 from .shards import shard_documents
 from .simhash import near_duplicates
+from .suffixes import substring_deduplication
 from .toxicity import toxicity_scores
 
 
@@ -39,6 +40,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_suffix_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_deduplication(read(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -57,7 +62,8 @@ def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_hilbert_shards, op2_licence_scan, op4_toxicity, op5_quality_classifier, op7_benchmark_decontamination,
-        op8_sainte_lague_mix, op9_simhash_near_duplicates, op10_language_evidence)
+        op1_hilbert_shards, op2_licence_scan, op4_toxicity, op5_quality_classifier, op6_suffix_deduplication,
+        op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates,
+        op10_language_evidence)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
