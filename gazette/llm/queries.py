@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .common import read
 from .decontaminate import contamination
+from .hnsw import nearest_neighbours
 from .language import page_languages
 from .licences import scan_licences
 from .mixing import mix_documents
@@ -32,6 +33,10 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(read(spark, sf_dir, "documents"))
 
 
+def op3_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -62,8 +67,8 @@ def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_hilbert_shards, op2_licence_scan, op4_toxicity, op5_quality_classifier, op6_suffix_deduplication,
-        op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates,
+        op1_hilbert_shards, op2_licence_scan, op3_hnsw_neighbours, op4_toxicity, op5_quality_classifier,
+        op6_suffix_deduplication, op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates,
         op10_language_evidence)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
