@@ -61,7 +61,7 @@ WITH d AS (
 SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(words) AS source_size,
        any_value(target) AS target,
        CAST(any_value(size) * any_value(passes) + COALESCE(sum(CASE
-         WHEN (j * (1000000007 % nb) + turn) % nb < extra THEN least(a + size, (j + 1) * 64) - greatest(a, j * 64)
+         WHEN (j * (1000000007 % greatest(nb, 1)) + turn) % greatest(nb, 1) < extra THEN least(a + size, (j + 1) * 64) - greatest(a, j * 64)
          ELSE 0 END), 0) AS BIGINT) AS taken
 FROM w GROUP BY id
 """

@@ -46,31 +46,26 @@ def equal_depth(df: DataFrame, columns: dict[str, Column], bits: int, name: str)
 def with_hilbert(df: DataFrame, cells: list[str], bits: int, out: str) -> DataFrame:
     """``df`` with ``out``, the Hilbert index of the bigint columns ``cells``.
 
-    Skilling's transform, one projection per (bit, dimension): every step reads
-    the previous columns by name, so expressions stay small and compile.
+    Skilling's transform over an array of the cells: a fold over (bit,
+    dimension) steps undoes the curve's rotations, a running exclusive-or and a
+    last flip give the transposed index, whose bits are then interleaved.  Folds
+    bind each intermediate array once, so the expression stays small.
     """
-    x = [fresh(df, f"_h{i}") for i in range(len(cells))]
-    others = [f"`{c}`" for c in df.columns]
-    df = df.selectExpr(*others, *[f"`{c}` AS {n}" for c, n in zip(cells, x)])
-
-    def step(df, **new):
-        return df.selectExpr(*others, *[f"{new.get(c, c)} AS {c}" for c in x])
-
-    for b in range(bits - 1, 0, -1):
-        q, low = 1 << b, (1 << b) - 1
-        df = step(df, **{x[0]: f"if({x[0]} & {q} != 0, {x[0]} ^ {low}, {x[0]})"})
-        for n in x[1:]:
-            swap = f"(({x[0]} ^ {n}) & {low})"
-            df = step(df, **{x[0]: f"if({n} & {q} != 0, {x[0]} ^ {low}, {x[0]} ^ {swap})",
-                             n: f"if({n} & {q} != 0, {n}, {n} ^ {swap})"})
-    for prev, n in zip(x, x[1:]):
-        df = step(df, **{n: f"{n} ^ {prev}"})
-    turn = " ^ ".join(f"if({x[-1]} & {1 << b} != 0, {(1 << b) - 1}, 0)" for b in range(bits - 1, 0, -1))
-    t = fresh(df, "_turn")
-    df = df.selectExpr(*others, *x, f"cast({turn or 0} AS bigint) AS {t}")
-    bits_out = [f"shiftleft(shiftright({n} ^ {t}, {b}) & 1L, {b * len(x) + len(x) - 1 - i})"
-                for b in range(bits) for i, n in enumerate(x)]
-    return df.selectExpr(*others, " + ".join(bits_out) + f" AS `{out}`")
+    x, gray, turn = (fresh(df, c) for c in ("_hx", "_hgray", "_hturn"))
+    k = len(cells)
+    steps = ", ".join(f"struct({1 << b}L AS q, {i} AS i)" for b in range(bits - 1, 0, -1) for i in range(k))
+    swap = "if(a[s.i] & s.q != 0, 0L, (a[0] ^ a[s.i]) & (s.q - 1))"
+    undo = (f"transform(a, (v, j) -> v ^ if(j = 0, if(a[s.i] & s.q != 0, s.q - 1, {swap}), 0L) "
+            f"^ if(j = s.i AND j != 0, {swap}, 0L))")
+    axes = ", ".join(f"`{c}`" for c in cells)
+    df = df.withColumn(x, F.expr(f"aggregate(array({steps}), array({axes}), (a, s) -> {undo})"
+                                 if bits > 1 else f"array({axes})"))
+    df = df.withColumn(gray, F.expr(f"transform({x}, (v, i) -> aggregate(slice({x}, 1, i + 1), 0L, (a, e) -> a ^ e))"))
+    flips = f"transform(sequence(1, {bits}), b -> shiftleft(1L, b - 1))"
+    df = df.withColumn(turn, F.expr(f"aggregate({flips}, 0L, (a, q) -> a ^ if({gray}[{k - 1}] & q != 0, q - 1, 0L))"))
+    order = ", ".join(f"struct({b} AS b, {i} AS i)" for b in range(bits - 1, -1, -1) for i in range(k))
+    index = f"aggregate(array({order}), 0L, (a, s) -> a * 2 + (shiftright({gray}[s.i] ^ {turn}, s.b) & 1L))"
+    return df.withColumn(out, F.expr(index)).drop(x, gray, turn)
 
 
 def hilbert_shards(df: DataFrame, dimensions: dict[str, Column], ties: list[Column], shards: int = 16,

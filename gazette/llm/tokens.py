@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLAB = 1 << 21  # bytes handled at once; one longer row is cut between words
+SLAB = 1 << 19  # bytes handled at once; one longer row is cut between words
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
