@@ -115,25 +115,20 @@ def gbt_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=[assembler(), gbt(**kw)])
 
 
-def train(split_df: DataFrame, rows_per_partition: int = 50_000, **kw) -> PipelineModel:
+def train(split_df: DataFrame, partitions: int = 8, key: str = "user_id", **kw) -> PipelineModel:
     """Fit on the ``train`` rows; returns ``PipelineModel([assembler, trees])``.
 
-    Boosting runs one Spark job per tree level and each job pays one task
-    per input partition, so the assembled (vector, label) frame is cached
-    once and narrowed to about one partition per ``rows_per_partition``
-    rows, capped by the task slots (large inputs keep full parallelism).
+    Each tree is grown on a sample that Spark draws per partition, so the
+    layout is part of the model: rows go to ``partitions`` partitions by their
+    key and are sorted within, whatever the input's layout, size or the number
+    of cores.  Equal data and ``partitions`` give an equal model; raise
+    ``partitions`` with the training set.
     """
     asm = assembler()
     vec = asm.transform(model_inputs(split_df.where(F.col("split") == "train"))) \
+        .select(key, "features", "churned").repartition(partitions, key).sortWithinPartitions(key) \
         .select("features", "churned").persist()
     try:
-        slots = vec.sparkSession.sparkContext.defaultParallelism
-        want = max(1, min(slots, -(-vec.count() // rows_per_partition)))
-        if vec.rdd.getNumPartitions() > want:
-            narrowed = vec.coalesce(want).persist()
-            narrowed.count()
-            vec.unpersist()
-            vec = narrowed
         return PipelineModel(stages=[asm, gbt(**kw).fit(vec)])
     finally:
         vec.unpersist()
@@ -209,7 +204,11 @@ def load_model(path: str) -> PipelineModel:
 def at_risk_topn(scored: DataFrame, subscribers: DataFrame, n: int = 10,
                  segment: str = "HIGH") -> DataFrame:
     """Subscribers in a risk segment with the highest lifetime value."""
-    s = subscribers.select("user_id", "subscription_type", "ltv_estimated_eur")
-    j = s.join(scored.select("user_id", "churn_probability", "risk_segment"), "user_id")
+    cols = ["user_id", "subscription_type", "ltv_estimated_eur", "churn_probability", "risk_segment"]
+    if set(cols) <= set(scored.columns):  # the score kept them: no join
+        j = scored.select(*cols)
+    else:
+        s = subscribers.select(*cols[:3])
+        j = s.join(scored.select("user_id", "churn_probability", "risk_segment"), "user_id")
     return (j.where(F.col("risk_segment") == segment)
             .orderBy(F.desc("ltv_estimated_eur"), F.asc("user_id")).limit(n))

@@ -71,9 +71,10 @@ def authors_dim(articles: DataFrame) -> DataFrame:
                     pick(SENIORITY, seniority_idx).alias("seniority"), "article_count"))
 
 
-def typed_events(raw: DataFrame, articles: DataFrame, keep_extra: list | None = None) -> DataFrame:
+def typed_events(raw: DataFrame, articles: DataFrame | None, keep_extra: list | None = None) -> DataFrame:
     """Parse timestamps, add the date, attach ``publication`` (LEFT join).
 
+    Without ``articles`` nothing is joined and ``publication`` is left out.
     The event keeps its own ``section``.  ``keep_extra`` passes further raw
     columns through (e.g. ``event_id`` as a tiebreak, or evolved fields).
     The article side is a dimension; AQE broadcasts it once its measured size
@@ -88,6 +89,8 @@ def typed_events(raw: DataFrame, articles: DataFrame, keep_extra: list | None =
         "country", "city", "traffic_source", "traffic_medium", "engagement_time_sec",
         "scroll_pct",
     )
+    if articles is None:
+        return e
     pub = articles.select("article_id", "publication")
     joined = e.join(pub, on="article_id", how="left")
     return joined.select(*(keep_extra or []), *TYPED_EVENT_COLUMNS)

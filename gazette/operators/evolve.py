@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 _NUMERIC_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4,
                  T.FloatType: 5, T.DoubleType: 6}
 
@@ -78,10 +80,7 @@ def append_evolving(spark: SparkSession, df: DataFrame, path: str) -> T.StructTy
     New columns are simply written (readers use ``mergeSchema``); a type
     change is checked against the stored schema first and refused if unsafe.
     """
-    try:
-        current = spark.read.option("mergeSchema", "true").parquet(path).schema
-    except Exception:
-        current = None
+    current = read_evolving(spark, path).schema if path_exists(spark, path) else None
     if current is not None:
         schema = merged_schema(current, df.schema)
         for f in current.fields:

@@ -47,11 +47,19 @@ def is_privileged(role: str, privileged=PRIVILEGED_ROLES) -> bool:
 
 def secured(df: DataFrame, policies: dict[str, Policy], role: str,
             privileged=PRIVILEGED_ROLES) -> DataFrame:
-    """The frame as ``role`` sees it: policy columns masked unless privileged."""
+    """The frame as ``role`` sees it: policy columns masked unless privileged.
+
+    Columns are matched as Spark matches names, whatever their case; a policy
+    without its column is an error, so that a renamed column cannot slip by.
+    """
+    by_name = {c.lower(): p for c, p in policies.items()}
+    missing = set(by_name) - {c.lower() for c in df.columns}
+    if missing:
+        raise ValueError(f"policy columns missing from the frame: {sorted(missing)}")
     if is_privileged(role, privileged):
         return df
     return df.select(*[
-        policies[c](F.col(c)).alias(c) if c in policies else F.col(c) for c in df.columns
+        by_name[c.lower()](F.col(c)).alias(c) if c.lower() in by_name else F.col(c) for c in df.columns
     ])
 
 

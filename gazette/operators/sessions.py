@@ -75,23 +75,34 @@ def sessionize(events: DataFrame, gap_minutes: int = 30, user: str = "user_pseud
 
 def sessions(events: DataFrame, gap_minutes: int = 30, method: str = "buckets") -> DataFrame:
     """One row per (user, session number) with engagement metrics."""
-    s = sessionize(events, gap_minutes, method=method)
-    ev = F.col("event_name")
-    agg = s.groupBy("user_pseudo_id", "session_id").agg(
-        F.min("event_timestamp").alias("session_start"),
-        F.max("event_timestamp").alias("session_end"),
-        F.count("*").alias("total_events"),
-        F.count_distinct("article_id").alias("articles_viewed"),
-        F.sum("engagement_time_sec").alias("total_engagement_sec"),
-        F.max("device_category").alias("device"),
-        F.max("traffic_source").alias("traffic_source"),
-        F.count_if(ev == "paywall_hit").alias("paywall_hits"),
-        F.count_if(ev == "subscribe_click").alias("subscribe_clicks"),
-        F.array_sort(F.collect_set("section")).alias("sections_visited"),
-    )
-    return agg.withColumn(
-        "session_duration_sec", boundary_diff("second", "session_start", "session_end")
-    ).select(*SESSION_COLUMNS)
+    ev, user = F.col("event_name"), "user_pseudo_id"
+    metrics = {
+        "session_start": (F.min("event_timestamp"), F.min), "session_end": (F.max("event_timestamp"), F.max),
+        "total_events": (F.count("*"), F.sum), "total_engagement_sec": (F.sum("engagement_time_sec"), F.sum),
+        "device": (F.max("device_category"), F.max), "traffic_source": (F.max("traffic_source"), F.max),
+        "paywall_hits": (F.count_if(ev == "paywall_hit"), F.sum),
+        "subscribe_clicks": (F.count_if(ev == "subscribe_click"), F.sum),
+    }
+    sets = {"articles_viewed": F.collect_set("article_id"), "sections_visited": F.collect_set("section")}
+    if method == "window":  # row by row: the check of the other form
+        rows = sessionize(events, gap_minutes, method=method)
+        agg = rows.groupBy(user, "session_id").agg(*[first.alias(n) for n, (first, _) in metrics.items()],
+                                                   *[c.alias(n) for n, c in sets.items()])
+    else:
+        # one row per (user, minute), numbered per user; sessions then need no further shuffle
+        minutes = (events.groupBy(user, F.date_trunc("minute", "event_timestamp").alias("_minute"))
+                   .agg(*[first.alias(n) for n, (first, _) in metrics.items()], *[c.alias(n) for n, c in sets.items()]))
+        w = Window.partitionBy(user).orderBy(F.col("_minute").asc_nulls_last())
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        agg = (minutes.withColumn("_flag", _flag(F.lag("_minute").over(w), F.col("_minute"), gap_minutes))
+               .withColumn("session_id", F.sum("_flag").over(run).cast("long"))
+               .groupBy(user, "session_id")
+               .agg(*[again(n).alias(n) for n, (_, again) in metrics.items()],
+                    *[F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in sets]))
+    return (agg.withColumn("articles_viewed", F.size("articles_viewed").cast("long"))
+            .withColumn("sections_visited", F.array_sort("sections_visited"))
+            .withColumn("session_duration_sec", boundary_diff("second", "session_start", "session_end"))
+            .select(*SESSION_COLUMNS))
 
 
 def session_summary(sessions_df: DataFrame) -> DataFrame:

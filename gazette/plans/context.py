@@ -56,6 +56,11 @@ class Context:
         """Typed events (C3) with ``event_id`` kept as a tiebreak column."""
         return curate.typed_events(self.raw, self.articles, keep_extra=["event_id"])
 
+    @cached_property
+    def actions(self) -> DataFrame:
+        """Typed events without ``publication``: no article join, for marts that do not read it."""
+        return curate.typed_events(self.raw, None, keep_extra=["event_id"])
+
     def events_since(self, day: str) -> DataFrame:
         """Typed events of ``day`` and later; the bound is pushed to the scan."""
         raw = td.tracking_events(self.spark, self.sf_dir, since=day)

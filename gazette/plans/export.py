@@ -19,7 +19,7 @@ from .registry import register
 
 def export_article_metrics(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
     ctx = Context(spark, sf_dir)
-    perf = aggregates.article_performance(ctx.articles, ctx.events)
+    perf = aggregates.article_performance(ctx.articles, ctx.actions)
     return export.export_parquet(perf, path or scratch_path(spark, "portable-article-metrics"))
 
 
@@ -38,7 +38,7 @@ FROM ({ARTICLE_PERFORMANCE_SQL}) p"""))
 def q_export_narrow(spark, sf_dir):
     """S12 narrow form: the 7-column open table, read back by any engine."""
     ctx = Context(spark, sf_dir)
-    perf = aggregates.article_performance(ctx.articles, ctx.events)
+    perf = aggregates.article_performance(ctx.articles, ctx.actions)
     path = export.export_parquet(perf, scratch_path(spark, "portable-narrow"), columns=export.NARROW_COLUMNS)
     return export.read_export(spark, path).select(*export.NARROW_COLUMNS)
 
@@ -73,40 +73,18 @@ def part_articles(part: DataFrame) -> DataFrame:
     )
 
 
-def _tier_sql(expr, tiers):
-    return "CASE " + " ".join(f"WHEN {expr} >= {t} THEN '{n}'" for n, t in tiers) + " ELSE 'LOW' END"
-
-
-LINEITEM_SQL = f"""
-WITH ev AS (
+LINEITEM_SQL = O.with_ctes("""
+ev AS (
   SELECT l_partkey AS article_id, l_suppkey AS user_pseudo_id, CAST(l_quantity AS BIGINT) AS engagement_time_sec,
-         CASE l_returnflag WHEN 'R' THEN 'paywall_hit' WHEN 'A' THEN 'subscribe_click' ELSE 'scroll' END AS event_name,
+         map {'R': 'paywall_hit', 'A': 'subscribe_click', 'N': 'scroll'}[l_returnflag] AS event_name,
          CAST(round(l_discount * 1000) AS BIGINT) AS scroll_pct, l_shipdate AS event_timestamp
   FROM lineitem
-), st AS (
-  SELECT article_id, count(DISTINCT user_pseudo_id) AS unique_readers, count(*) AS total_events,
-         avg(engagement_time_sec) AS avg_engagement_sec,
-         count(CASE WHEN event_name = 'scroll' AND scroll_pct >= {DEEP_READ_SCROLL_PCT} THEN 1 END) AS deep_reads,
-         count(CASE WHEN event_name = 'share' THEN 1 END) AS shares,
-         count(CASE WHEN event_name = 'paywall_hit' THEN 1 END) AS paywall_hits,
-         count(CASE WHEN event_name = 'subscribe_click' THEN 1 END) AS conversions,
-         min(event_timestamp) AS first_read, max(event_timestamp) AS last_read
-  FROM ev WHERE article_id IS NOT NULL GROUP BY article_id
-)
-SELECT p.p_partkey AS article_id, p.p_name AS title, p.p_brand AS author, p.p_type AS section,
-       p.p_brand AS publication, TIMESTAMP '1992-01-01 00:00:00' AS published_at,
-       CAST(p.p_size AS BIGINT) AS word_count,
-       CASE WHEN p.p_retailprice > 1500 THEN 'hard' ELSE 'none' END AS paywall_type,
-       coalesce(st.unique_readers, 0) AS unique_readers, coalesce(st.total_events, 0) AS total_events,
-       coalesce(st.avg_engagement_sec, 0) AS avg_engagement_sec, coalesce(st.deep_reads, 0) AS deep_reads,
-       coalesce(st.shares, 0) AS shares, coalesce(st.paywall_hits, 0) AS paywall_hits,
-       coalesce(st.conversions, 0) AS conversions,
-       CASE WHEN st.paywall_hits > 0 THEN round(st.conversions / st.paywall_hits * 100, 1) ELSE 0 END
-         AS conversion_rate_pct,
-       date_diff('hour', TIMESTAMP '1992-01-01 00:00:00', st.last_read) AS lifespan_hours,
-       date_diff('hour', TIMESTAMP '1992-01-01 00:00:00', st.first_read) AS time_to_first_read_hours,
-       {_tier_sql('coalesce(st.unique_readers, 0)', LINEITEM_TIERS)} AS performance_tier
-FROM part p LEFT JOIN st ON p.p_partkey = st.article_id"""
+), articles AS (
+  SELECT p_partkey AS article_id, p_name AS title, p_brand AS author, p_type AS section, p_brand AS publication,
+         TIMESTAMP '1992-01-01 00:00:00' AS published_at, CAST(p_size AS BIGINT) AS word_count,
+         if(p_retailprice > 1500, 'hard', 'none') AS paywall_type
+  FROM part
+)""", O.content_ctes(LINEITEM_TIERS, False, DEEP_READ_SCROLL_PCT), body="SELECT * FROM content")
 
 
 @register("lineitem_part_performance", LINEITEM_SQL)
@@ -145,8 +123,8 @@ def build_marts(spark: SparkSession, sf_dir: str, out_root: str | None = None,
     """Rebuild the three marts (sessions view + two tables) in one run."""
     root = out_root or scratch_path(spark, "marts")
     ctx = Context(spark, sf_dir)
-    sessions_op.sessions(ctx.events).createOrReplaceTempView("stg_sessions")  # view (S11)
-    marts.content_analytics(ctx.articles, ctx.events).write.mode("overwrite").parquet(f"{root}/content_analytics")
-    marts.subscriber_journey(ctx.events, ctx.subscribers, as_of).write.mode("overwrite").parquet(
+    sessions_op.sessions(ctx.actions).createOrReplaceTempView("stg_sessions")  # view (S11)
+    marts.content_analytics(ctx.articles, ctx.actions).write.mode("overwrite").parquet(f"{root}/content_analytics")
+    marts.subscriber_journey(ctx.actions, ctx.subscribers, as_of).write.mode("overwrite").parquet(
         f"{root}/subscriber_journey")
     return {"root": root, "tables": ["content_analytics", "subscriber_journey"], "views": ["stg_sessions"]}

@@ -38,6 +38,18 @@ def q_masked_analyst(spark, sf_dir):
     return _masked(spark, sf_dir, ANALYST_ROLE)
 
 
+_LOADED = ["user_id", "full_name", "email", "phone"]
+
+
+@register("masked_loaded", O.with_ctes(O.SUBSCRIBERS_CTE, body="""
+SELECT user_id AS "USER_ID", '*** MASKED ***' AS "FULL_NAME", '****' || substr(email, instr(email, '@')) AS "EMAIL",
+       '+33 **** ** ' || substr(phone, -2) AS "PHONE" FROM subscribers"""))
+def q_masked_loaded(spark, sf_dir):
+    """C16 over names in upper case, as the subscriber files spell them."""
+    subs = Context(spark, sf_dir).subscribers.select(*[F.col(c).alias(c.upper()) for c in _LOADED])
+    return masking.secured(subs, masking.SUBSCRIBER_POLICIES, ANALYST_ROLE)
+
+
 @register("masked_sysadmin", _MASKED_SQL)
 def q_masked_sysadmin(spark, sf_dir):
     """Exact role match only: a role granted the admin role still sees masks."""
@@ -46,7 +58,7 @@ def q_masked_sysadmin(spark, sf_dir):
 
 def _model(spark, sf_dir):
     ctx = Context(spark, sf_dir)
-    return metrics.content_model(aggregates.article_performance(ctx.articles, ctx.events),
+    return metrics.content_model(aggregates.article_performance(ctx.articles, ctx.actions),
                                  aggregates.reader_engagement(ctx.events))
 
 

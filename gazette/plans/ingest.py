@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, curate, evolve, nested
-from ..session import materialize, scratch_path
+from ..session import materialize, path_exists, scratch_path
 from ..sources import json_loader, staging
 from ..sources import testdata as td
 from ..sources.schemas import EVOLVED_FIELDS, SUBSCRIBER_SCHEMA, TRACKING_SCHEMA
@@ -58,10 +58,7 @@ def q_staged_batch_load(spark, sf_dir):
     paths = staging.stage_tracking_batches(spark, sf_dir)
     table_path, ledger = scratch_path(spark, "raw-staged"), scratch_path(spark, "load-ledger")
     for landing in (paths["batch_1"], paths["batch_1"], paths["batch_2"]):
-        try:
-            current = evolve.read_evolving(spark, table_path).schema
-        except Exception:
-            current = TRACKING_SCHEMA
+        current = evolve.read_evolving(spark, table_path).schema if path_exists(spark, table_path) else TRACKING_SCHEMA
         if landing == paths["batch_2"]:
             current = evolve.merged_schema(current, json_loader.infer_schema(spark, landing))
         rows, files = json_loader.load_once(spark, landing, current, ledger)

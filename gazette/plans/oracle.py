@@ -110,5 +110,48 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
 
+def ladder(value: str, tiers, strict: bool) -> str:
+    """Label by the number of thresholds that a value passes."""
+    op = ">" if strict else ">="
+    labels = ["LOW"] + [name for name, _ in reversed(tiers)]
+    passed = " + ".join(f"CAST(({value}) {op} {t} AS INTEGER)" for _, t in tiers)
+    return f"{labels!r}[1 + {passed}]"
+
+
+def content_ctes(tiers, strict: bool, deep: int) -> str:
+    """Content mart over CTEs ``ev`` and ``articles``: counts per event kind, then one row per article."""
+    def kind(name: str, what: str = "n") -> str:
+        return f"COALESCE(sum({what}) FILTER (WHERE event_name = '{name}'), 0)"
+
+    return f"""
+kinds AS (
+  SELECT article_id, event_name, count(*) AS n, count(*) FILTER (WHERE scroll_pct >= {deep}) AS deep
+  FROM ev GROUP BY ALL
+),
+tallies AS (
+  SELECT article_id, CAST(sum(n) AS BIGINT) AS n_all, CAST({kind('scroll', 'deep')} AS BIGINT) AS n_deep,
+         CAST({kind('share')} AS BIGINT) AS n_share, CAST({kind('paywall_hit')} AS BIGINT) AS n_wall,
+         CAST({kind('subscribe_click')} AS BIGINT) AS n_sub
+  FROM kinds GROUP BY article_id
+),
+reading AS (
+  SELECT article_id, avg(engagement_time_sec) AS mean_time, min(event_timestamp) AS t0, max(event_timestamp) AS t1,
+         (SELECT count(*) FROM (SELECT DISTINCT article_id, user_pseudo_id FROM ev WHERE user_pseudo_id IS NOT NULL) r
+          WHERE r.article_id = x.article_id) AS n_readers
+  FROM ev x GROUP BY article_id
+),
+content AS (
+  SELECT art.article_id, art.title, art.author, art.section, art.publication, art.published_at, art.word_count,
+         art.paywall_type, IFNULL(n_readers, 0) AS unique_readers, IFNULL(n_all, 0) AS total_events,
+         IFNULL(mean_time, 0) AS avg_engagement_sec, IFNULL(n_deep, 0) AS deep_reads, IFNULL(n_share, 0) AS shares,
+         IFNULL(n_wall, 0) AS paywall_hits, IFNULL(n_sub, 0) AS conversions,
+         IFNULL(round(n_sub / nullif(n_wall, 0) * 100, 1), 0) AS conversion_rate_pct,
+         date_diff('hour', art.published_at, t1) AS lifespan_hours,
+         date_diff('hour', art.published_at, t0) AS time_to_first_read_hours,
+         {ladder('IFNULL(n_readers, 0)', tiers, strict)} AS performance_tier
+  FROM articles art LEFT JOIN tallies USING (article_id) LEFT JOIN reading USING (article_id)
+)"""
+
+
 def with_events(body: str) -> str:
     return with_ctes(EV_CTE, ARTICLES_CTE, EVENTS_CTE, body=body)

@@ -127,6 +127,12 @@ def materialize(df, name: str, partition_by: list | None = None):
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; other errors are raised, never read as absence."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the files under ``paths`` (a listing, no data read)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -141,34 +147,42 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
+_SHUFFLE = "spark.sql.shuffle.partitions"
+_SIZED: dict[str, str] = {}  # application -> the value that tune_shuffle_partitions set last
+
+
 def tune_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 128 << 20,
-                            max_partitions: int = 100_000, only_if_default: bool = True) -> int:
-    """Size ``spark.sql.shuffle.partitions`` from the input volume.
+                            only_if_default: bool = True) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input volume, anew for each input.
 
     About one partition per ``target_bytes`` of input (shuffled data is
     usually smaller, and AQE coalesces further), never fewer than the task
-    slots.  With ``only_if_default`` an explicit user setting is kept.
+    slots.  With ``only_if_default`` a value that somebody else set, at the
+    start or since, is kept.
     """
-    current = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    if only_if_default and current != "200":
+    app = spark.sparkContext.applicationId
+    current = spark.conf.get(_SHUFFLE, "200")
+    ours = current == _SIZED.get(app, "200") and not (
+        app not in _SIZED and spark.sparkContext.getConf().contains(_SHUFFLE))
+    if only_if_default and not ours:
         return int(current)
-    slots = spark.sparkContext.defaultParallelism
-    n = max(slots, min(max_partitions, -(-input_bytes(spark, paths) // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // target_bytes))
+    _SIZED[app] = str(n)
+    spark.conf.set(_SHUFFLE, str(n))
     return n
 
 
-def rebalance_small_scan(df, path: str, min_bytes: int = 1 << 20):
+def rebalance_small_scan(df, path: str, min_bytes: int = 1 << 20, max_bytes: int = 1 << 30):
     """Spread an under-partitioned scan over the task slots.
 
     A few large unsplittable inputs (single-row-group Parquet, gzip JSON)
     give fewer scan tasks than cores; a round-robin repartition then lets
     the per-row work (parsing, projection, partial aggregation) run in
-    parallel.  On a cluster input of many files the scan already has more
-    partitions than slots and this is a no-op.
+    parallel.  Inputs above ``max_bytes`` are never shuffled for this: at that
+    size the scan's own splits keep a cluster busy.
     """
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots or input_bytes(spark, path) < min_bytes:
+    if not min_bytes <= input_bytes(spark, path) <= max_bytes or df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import path_exists
+
 
 def load_ndjson(spark: SparkSession, paths, schema: StructType, case_insensitive: bool = True,
                 fail_fast: bool = True, path_glob: str | None = None) -> DataFrame:
@@ -49,26 +51,23 @@ def parse_lines(lines: DataFrame, schema: StructType, fail_fast: bool = True,
 
 def load_variant(spark: SparkSession, paths, column: str = "raw_event",
                  unwrap_key: str | None = None) -> DataFrame:
-    """Each line -> one VARIANT value; optionally unwrap ``{"<key>": {...}}``."""
+    """Each line -> one VARIANT value; optionally unwrap ``{"<key>": {...}}``.
+
+    A malformed line aborts the load.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.format("json").option("singleVariantColumn", column).load(paths)
+    df = spark.read.format("json").option("singleVariantColumn", column).option("mode", "FAILFAST").load(paths)
     if unwrap_key:
         inner = F.try_variant_get(F.col(column), f"$.{unwrap_key}", "variant")
         df = df.select(F.coalesce(inner, F.col(column)).alias(column))
     return df
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the input file path (hidden ``_metadata`` column of file sources)."""
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
-
-
 def new_files(spark: SparkSession, files: DataFrame, ledger_path: str) -> DataFrame:
     """Files (column ``_source_file``) not yet recorded in the ledger."""
-    try:
-        seen = spark.read.parquet(ledger_path)
-    except Exception:  # first run: empty ledger
+    if not path_exists(spark, ledger_path):  # first run; an unreadable ledger raises
         return files
+    seen = spark.read.parquet(ledger_path)
     return files.join(seen, "_source_file", "left_anti")
 
 
@@ -118,8 +117,9 @@ def record_file_list(spark: SparkSession, files: list[str], ledger_path: str) ->
 def infer_schema(spark: SparkSession, paths, sampling_ratio: float = 1.0) -> StructType:
     """JSON schema inference with lower-cased, de-duplicated field names.
 
-    Inference is a pass over (a sample of) the input; on very large landing
-    folders pass ``sampling_ratio`` < 1 or declare the schema.
+    Inference is a pass over the input; on very large landing folders declare
+    the schema instead.  With ``sampling_ratio`` < 1 fields of unsampled lines
+    would be lost.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     inferred = spark.read.option("samplingRatio", sampling_ratio).json(paths).schema

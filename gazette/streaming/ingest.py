@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import cdc, evolve
+from ..session import path_exists
 from ..sources import json_loader
 from .refresh import run_available_now
 
@@ -28,11 +29,9 @@ class EvolvingFileIngest:
         self.source = source
 
     def current_schema(self, spark: SparkSession) -> T.StructType:
-        try:
-            return (spark.read.option("mergeSchema", "true").parquet(self.raw_path)
-                    .drop("_source", "_batch").schema)
-        except Exception:
+        if not path_exists(spark, self.raw_path):
             return self.base_schema
+        return evolve.read_evolving(spark, self.raw_path).drop("_source", "_batch").schema
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -55,7 +54,7 @@ class EvolvingFileIngest:
 
 
 def file_stream(spark: SparkSession, landing: str, glob: str = "*.json*",
-                max_files: int | None = 1) -> DataFrame:
+                max_files: int | None = None) -> DataFrame:
     r = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -89,8 +88,12 @@ class ChangeFeedApply:
 
 
 def apply_change_stream(spark: SparkSession, landing: str, schema: T.StructType, store: cdc.SnapshotStore,
-                        key: list, order: list, checkpoint: str, max_files: int = 2) -> ChangeFeedApply:
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
+                        key: list, order: list, checkpoint: str, max_files: int | None = None) -> ChangeFeedApply:
+    """``max_files`` bounds a micro-batch if given; otherwise a batch takes the whole backlog."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.parquet(landing)
     handler = ChangeFeedApply(store, key, order)
     run_available_now(stream, handler, checkpoint)
     return handler

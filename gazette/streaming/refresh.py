@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import DEEP_READ_SCROLL_PCT
 from ..operators import aggregates
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 ARTICLE_BUCKETS = 32
 
@@ -126,9 +126,9 @@ class PerformanceRefresh:
         buckets = [r[0] for r in changed.select("_bucket").distinct().collect()]
         if not buckets:
             return
-        try:
+        if path_exists(spark, self.raw.path):
             events = self.raw.read(spark).where(article_bucket().isin(buckets))
-        except Exception:  # nothing ingested yet
+        else:  # nothing ingested yet
             events = self.raw_schema_empty(spark)
         arts = self.articles.where(F.col("_bucket").isin(buckets)).drop("_bucket")
         _overwrite(self._compute(events, arts), self.out_path, "_bucket")
@@ -238,13 +238,11 @@ class PerformanceIncremental:
             buckets = [r[0] for r in pairs.select("_bucket").distinct().collect()]
             new_pairs = pairs
             if buckets:
-                try:
+                if path_exists(spark, f"{self.root}/pairs"):
                     seen = (spark.read.parquet(f"{self.root}/pairs")
                             .where(F.col("_bucket").isin(buckets) & (F.col("_batch") < batch_id))
                             .select("article_id", "user_pseudo_id"))
                     new_pairs = pairs.join(seen, ["article_id", "user_pseudo_id"], "left_anti")
-                except Exception:  # no pairs written yet
-                    pass
                 new_pairs = new_pairs.persist()
                 (new_pairs.withColumn("_batch", F.lit(int(batch_id)))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -332,8 +330,7 @@ class EngagementIncremental(PerformanceIncremental):
         new = None
         try:
             days = [r[0] for r in batch.select("event_date").distinct().collect()]
-            if not days:
-                self._mark(spark, batch_id)
+            if not days:  # nothing to add: the last totals stay the current ones
                 return
             tuples = batch.where(F.col("user_pseudo_id").isNotNull()) \
                 .select(*self.KEYS, "user_pseudo_id").distinct()
