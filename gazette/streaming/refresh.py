@@ -126,7 +126,7 @@ class PerformanceRefresh:
         buckets = [r[0] for r in changed.select("_bucket").distinct().collect()]
         if not buckets:
             return
-        if path_exists(spark, self.raw.path):
+        if path_exists(spark, self.raw.raw_path):
             events = self.raw.read(spark).where(article_bucket().isin(buckets))
         else:  # nothing ingested yet
             events = self.raw_schema_empty(spark)
