@@ -196,17 +196,17 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS, bucket: int = BUCKET)
 
 
 def component_of(rows: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """``(fp, component_id)`` for each distinct ``fp`` of ``rows`` ``(doc_id, fp)``.
+    """``(fp, root, component_id)`` for each distinct ``fp`` of ``rows`` ``(doc_id, fp)``.
 
-    ``component_id`` is the smallest ``doc_id`` of the component (NULL if it has
-    none).
+    ``root`` names the component by a fingerprint, ``component_id`` by its
+    smallest ``doc_id`` (NULL if it has none).
     """
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     label = components(links(distinct.select("fp"), most_bits), "simhash")
     rooted = distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = materialize(rooted.withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rooted.join(lowest, "root").select("fp", "component_id")
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
@@ -225,16 +225,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MO
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest ``doc_id``.
 
-    Of rows that share that id one stays, by the hash of its text.  Rows without
-    an id stay only in components where no row has one, once per fingerprint.
+    Of rows of a component that share that id one stays, by the hash of its
+    text.  Rows without an id stay, one of them, only where no row has one.
     """
-    fp, low, pick = fresh(docs, "_fp"), fresh(docs, "_low"), fresh(docs, "_pick")
+    fp, low, root, pick = (fresh(docs, x) for x in ("_fp", "_low", "_root", "_pick"))
     rows = materialize(fingerprints(docs, fp, docs.columns, shingle), "simhash-docs")
     small = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"))
-    comp = component_of(small, most_bits).select(F.col("fp").alias(fp), F.col("component_id").alias(low))
+    comp = component_of(small, most_bits).withColumnsRenamed({"fp": fp, "root": root, "component_id": low})
     first = rows.join(comp, fp).where(F.col("doc_id").cast("long").eqNullSafe(F.col(low)))
-    # few rows share an id: the one with the smallest text hash stays
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return (first.groupBy(low, F.when(F.col(low).isNull(), F.col(fp)).alias(fp))
-            .agg(F.min_by(whole, F.xxhash64("text")).alias(pick))
+    return (first.groupBy(root).agg(F.min_by(whole, F.xxhash64("text")).alias(pick))
             .select(*[F.col(f"{pick}.`{c}`").alias(c) for c in docs.columns]))
