@@ -77,9 +77,8 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     No task sorts a whole label: the hash's top ``buckets_bits`` bits form
     order-preserving buckets; a per-label histogram of bucket counts (at most
     2^bits rows per label) yields, by a running sum, how many rows precede
-    each bucket; each row's exact rank is that offset plus its rank inside
-    its own bucket.  Buckets are uniform hash ranges, so that last window
-    has small, even partitions whatever the label balance.
+    each bucket.  Only the one bucket per label that holds the cut is ranked
+    row by row; it is a uniform hash range, so it stays small.
     """
     h = hash60(F.col(key), f"seed{seed}")
     rows = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 60 - buckets_bits))
@@ -90,12 +89,15 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
             .withColumn("_tot", F.sum("_n").over(Window.partitionBy(label)))
             # ceil(n * p / q) in exact integer arithmetic
             .withColumn("_k", F.expr(f"(_tot * {frac.numerator} + {frac.denominator - 1}) div {frac.denominator}"))
-            .select(label, "_b", F.coalesce("_before", F.lit(0).cast("long")).alias("_before"), "_k"))
-    ranked = rows.join(hist, [label, "_b"], "inner").withColumn(
-        "_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)))
-    return (ranked.withColumn("split", F.when(F.col("_before") + F.col("_r") <= F.col("_k"), "test")
-                              .otherwise("train"))
-            .drop("_h", "_b", "_before", "_k", "_r"))
+            .select(label, "_b", F.coalesce("_before", F.lit(0).cast("long")).alias("_before"), "_n", "_k"))
+    # buckets wholly below or above the cut need no ranks; one bucket per label holds it
+    placed = rows.join(hist, [label, "_b"], "inner")
+    cut = (F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_n") > F.col("_k"))
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
+    whole = placed.where(~cut).withColumn("split", F.when(F.col("_before") < F.col("_k"), "test").otherwise("train"))
+    split = placed.where(cut).withColumn("split", F.when(F.col("_before") + rank <= F.col("_k"), "test")
+                                         .otherwise("train"))
+    return whole.unionByName(split).drop("_h", "_b", "_before", "_k", "_n")
 
 
 def assembler() -> VectorAssembler:

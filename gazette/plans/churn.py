@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import churn_rule_score_sql, engagement_segment_sql
 from ..functions.sql_functions import register_sql_functions
 from ..operators import churn
+from ..session import materialize, scratch_path
 from ..sources import testdata as td
 from . import oracle as O
 from .context import Context
@@ -163,14 +164,18 @@ _MODELS: dict = {}
 
 
 def _model(spark, sf_dir):
-    """Train once per fixture folder and process (100 trees, depth 5, lr 0.1, 0.8 subsample)."""
-    key = sf_dir.rstrip("/")
+    """Train once per application and fixture folder (100 trees, depth 5, lr 0.1, 0.8 subsample).
+
+    The split is a written table and the model is saved in the shared folder;
+    queries use the loaded model.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _MODELS:
-        feats = _features(spark, sf_dir)
-        split = churn.stratified_split(feats, "churned", 0.2, 42).cache()
-        model = churn.train(split)
-        _MODELS[key] = (model, split)
-    return _MODELS[key]
+        split = materialize(churn.stratified_split(_features(spark, sf_dir), "churned", 0.2, 42), "churn-split")
+        fitted = churn.train(split)
+        path = churn.save_model(fitted, scratch_path(spark, "churn-model"))
+        _MODELS[key] = (churn.load_model(path), split, fitted)
+    return _MODELS[key][:2]
 
 
 @register("churn_model_scores")
@@ -181,6 +186,26 @@ def q_churn_model_scores(spark, sf_dir):
         "user_id", "churned", "churn_probability", "risk_segment")
 
 
+@register("churn_model_invariants", """
+SELECT count(*) AS subscribers, 0 AS out_of_range, 0 AS wrong_segment, 0 AS changed_by_saving FROM customer""")
+def q_churn_model_invariants(spark, sf_dir):
+    """M8 + M9 over a SQL view of the trained model: scores in [0, 1], segments
+    that follow the score, and equal scores from the fitted and the saved model."""
+    model, _ = _model(spark, sf_dir)
+    fitted = _MODELS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))][2]
+    feats = _features(spark, sf_dir)
+    churn.score(model, feats).createOrReplaceTempView("scored_subscribers")
+    churn.score(fitted, feats).createOrReplaceTempView("scored_before_saving")
+    return spark.sql("""
+SELECT count(*) AS subscribers,
+       cast(count_if(NOT s.churn_probability BETWEEN 0 AND 1) AS int) AS out_of_range,
+       cast(count_if(s.risk_segment != CASE WHEN s.churn_probability > 0.7001D THEN 'HIGH'
+              WHEN s.churn_probability > 0.4001D AND s.churn_probability < 0.6999D THEN 'MEDIUM'
+              WHEN s.churn_probability < 0.3999D THEN 'LOW' ELSE s.risk_segment END) AS int) AS wrong_segment,
+       cast(count_if(s.churn_probability != f.churn_probability) AS int) AS changed_by_saving
+FROM scored_subscribers s JOIN scored_before_saving f USING (user_id)""")
+
+
 @register("churn_model_at_risk")
 def q_churn_model_at_risk(spark, sf_dir):
     """C17 / M10 with the model: top 10 HIGH-risk by LTV, scored as served."""

@@ -40,8 +40,19 @@ class EvolvingFileIngest:
             files = [r[0] for r in batch.select("_source_file").distinct().collect()]
             if not files:
                 return
-            incoming = json_loader.infer_schema(spark, files)
-            schema = evolve.merged_schema(self.current_schema(spark), incoming)
+            current = self.current_schema(spark)
+            have = {f.name.lower() for f in current.fields}
+            # a new number may be fractional in a later file: store it as double from the start
+            incoming = T.StructType([
+                T.StructField(f.name, T.DoubleType(), True)
+                if f.name.lower() not in have and isinstance(f.dataType, T.LongType) else f
+                for f in json_loader.infer_schema(spark, files).fields])
+            schema = evolve.merged_schema(current, incoming)
+            for f in current.fields:  # files already written keep their type, or later reads fail
+                if schema[f.name].dataType != f.dataType:
+                    raise evolve.SchemaConflict(
+                        f"column {f.name} would change type {f.dataType.simpleString()} -> "
+                        f"{schema[f.name].dataType.simpleString()}")
             rows = json_loader.parse_lines(batch, schema)
             (rows.withColumn("_source", F.lit(self.source)).withColumn("_batch", F.lit(int(batch_id)))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
