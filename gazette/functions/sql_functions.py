@@ -6,8 +6,9 @@
   ``FROM t, LATERAL predict_churn_rule(...)`` (J7).  It scores with the
   fixed formula (M11); NULL inputs count as 0; the probability is rounded
   to 4 places and the segment uses the unrounded value.
-* ``mask_email / mask_name / mask_phone(value, role)`` -- the masking
-  policies (G1-G3) with the role passed explicitly (exact match).
+* ``mask_email / mask_name / mask_phone(value)`` -- the masking policies
+  (G1-G3) for the role bound when the functions are registered (exact match),
+  so a query cannot name a role of its own.
 
 Unlike Python UDFs/UDTFs these are SQL bodies, so they stay inside
 whole-stage codegen.
@@ -23,11 +24,8 @@ from .constants import (
 )
 
 
-def _roles() -> str:
-    return ", ".join("'" + r + "'" for r in PRIVILEGED_ROLES)
-
-
-def register_sql_functions(spark: SparkSession) -> None:
+def register_sql_functions(spark: SparkSession, role: str | None = None) -> None:
+    clear = role in PRIVILEGED_ROLES
     spark.sql(f"""
 CREATE OR REPLACE TEMPORARY FUNCTION predict_churn_rule(
   days_since_last_login BIGINT, articles_read_30d BIGINT, subscription_months BIGINT,
@@ -37,12 +35,8 @@ RETURN SELECT round(s, 4),
               CASE WHEN s > {RISK_HIGH}D THEN 'HIGH' WHEN s > {RISK_MEDIUM}D THEN 'MEDIUM' ELSE 'LOW' END
 FROM (SELECT {churn_rule_score_sql("coalesce(days_since_last_login, 0)", "coalesce(articles_read_30d, 0)",
                                     "coalesce(paywall_bounces_30d, 0)", dbl="D")} AS s)""")
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION mask_email(val STRING, role STRING) RETURNS STRING
-RETURN CASE WHEN role IN ({_roles()}) THEN val ELSE regexp_replace(val, '.+@', '{EMAIL_MASK}') END""")
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION mask_name(val STRING, role STRING) RETURNS STRING
-RETURN CASE WHEN role IN ({_roles()}) THEN val ELSE '{NAME_MASK}' END""")
-    spark.sql(f"""
-CREATE OR REPLACE TEMPORARY FUNCTION mask_phone(val STRING, role STRING) RETURNS STRING
-RETURN CASE WHEN role IN ({_roles()}) THEN val ELSE concat('{PHONE_MASK_PREFIX}', right(val, 2)) END""")
+    bodies = {"mask_email": f"regexp_replace(val, '.+@', '{EMAIL_MASK}')", "mask_name": f"'{NAME_MASK}'",
+              "mask_phone": f"concat('{PHONE_MASK_PREFIX}', right(val, 2))"}
+    for name, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(val STRING) RETURNS STRING "
+                  f"RETURN {'val' if clear else body}")

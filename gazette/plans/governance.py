@@ -108,11 +108,10 @@ def q_metric_by_synonyms(spark, sf_dir):
 
 @register("masked_sql", _MASKED_SQL)
 def q_masked_sql(spark, sf_dir):
-    """G1-G3 through the SQL masking functions, role given explicitly."""
-    register_sql_functions(spark)
+    """G1-G3 through the SQL masking functions, bound to the analyst's role."""
+    register_sql_functions(spark, ANALYST_ROLE)
     Context(spark, sf_dir).subscribers.createOrReplaceTempView("subscribers")
-    return spark.sql(f"""
-SELECT user_id, mask_name(full_name, '{ANALYST_ROLE}') AS full_name,
-       mask_email(email, '{ANALYST_ROLE}') AS email, mask_phone(phone, '{ANALYST_ROLE}') AS phone,
+    return spark.sql("""
+SELECT user_id, mask_name(full_name) AS full_name, mask_email(email) AS email, mask_phone(phone) AS phone,
        subscription_type, ltv_estimated_eur
 FROM subscribers""")
