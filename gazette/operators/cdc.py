@@ -30,7 +30,7 @@ def current_state(changes: DataFrame, key: list, order: list, op_col: str = "op"
                   delete_value: str = "D", keep_op: bool = False) -> DataFrame:
     """Current rows: latest image per key unless that latest change is a delete."""
     latest = latest_per_key(changes, key, order)
-    out = latest.where(F.col(op_col) != F.lit(delete_value))
+    out = latest.where(~F.col(op_col).eqNullSafe(F.lit(delete_value)))  # a change without op is no delete
     return out if keep_op else out.drop(op_col)
 
 

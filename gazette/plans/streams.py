@@ -57,28 +57,55 @@ def q_cdc_current_state(spark, sf_dir):
     return cdc.current_state(Context(spark, sf_dir).change_feed, CDC_KEY, CDC_ORDER).select(*CDC_COLUMNS)
 
 
+CALENDAR_COLUMNS = ["article_id", "entry_id", "planned_date", "priority", "change_ts", "change_seq", "change_sub"]
+CALENDAR_ORDER = ["change_ts", "change_seq", "change_sub"]
 CALENDAR_SQL = """
-WITH feed AS (
-  SELECT l_partkey AS article_id, l_orderkey * 10 + l_linenumber AS entry_id,
-         CAST(l_shipdate AS DATE) AS planned_date,
-         CASE WHEN l_linestatus = 'O' THEN 'high' ELSE 'normal' END AS priority,
-         CASE l_returnflag WHEN 'N' THEN 'I' WHEN 'A' THEN 'U' ELSE 'D' END AS op,
-         l_shipdate AS change_ts, l_orderkey AS change_seq, CAST(l_linenumber AS BIGINT) AS change_sub
-  FROM lineitem
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY article_id
-                               ORDER BY change_ts DESC, change_seq DESC, change_sub DESC) AS rn
-  FROM feed
-)
-SELECT article_id, entry_id, planned_date, priority, change_ts, change_seq, change_sub
-FROM ranked WHERE rn = 1 AND op <> 'D'"""
+SELECT article_id, entry_id, planned_date, priority, change_ts, change_seq, change_sub FROM (
+  SELECT l_partkey AS article_id, CAST(l_partkey * 4 + l_linenumber % 4 AS BIGINT) AS entry_id,
+         CAST(l_shipdate AS DATE) AS planned_date, if(l_linestatus = 'O', 'high', 'normal') AS priority,
+         l_returnflag AS flag, l_shipdate AS change_ts, l_orderkey AS change_seq,
+         CAST(l_linenumber AS BIGINT) AS change_sub
+  FROM lineitem)
+QUALIFY row_number() OVER (PARTITION BY entry_id ORDER BY change_ts DESC, change_seq DESC, change_sub DESC) = 1
+        AND flag <> 'R'"""
+AUTHORS_SQL = """
+SELECT s_suppkey AS author_id, s_name AS name, [{sections}][1 + (s_suppkey + 2) % 9] AS section,
+       s_suppkey * 10 + 2 AS bio_rev, CAST(2 AS BIGINT) AS change_seq
+FROM supplier WHERE s_suppkey % 7 <> 0""".replace("{sections}", ", ".join(f"'{x}'" for x in SECTIONS))
 
 
 @register("cdc_calendar_state", CALENDAR_SQL)
 def q_cdc_calendar_state(spark, sf_dir):
-    """T2 on a second CMS table (editorial calendar), three ordering columns."""
+    """T2 on the editorial calendar, keyed by entry: an article keeps all its entries."""
+    feed = td.calendar_change_feed(spark, sf_dir)
+    return cdc.current_state(feed, ["entry_id"], CALENDAR_ORDER).select(*CALENDAR_COLUMNS)
+
+
+def _replayed(spark, feed, name, key, order, by, volume, files=4):
+    """``feed`` written as landing files, changes out of order, and merged in several batches."""
+    landing = scratch_path(spark, f"{name}-landing")
+    for i in range(files):
+        feed.where(F.pmod(F.xxhash64(by), F.lit(files)) == i).write.mode("append").parquet(landing)
+    store = cdc.SnapshotStore(spark, scratch_path(spark, f"{name}-snapshot"), buckets=cdc.buckets_for(volume))
+    return st_ingest.apply_change_stream(spark, landing, feed.schema, store, key, order,
+                                         scratch_path(spark, f"{name}-ckpt"), max_files=4).current()
+
+
+@register("cdc_calendar_stream", CALENDAR_SQL)
+def q_cdc_calendar_stream(spark, sf_dir):
+    """S9 on the editorial calendar: the change rows as a stream."""
     feed = td.calendar_change_feed(spark, sf_dir)
-    return cdc.current_state(feed, ["article_id"], ["change_ts", "change_seq", "change_sub"])
+    return _replayed(spark, feed, "calendar", ["entry_id"], CALENDAR_ORDER, "change_seq",
+                     input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")).select(*CALENDAR_COLUMNS)
+
+
+@register("cdc_authors_stream", AUTHORS_SQL)
+def q_cdc_authors_stream(spark, sf_dir):
+    """S9 on authors: inserts, updates and deletes, changes of an author in several batches."""
+    feed = td.authors_change_feed(spark, sf_dir)
+    return _replayed(spark, feed, "authors", ["author_id"], ["change_seq"], "change_seq",
+                     input_bytes(spark, f"{sf_dir.rstrip('/')}/supplier.parquet")).select(
+        "author_id", "name", "section", "bio_rev", "change_seq")
 
 
 def _cdc_stream(spark, sf_dir):

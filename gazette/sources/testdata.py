@@ -169,8 +169,9 @@ def article_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CMS ``editorial_calendar`` change rows derived from ``lineitem``.
 
-    key = article (l_partkey); order of changes = (l_shipdate, l_orderkey,
-    l_linenumber); return flag N -> insert, A -> update, R -> delete.
+    key = entry (up to four of each article, l_partkey); order of changes =
+    (l_shipdate, l_orderkey, l_linenumber); return flag N -> insert, A ->
+    update, R -> delete.
     """
     li = table(spark, sf_dir, "lineitem")
     rf = F.col("l_returnflag")
@@ -178,7 +179,7 @@ def calendar_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.when(F.col("l_linestatus") == "O", "high").otherwise("normal")
     return li.select(
         F.col("l_partkey").alias("article_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("entry_id"),
+        (F.col("l_partkey") * 4 + F.col("l_linenumber") % 4).cast("long").alias("entry_id"),
         F.to_date("l_shipdate").alias("planned_date"),
         priority.alias("priority"),
         op.alias("op"),
@@ -186,3 +187,16 @@ def calendar_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("change_seq"),
         F.col("l_linenumber").cast("long").alias("change_sub"),
     )
+
+
+def authors_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CMS ``authors`` change rows derived from ``supplier``: three per author.
+
+    An insert, an update, then a second update, or a delete for every seventh.
+    """
+    s = table(spark, sf_dir, "supplier")
+    k, v = F.col("s_suppkey"), F.col("change_seq")
+    s = s.withColumn("change_seq", F.explode(F.array(*[F.lit(i).cast("long") for i in range(3)])))
+    op = F.when(v == 0, "I").when((v == 2) & (k % 7 == 0), "D").otherwise("U")
+    return s.select(k.alias("author_id"), F.col("s_name").alias("name"), pick(SECTIONS, F.pmod(k + v, F.lit(9))).alias("section"),
+                    (k * 10 + v).alias("bio_rev"), op.alias("op"), v)

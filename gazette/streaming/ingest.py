@@ -95,7 +95,7 @@ class ChangeFeedApply:
         snap = self.store.latest()
         if snap is None:
             return None
-        return snap.where(F.col(op_col) != F.lit(delete_value)).drop(op_col)
+        return snap.where(~F.col(op_col).eqNullSafe(F.lit(delete_value))).drop(op_col)
 
 
 def apply_change_stream(spark: SparkSession, landing: str, schema: T.StructType, store: cdc.SnapshotStore,
