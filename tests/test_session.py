@@ -4,13 +4,18 @@ from conftest import SMOKE
 from gazette import session as S
 
 
-def test_shuffle_partitions_sizing_keeps_explicit_setting(spark):
+def test_shuffle_partitions_sizing_keeps_explicit_setting(spark, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert S.tune_shuffle_partitions(spark, SMOKE) == int(before)      # explicit 8 is kept
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", "200")          # the default -> sized
-        n = S.tune_shuffle_partitions(spark, SMOKE)
-        assert n == spark.sparkContext.defaultParallelism               # tiny input -> task slots
+        spark.conf.set("spark.sql.shuffle.partitions", "200")          # a user's own 200 too
+        assert S.tune_shuffle_partitions(spark, SMOKE) == 200
+        # a value that the library set itself is worked out anew for each input
+        monkeypatch.setitem(S._SIZED, spark.sparkContext.applicationId, "200")
+        large = S.tune_shuffle_partitions(spark, SMOKE, target_bytes=4096)
+        assert large > spark.sparkContext.defaultParallelism
+        assert S.tune_shuffle_partitions(spark, SMOKE) == spark.sparkContext.defaultParallelism
+        assert S.tune_shuffle_partitions(spark, SMOKE, target_bytes=4096) == large
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
