@@ -35,6 +35,7 @@ SHINGLE = 4
 MOST_BITS = 4
 BUCKET = 1024
 PIVOTS = 24
+LEAST_FREE = 13
 
 
 def _fingerprint_rows(data: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarray:
@@ -174,25 +175,40 @@ def _link(most_bits: int):
     return run
 
 
+def _cut_again(most_bits: int):
+    """Rows ``(fp, mask)`` of large buckets, once for each finer mask."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, mask = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for m in np.unique(mask).tolist():
+                child, rows = finer(m & (1 << 64) - 1, most_bits), fp[mask == m]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(rows, len(child))), pa.array(np.tile(np.array(child, np.int64), len(rows)))],
+                    names=["fp", "mask"])
+    return run
+
+
 def links(distinct: DataFrame, most_bits: int = MOST_BITS, bucket: int = BUCKET) -> DataFrame:
-    """Links ``(a, b)`` whose components join all ``fp`` within ``most_bits`` bits."""
+    """Links ``(a, b)`` whose components join all ``fp`` within ``most_bits`` bits.
+
+    Cutting ends where ``LEAST_FREE`` bits or fewer are free: such a bucket has
+    at most ``2 ** LEAST_FREE`` distinct fingerprints.
+    """
     level = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in finer(0, most_bits)])).alias("mask"))
     found = None
     while True:
         level = materialize(level.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))), "simhash-buckets")
-        large = materialize(level.groupBy("mask", "key").count().where(F.col("count") > bucket)
-                            .select("mask", "key"), "simhash-large")
-        masks = sorted(r[0] for r in large.select("mask").distinct().collect())  # at most 15 per level and mask
-        small = level.join(large, ["mask", "key"], "left_anti") if masks else level
+        large = materialize(level.where(F.bit_count("mask") < 64 - LEAST_FREE).groupBy("mask", "key").count()
+                            .where(F.col("count") > bucket).select("mask", "key"), "simhash-large")
+        done = large.isEmpty()
+        small = level if done else level.join(large, ["mask", "key"], "left_anti")
         dealt = small.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key")
         got = dealt.mapInArrow(_link(most_bits), "a long, b long")
         found = got if found is None else found.union(got)
-        if not masks:
+        if done:
             return found
-        split = F.create_map(*[x for m in masks for x in (
-            F.lit(m), F.array(*[F.lit(c) for c in finer(m & (1 << 64) - 1, most_bits)]))])
-        level = (level.join(large, ["mask", "key"], "left_semi")
-                 .select("fp", F.explode(split[F.col("mask")]).alias("mask")))
+        again = level.join(large, ["mask", "key"], "left_semi").select("fp", "mask")
+        level = again.mapInArrow(_cut_again(most_bits), "fp long, mask long")
 
 
 def component_of(rows: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
