@@ -3,11 +3,15 @@
 Four kinds of evidence per row: the text, the language its markup declares, the
 suffix of its address, and its host.
 
-1. Byte trigrams of all texts are counted by declared language (partial counts
-   in each task, one sum).  Hashed to ``2 ** HASH_BITS`` cells, the model has
-   one bounded row per language and is broadcast.
-2. Each row gets a log likelihood per language; it counts as at most
-   ``EVIDENCE`` independent trigrams, since neighbours overlap.
+1. The languages are those that at least ``LEAST_SUPPORT`` rows declare.  Byte
+   trigrams of all texts are counted by declared language (partial counts in
+   each task, one sum).  Hashed to ``2 ** HASH_BITS`` cells, the model has one
+   bounded row per language and one for ``OTHER``, and is broadcast.
+2. Each row gets a log likelihood per class; it counts as at most ``EVIDENCE``
+   independent trigrams, since neighbours overlap.  ``OTHER`` takes every
+   trigram at ``MARGIN`` below its likeliest language, so it wins where no
+   language holds most of the trigrams.  Blocks of ``BLOCK`` trigrams that it
+   wins (keys, tables, quotations) are left out if the rest is large enough.
 3. Posteriors from the text alone are summed by declared language, by suffix,
    by host and by domain.  They give ``P(declared | language)``,
    ``P(suffix | language)`` and host priors smoothed towards the domain's, which
@@ -29,7 +33,14 @@ from pyspark.sql import functions as F
 from .common import fresh, materialize, slabs, texts
 from .tokens import SLAB, ascii_lower, marked
 
-LANGUAGES = ("de", "en", "es", "fr")
+OTHER = "other"       # the class of rows that fit no language
+LEAST_SUPPORT = 5     # rows that declare a language, for it to be a class
+MOST_LANGUAGES = 256  # classes at most: bounds the model; the most declared ones
+UNSEEN = 0.1          # share of a language's probability spread evenly over all trigrams
+MARGIN = 1.5          # nats that OTHER is below the likeliest language of a trigram
+FLOOR = 1.0           # least probability of a trigram in OTHER, in even shares
+BLOCK = 32            # trigrams judged together
+LEAST_FIT = 0.25      # share of a text in blocks of some language, to judge it by these alone
 HASH_BITS = 16
 EVIDENCE = 150.0      # trigrams that a text's evidence counts for at most
 STRENGTH = 5.0        # rows that a smoothing prior counts for
@@ -91,14 +102,45 @@ def trigram_counts(rows: DataFrame, languages, html: bool) -> DataFrame:
     return counts.groupBy("language", "cell").agg(F.sum("n").alias("n"))
 
 
+def declared_languages(rows: DataFrame, support: int = LEAST_SUPPORT) -> list[str]:
+    """Values of ``declared`` that at least ``support`` rows have, sorted."""
+    counts = rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.where(F.col("n") >= support).orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES)
+    return sorted(r[0] for r in most.collect())
+
+
 def trigram_model(rows: DataFrame, languages, html: bool) -> np.ndarray:
-    """Log probabilities, one row per language: at most ``languages * 2^HASH_BITS`` numbers."""
+    """Log probabilities, one row per language and one of ``OTHER``: at most
+    ``(languages + 1) * 2^HASH_BITS`` numbers."""
+    even = 1.0 / (1 << HASH_BITS)
     counts = np.zeros((len(languages), 1 << HASH_BITS))
     for r in trigram_counts(rows, languages, html).toLocalIterator():
         counts[r[0], r[1]] = r[2]
-    pooled = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * counts.shape[1])
-    weight = 1000.0
-    return np.log((counts + weight * pooled) / (counts.sum(axis=1, keepdims=True) + weight)).astype(np.float32)
+    # unseen trigrams cost the same in all languages
+    share = (1 - UNSEEN) * counts / np.maximum(counts.sum(axis=1, keepdims=True), 1) + UNSEEN * even
+    other = np.maximum(share.max(axis=0, initial=0.0) * np.exp(-MARGIN), FLOOR * even)
+    return np.log(np.concatenate([share, other[None, :]])).astype(np.float32)
+
+
+def _sums(code: np.ndarray, row: np.ndarray, n: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of each row, and log likelihoods of at most ``EVIDENCE`` of them."""
+    count = np.bincount(row, minlength=n)
+    blocks = -(-count // BLOCK)
+    first = np.cumsum(blocks) - blocks
+    block = first[row] + (np.arange(len(row)) - (np.cumsum(count) - count)[row]) // BLOCK
+    total, row_of = int(blocks.sum()), np.repeat(np.arange(n), blocks)
+    size = np.bincount(block, minlength=total)
+    part = np.stack([np.bincount(block, weights=t[code], minlength=total) for t in table], axis=1)
+    fits = part[:, :-1].max(axis=1, initial=-np.inf) > part[:, -1]
+    fitted = np.bincount(row_of, weights=size * fits, minlength=n)
+    told = (fitted > 0) & (fitted >= LEAST_FIT * count)
+    used = fits | ~told[row_of]
+    taken = np.bincount(row_of, weights=size * used, minlength=n)
+    sums = np.stack([np.bincount(row_of, weights=p * used, minlength=n) for p in part.T], axis=1)
+    # blocks that fit different languages are a text of several, not of another one
+    best = sums[:, :-1].max(axis=1, initial=-np.inf) - MARGIN * taken
+    sums[:, -1] = np.where(told, np.minimum(sums[:, -1], best), sums[:, -1])
+    return count.astype(np.float64), sums * (np.minimum(taken, EVIDENCE) / np.maximum(taken, 1))[:, None]
 
 
 def text_evidence(rows: DataFrame, keep: list[str], model: np.ndarray, html: bool, text: str, out: str) -> DataFrame:
@@ -107,16 +149,14 @@ def text_evidence(rows: DataFrame, keep: list[str], model: np.ndarray, html: boo
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.T.astype(np.float64)
+        table = shared.value.astype(np.float64)
         for batch in batches:
             n, found = batch.num_rows, []
             for a, b, data, off in _pieces(batch, len(used), html):
                 code, row = _trigrams(data, off)
-                count = np.bincount(row, minlength=b - a).astype(np.float64)
-                sums = np.stack([np.bincount(row, weights=t[code], minlength=b - a) for t in table.T], axis=1)
-                scale = np.minimum(count, EVIDENCE) / np.maximum(count, 1)
-                found.append(np.concatenate([count[:, None], sums * scale[:, None]], axis=1))
-            flat = np.concatenate(found) if found else np.zeros((0, 1 + table.shape[1]))
+                count, sums = _sums(code, row, b - a, table)
+                found.append(np.concatenate([count[:, None], sums], axis=1))
+            flat = np.concatenate(found) if found else np.zeros((0, 1 + len(table)))
             width = flat.shape[1]
             column = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(used))] + [column], names=used + [out])
@@ -150,17 +190,22 @@ def declared_language(value: Column) -> Column:
 
 
 def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = False, prefix: str = "",
-         languages=LANGUAGES) -> DataFrame:
+         languages=None, support: int = LEAST_SUPPORT) -> DataFrame:
     """``rows`` with ``language`` and ``posterior`` from all evidence, and ``letters``.
 
+    ``languages`` are those that at least ``support`` rows declare, if not given;
+    ``language`` is one of them or ``OTHER``.
+
     ``text``, ``declared`` and ``host`` name columns; names of the results take
     ``prefix``.  Missing evidence (NULL or unknown) is a factor of one.  With no
     evidence at all the corpus decides.  Ties go to the first language.
     """
-    k = len(languages)
     lang, post, count = (f"{prefix}{c}" for c in ("language", "posterior", "letters"))
     plain = rows.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{declared}`").alias("declared"))
-    model = trigram_model(plain, languages, html)
+    known = declared_languages(plain, support) if languages is None else list(languages)
+    model = trigram_model(plain, known, html)
+    classes = [*known, OTHER]
+    k = len(classes)
     ll = fresh(rows, "_ll")
     scored = text_evidence(rows, rows.columns, model, html, text, ll)
     logs, seen = F.slice(F.col(ll), 2, k), F.get(F.col(ll), F.lit(0)) > 0
@@ -212,37 +257,40 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     df = df.withColumn(final, _softmax(F.col(final)))
     best = F.array_max(final)
     return df.select(*[f"`{c}`" for c in rows.columns],
-                     F.get(F.array(*[F.lit(x) for x in languages]),
+                     F.get(F.array(*[F.lit(x) for x in classes]),
                            (F.array_position(final, best) - 1).cast("int")).alias(lang),
                      best.alias(post), F.get(F.col(ll), F.lit(0)).cast("long").alias(count))
 
 
-def page_languages(pages: DataFrame, languages=LANGUAGES) -> DataFrame:
+def _told(language: str, posterior: str, letters: str) -> Column:
+    return (F.col(letters) > 0) & (F.col(language) != OTHER) & (F.col(posterior) >= LEAST_POSTERIOR)
+
+
+def page_languages(pages: DataFrame, languages=None, support: int = LEAST_SUPPORT) -> DataFrame:
     """One row per page: ``page_id, host, suffix, declared, language, posterior, letters, accepted``.
 
-    Accepted pages have visible letters and a posterior of at least
-    ``LEAST_POSTERIOR``.  NULL or empty markup and addresses are missing
+    Accepted pages have visible letters, a language that is not ``OTHER`` and a
+    posterior of at least ``LEAST_POSTERIOR``.  NULL or empty markup and addresses are missing
     evidence.  Repeated rows give repeated results.
     """
     host = F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
     declared = F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", 1)
     rows = pages.select("page_id", F.nullif(host, F.lit("")).alias("host"),
                         declared_language(declared).alias("declared"), "html")
-    out = fuse(rows, "html", "declared", "host", html=True, languages=languages)
+    out = fuse(rows, "html", "declared", "host", html=True, languages=languages, support=support)
     return out.select("page_id", "host", suffix(F.col("host")).alias("suffix"), "declared", "language", "posterior",
-                      "letters", ((F.col("letters") > 0) & (F.col("posterior") >= LEAST_POSTERIOR)).alias("accepted"))
+                      "letters", _told("language", "posterior", "letters").alias("accepted"))
 
 
-def identified(docs: DataFrame, languages=LANGUAGES) -> DataFrame:
+def identified(docs: DataFrame, languages=None, support: int = LEAST_SUPPORT) -> DataFrame:
     """``docs`` whose language can be told.
 
     ``lang`` is the declared language and ``source`` the host.  Documents
-    without letters, or whose best posterior is under ``LEAST_POSTERIOR``, go.
+    without letters, that fit no language better than ``OTHER``, or whose best
+    posterior is under ``LEAST_POSTERIOR``, go.
     """
     lang, host = fresh(docs, "_declared"), fresh(docs, "_host")
     rows = docs.withColumns({lang: declared_language(F.col("lang").cast("string")),
                              host: F.lower(F.col("source").cast("string"))})
-    out = fuse(rows, "text", lang, host, prefix=fresh(rows, "_id_"), languages=languages)
-    letters, posterior = out.columns[-1], out.columns[-2]
-    return out.where((F.col(letters) > 0) & (F.col(posterior) >= LEAST_POSTERIOR)).select(
-        *[f"`{c}`" for c in docs.columns])
+    out = fuse(rows, "text", lang, host, prefix=fresh(rows, "_id_"), languages=languages, support=support)
+    return out.where(_told(*out.columns[-3:])).select(*[f"`{c}`" for c in docs.columns])

@@ -64,6 +64,36 @@ def test_identified_keeps_clean_documents(spark, docs, rows, no_docs):
     assert language.identified(no_docs).count() == 0
 
 
+ITALIAN = ("Il governo ha annunciato ieri che la nuova legge sulla scuola sarà discussa in parlamento la prossima "
+           "settimana, mentre gli studenti protestano nelle strade della città.")
+
+
+def test_a_language_that_no_row_declares_is_other(spark):
+    known = [(r.doc_id, r.text, r.lang, r.source) for r in read(spark, SF, "documents").collect()]
+    rng = random.Random(1)
+    noise = "".join(rng.choice("ABCDEFGHijklmnopqrstuvwxyz0123456789+/") for _ in range(300))
+    strange = [ITALIAN, "Правительство объявило, что новый закон о школе будет обсуждаться на следующей неделе.",
+               "政府昨天宣布新的学校法将于下周在议会讨论而学生们则在城市街道上抗议", noise]
+    rows = known + [(10_000 + i, t, lang, "s") for i, t in enumerate(strange) for lang in (None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in language.identified(df).select("doc_id").collect()} == {r[0] for r in known}
+    out = language.fuse(df, "text", "lang", "source").where("doc_id >= 10000").collect()
+    assert len(out) == 8 and {r.language for r in out} == {language.OTHER}
+
+
+def test_a_fifth_declared_language_is_a_class(spark):
+    rng, vocabulary = random.Random(2), ITALIAN.split()
+    docs = read(spark, SF, "documents").where("n_chars > 400").limit(200).select("doc_id", "text", "lang", "source")
+    fifth = [(10_000 + i, " ".join(rng.choice(vocabulary) for _ in range(80)), "it", "s") for i in range(language.LEAST_SUPPORT)]
+    df = docs.union(spark.createDataFrame(fifth, "doc_id long, text string, lang string, source string"))
+    rows = df.withColumn("host", F.lit("h"))
+    out = language.fuse(rows, "text", "lang", "host").where("doc_id >= 10000").collect()
+    assert len(out) == len(fifth) and all(r.language == "it" and r.posterior > 0.9 for r in out)
+    assert language.identified(df).where("doc_id >= 10000").count() == len(fifth)
+    few = language.fuse(rows, "text", "lang", "host", support=language.LEAST_SUPPORT + 1).where("doc_id >= 10000").collect()
+    assert {r.language for r in few} == {language.OTHER}
+
+
 @pytest.mark.parametrize("score, label", [(quality.quality_scores, "quality"), (toxicity.toxicity_scores, "toxic")])
 def test_classifier_on_held_out_rows(spark, score, label):
     docs, labels = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, SF, "labels")
