@@ -2,7 +2,8 @@
 
 1. A lexicon is learned from labelled texts: words and word beginnings (stems)
    whose rate in toxic texts is many times that in clean ones, with the log of
-   that ratio as weight.
+   that ratio as weight.  A term needs as many texts as chance does not explain,
+   however large the sample.
 2. Its whole words form a trie.  The Levenshtein automaton of a text's word is
    run through the trie, so all terms within the allowed distance come out of
    one walk.  Words met in clean labelled texts are never taken for
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, slabs, texts
@@ -39,7 +40,8 @@ MOST_TERMS = 2000
 FIT_ROWS = 10_000       # labelled texts to learn from
 STEM = (4, 8)           # characters of a stem
 LEAST_RATIO = 8.0       # of a term's rates in toxic and clean texts
-LEAST_TEXTS = 4         # toxic texts with the term, and a fiftieth of all toxic texts
+LEAST_TEXTS = 4         # toxic texts with the term
+LEAST_SURPRISE = 13.8   # nats: odds of one in a million that chance puts the term's texts among the toxic
 PER_TEXT = 5            # occurrences counted per text when learning
 NEAR, WIDE = 8, 15      # words before a hit that are read; words of a window to either side
 MISSPELLED, QUOTED, REPORTED, ADDRESSED = 0.4, 0.25, 0.6, 1.2
@@ -66,7 +68,7 @@ def _lowered(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def allowed(length: int) -> int:
     """Edits that a term of so many characters may differ by."""
-    return 0 if length < 5 else 1 if length < 12 else 2
+    return 0 if length < 4 else 1 if length < 12 else 2
 
 
 # --- the automaton -------------------------------------------------------
@@ -153,6 +155,14 @@ def term_counts(fit: DataFrame) -> DataFrame:
     return counts.groupBy("term", "stem").agg(*[F.sum(c).alias(c) for c in names])
 
 
+def surprise(toxic: Column, clean: Column, share: float) -> Column:
+    """Nats by which ``toxic`` of ``toxic + clean`` texts exceed their ``share`` (Chernoff's bound of the tail)."""
+    n = F.greatest(toxic + clean, F.lit(1))
+    nats = F.when(toxic > 0, toxic * F.log(toxic / (n * share))).otherwise(0.0)
+    nats = nats + F.when(clean > 0, clean * F.log(clean / (n * (1 - share)))).otherwise(0.0)
+    return F.when(toxic > n * share, nats).otherwise(0.0)
+
+
 def learn_lexicon(fit: DataFrame) -> dict:
     """``words`` and ``stems`` with weights, and ``known``: clean words near a term."""
     size = fit.groupBy("label").agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).collect()
@@ -160,9 +170,11 @@ def learn_lexicon(fit: DataFrame) -> dict:
     if not size.get(0) or not size.get(1):
         return {"words": {}, "stems": {}, "known": []}
     counts = materialize(term_counts(fit), "toxic-terms")
-    least = max(LEAST_TEXTS, size[1][0] // 50)
+    share = size[1][0] / (size[0][0] + size[1][0])
     rate = ((F.col("toxic") + 0.1) / size[1][1]) / ((F.col("clean") + 0.1) / size[0][1])
-    near = counts.where(F.col("toxic_texts") >= least).withColumn("ratio", rate).where(F.col("ratio") >= LEAST_RATIO)
+    near = counts.where((F.col("toxic_texts") >= LEAST_TEXTS) & (
+        surprise(F.col("toxic_texts"), F.col("clean_texts"), share) >= LEAST_SURPRISE))
+    near = near.withColumn("ratio", rate).where(F.col("ratio") >= LEAST_RATIO)
     rows = near.orderBy(F.desc("toxic_texts"), F.desc("ratio"), "term", "stem").limit(4 * MOST_TERMS).collect()
 
     def weight(toxic: float, clean: float) -> float:
@@ -175,10 +187,12 @@ def learn_lexicon(fit: DataFrame) -> dict:
             continue
         inside = [w for t, w in words.items() if t.startswith(r.term)]
         toxic, clean = r.toxic - sum(w.toxic for w in inside), r.clean - sum(w.clean for w in inside)
-        if r.toxic_texts - max([w.toxic_texts for w in inside], default=0) >= least and weight(toxic, clean) >= np.log(LEAST_RATIO):
+        rest = r.toxic_texts - max([w.toxic_texts for w in inside], default=0)
+        if rest >= max(LEAST_TEXTS, LEAST_SURPRISE / -np.log(share)) and weight(toxic, clean) >= np.log(LEAST_RATIO):
             stems[r.term] = weight(toxic, clean)
     plain = {t: weight(r.toxic, r.clean) for t, r in list(words.items())[:MOST_TERMS]}
-    spelled = sorted(t for t, r in words.items() if t in plain and r.clean_texts == 0 and allowed(len(t)))
+    # the ratio weighs clean use: quoted terms are looked for misspelled too
+    spelled = sorted(t for t in plain if allowed(len(t)))
     lexicon = {"words": plain, "stems": dict(sorted(stems.items())[:MOST_TERMS]), "spelled": spelled, "known": []}
 
     def clean_near(batches):
@@ -190,7 +204,7 @@ def learn_lexicon(fit: DataFrame) -> dict:
             got = [w for w in near if near_terms(w, finder.trie)]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.string())], names=["term"])
 
-    seen = counts.where(~F.col("stem") & (F.col("clean_texts") > 0) & (F.length("term") >= 4)).select("term")
+    seen = counts.where(~F.col("stem") & (F.col("clean_texts") > 0) & (F.length("term") >= 3)).select("term")
     # words within two edits of a bounded lexicon, from a bounded sample
     known = [r[0] for r in seen.mapInArrow(clean_near, "term string").collect()] if spelled else []
     return lexicon | {"known": known}
@@ -254,7 +268,7 @@ class Finder:
             stem = next((text[:m] for m in self.lengths if text[:m] in self.stems and len(text) > m), None)
             if stem:
                 got = (stem, self.stems[stem], False)
-            elif text not in self.known and len(text) >= 4:
+            elif text not in self.known and len(text) >= 3:
                 near = near_terms(text, self.trie)
                 if near:
                     term, d = min(near, key=lambda x: (x[1], -self.words[x[0]], x[0]))

@@ -158,6 +158,22 @@ def test_misspellings_and_quotations():
     assert f["idiotic mess"][0] == 5.0 and f["nothing here"][0] == 0 and f["a vorthless thing"][4] > 0
 
 
+def test_lexicon_keeps_rare_quoted_and_short_terms(spark):
+    rng = random.Random(4)
+    plain = [f"wort{i}" for i in range(400)]
+    prose = lambda: " ".join(rng.choice(plain) for _ in range(30))
+    toxic = [prose() + (" blorgface" if i < 25 else " scum" if i % 2 else " dimwitted") for i in range(2000)]
+    clean = [prose() for _ in range(4000)]
+    clean[0] += ' he said "dimwitted" there'
+    rows = [(1, t) for t in toxic] + [(0, t) for t in clean]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "label int, text string").repartition(3))
+    assert set(lexicon["words"]) == {"blorgface", "scum", "dimwitted"}     # 25 of 2,000; no plain word
+    assert lexicon["spelled"] == ["blorgface", "dimwitted", "scum"]        # one quoted by a clean text, one of four letters
+    finder = toxicity.Finder(lexicon)
+    assert [finder.lookup(w)[::2] for w in (b"scumm", b"dimwited", b"blorgfac3")] == [
+        ("scum", True), ("dimwitted", True), ("blorgface", True)]
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
