@@ -237,8 +237,8 @@ class Finder:
             self._mark(self.heads, t.encode()[:4], 0, 63)
         for t in spelled:
             k, raw = allowed(len(t)), t.encode()
-            # an edit of Latin letters changes two bytes at most
-            part, low, high = len(t) // (k + 1), len(raw) - 2 * k, len(raw) + 2 * k
+            # an edit changes four bytes at most: the longest character of UTF-8
+            part, low, high = len(t) // (k + 1), len(raw) - 4 * k, len(raw) + 4 * k
             self._mark(self.heads, t[:part].encode()[:4], low, high)
             self._mark(self.tails, t[part if k == 1 else len(t) - part:].encode()[-4:], low, high)
             if k == 2:

@@ -139,6 +139,30 @@ def test_automaton_equals_edit_distance():
             assert sorted(toxicity.within(w, trie, k)) == want
 
 
+def test_candidates_hold_all_words_within_the_edits():
+    rng = random.Random(8)
+    letters = ["a", "z", "é", "\u200b", "ａ", "日", "😀"]
+
+    def edited(t):
+        i, kind = rng.randrange(len(t) + 1), rng.randrange(3)
+        return t[:i] + ("" if kind == 0 else rng.choice(letters)) + t[i + (kind < 2):]
+
+    terms = ["scum", "idiot", "stupid", "naïveté", "worthlessness", "disgusting😀thing"]
+    finder = toxicity.Finder({"words": dict.fromkeys(terms, 5.0), "stems": {}, "spelled": terms, "known": []})
+    words = ["idi\u200bot", "i😀iot"]
+    for t in terms:
+        for _ in range(200):
+            w = t
+            for _ in range(toxicity.allowed(len(t))):
+                w = edited(w)
+            words.append(w)
+    raw = [w.encode() for w in words]
+    off = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    at = set(finder.candidates(np.frombuffer(b"".join(raw), np.uint8), off[:-1], off[1:]).tolist())
+    assert [w for i, w in enumerate(words) if i not in at] == []
+    assert finder.lookup("idi\u200bot".encode())[0] == "idiot"
+
+
 def test_misspellings_and_quotations():
     lexicon = {"words": {"stupid": 8.0, "worthless": 8.0}, "stems": {"idio": 5.0},
                "spelled": ["stupid", "worthless"], "known": ["stupit"]}
