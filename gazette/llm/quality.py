@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, slabs, texts
-from .labelled import fit_labels, held_out
+from .labelled import fit_labels, held_out, one_each
 from .tokens import SLAB, Tokenizer, ascii_lower, marked
 
 FEATURES = ("log_bytes", "log_words", "word_bytes", "letters", "upper", "digits", "symbols", "marks", "blanks",
@@ -241,7 +241,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     alike; an empty table gives an empty result.
     """
     rows = materialize(feature_rows(docs), "quality-features")
-    fit = rows.join(fit_labels(labels, "quality"), "doc_id").select("x", "label").toPandas()
+    fit = one_each(rows.join(fit_labels(labels, "quality"), "doc_id"), "x").select("x", "label").toPandas()
     x = np.array(fit["x"].tolist()).reshape(len(fit), len(FEATURES))
     model = fit_additive(x, fit["label"].to_numpy(np.float64))
     out = score_rows(rows, model)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, slabs, texts
-from .labelled import fit_labels, held_out
+from .labelled import fit_labels, held_out, one_each
 from .quality import additive_score, fit_additive
 from .tokens import SLAB, Tokenizer, ascii_lower, marked
 
@@ -376,7 +376,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # at most FIT_ROWS ids, so the broadcast is bounded
-    fit = materialize(rows.join(F.broadcast(ids), "doc_id").select("label", "text"), "toxic-fit")
+    fit = rows.join(F.broadcast(ids), "doc_id")
+    fit = materialize(one_each(fit, "text").select("label", "text"), "toxic-fit")
     lexicon = learn_lexicon(fit)
     sample = features(fit, ["label"], lexicon).toPandas()
     x = np.array(sample["x"].tolist()).reshape(len(sample), len(FEATURES))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gazette.llm import hnsw, language, quality, toxicity
-from gazette.llm.labelled import held_out
+from gazette.llm.labelled import held_out, one_each
 from gazette.llm.licences import TEMPLATES, scan_licences
 from gazette.llm.oracle import LICENCES
 from gazette.llm.queries import read
@@ -115,6 +115,23 @@ def test_classifier_on_awkward_rows(spark, docs, rows, no_docs, score, label):
     assert score(no_docs, marks).count() == 0
 
 
+def test_repeated_rows_do_not_outvote_the_sample(spark, monkeypatch):
+    rows = [(1, 0, "a")] * 300 + [(1, 0, "b")] * 200 + [(2, 1, None)] * 2 + [(3, 1, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, label int, text string").repartition(3)
+    out = {r.doc_id: (r.label, r.text) for r in one_each(df, "text").collect()}
+    assert set(out) == {1, 2, 3} and out[1][1] in ("a", "b") and out[2] == (1, None) and out[3] == (1, "c")
+    assert one_each(df, "text").count() == 3
+    fitted = []
+    for module, score, label in ((quality, quality.quality_scores, "quality"), (toxicity, toxicity.toxicity_scores, "toxic")):
+        fit = module.fit_additive
+        monkeypatch.setattr(module, "fit_additive", lambda x, y, fit=fit: fitted.append(len(y)) or fit(x, y))
+        docs = spark.createDataFrame([(i % 8, f"some words of text {i % 8}") for i in range(400)], "doc_id long, text string")
+        marks = spark.createDataFrame([(i, i % 2) for i in range(8)], f"doc_id long, {label} int")
+        assert score(docs, marks).count() == 400
+    ids = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(8))
+    assert fitted == [ids, ids]
+
+
 def test_held_out_fold(spark):
     out = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in out)
