@@ -201,7 +201,7 @@ def learn_lexicon(fit: DataFrame) -> dict:
             data, off, _ = texts(batch.column(0))
             at = finder.candidates(data, off[:-1], off[1:]) if len(data) else []
             near = [data[off[i]:off[i + 1]].tobytes().decode() for i in at]
-            got = [w for w in near if near_terms(w, finder.trie)]
+            got = [w for w in near if finder.near(w)]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.string())], names=["term"])
 
     seen = counts.where(~F.col("stem") & (F.col("clean_texts") > 0) & (F.length("term") >= 3)).select("term")
@@ -230,6 +230,8 @@ class Finder:
         # a word of these bytes and this length may match: a term's first four bytes,
         # or for a misspelling one part intact of its edits + 1 parts
         self.heads, self.tails, self.middle = {}, {}, []
+        # the same parts whole, with their terms by length in characters of words that may hold them
+        self.parts: dict = {}
         for t in self.words:
             raw = t.encode()
             self._mark(self.heads, raw[:4], len(raw), len(raw))
@@ -243,6 +245,12 @@ class Finder:
             self._mark(self.tails, t[part if k == 1 else len(t) - part:].encode()[-4:], low, high)
             if k == 2:
                 self.middle.append((t[part:len(t) - part].encode()[:4], low, high))
+            cuts = [(0, part), (part, len(t))] if k == 1 else [(0, part), (part, len(t) - part), (len(t) - part, len(t))]
+            for a, b in cuts:
+                for shift in {0} if a == 0 else range(-k, k + 1):
+                    table = self.parts.setdefault((a + shift, b + shift), {})
+                    for n in range(len(t) - k, len(t) + k + 1):
+                        table.setdefault((t[a:b], n), []).append(t)
         self.cache: dict = {}
 
     @staticmethod
@@ -257,6 +265,12 @@ class Finder:
             bits |= 1 << n
         table[self._key(raw)] |= np.uint64(bits)
 
+    def near(self, text: str) -> list[tuple[str, int]]:
+        """``near_terms`` of a word, walked only through terms of which it holds a part at its place."""
+        n = len(text)
+        terms = {t for (a, b), table in self.parts.items() if b <= n for t in table.get((text[a:b], n), ())}
+        return near_terms(text, build_trie(sorted(terms))) if terms else []
+
     def lookup(self, word: bytes) -> tuple[str, float, bool] | None:
         """``(term, weight, misspelled)`` of a word, if any."""
         if word in self.cache:
@@ -269,7 +283,7 @@ class Finder:
             if stem:
                 got = (stem, self.stems[stem], False)
             elif text not in self.known and len(text) >= 3:
-                near = near_terms(text, self.trie)
+                near = self.near(text)
                 if near:
                     term, d = min(near, key=lambda x: (x[1], -self.words[x[0]], x[0]))
                     got = (term, self.words[term] * MISSPELLED, True)
@@ -295,11 +309,12 @@ class Finder:
         if self.middle:
             raw = low.tobytes()
             for part, least, most in set(self.middle):
-                at = raw.find(part)
+                found, at = [], raw.find(part)
                 while at >= 0:
-                    w = max(int(np.searchsorted(start, at, side="right")) - 1, 0)
-                    some[w] |= least <= end[w] - start[w] <= most
+                    found.append(at)
                     at = raw.find(part, at + 1)
+                w = np.maximum(np.searchsorted(start, np.array(found, np.int64), side="right") - 1, 0)
+                some[w[(least <= end[w] - start[w]) & (end[w] - start[w] <= most)]] = True
         return np.flatnonzero(some)
 
 
