@@ -1,4 +1,4 @@
-"""Training-data operators: ten numbered operators and their queries.
+"""Training-data operators: numbered operators and their queries.
 
 Nothing else in the library imports this subpackage.  Functions that run in
 Python workers are shipped by value, so executors need no copy of the package.

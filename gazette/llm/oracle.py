@@ -103,4 +103,56 @@ SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, CAST(COALESCE(g.n, 0)
 FROM d LEFT JOIN g USING (id)
 """
 
-SQL = {"op2_licence_scan": LICENCES, "op8_sainte_lague_mix": MIX}
+# Every anchor against every row, with plain inner products (of whole numbers, so exact in double).
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v a JOIN v ON len(a.q) = len(v.q) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same AND vec_id <> anchor_id QUALIFY place <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score, CAST(place AS INT) AS positive_rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10
+"""
+
+_ROUND = """, a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.r, c.c, CAST(list_inner_product(v.q, v.q) - 2 * list_inner_product(v.q, c.q)
+                          + list_inner_product(c.q, c.q) AS BIGINT) AS d FROM v, c{i} c) GROUP BY r
+)"""
+_MEANS = """, c{j} AS MATERIALIZED (
+  SELECT c.c, COALESCE(any_value(m.q), any_value(c.q)) AS q FROM c{i} c LEFT JOIN (
+    SELECT c, list(m ORDER BY place) AS q FROM (
+      SELECT c, place, floor(sum(x) / count(*)) AS m FROM (
+        SELECT a.c, unnest(v.q) AS x, unnest(range(64)) AS place FROM a{i} a JOIN v USING (r)) GROUP BY c, place)
+    GROUP BY c) m USING (c) GROUP BY c.c
+)"""
+
+# Three rounds written out: all distances, then componentwise means.
+CENTROIDS = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, q) - 1 AS INT) AS c, q FROM v QUALIFY c < 16
+)""" + "".join(_ROUND.format(i=i) + _MEANS.format(i=i, j=i + 1) for i in range(3)) + _ROUND.format(i=3) + """
+SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c3.q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a3 JOIN v USING (r) JOIN c3 USING (c)
+"""
+
+SQL = {"op2_licence_scan": LICENCES, "op8_sainte_lague_mix": MIX, "op11_hard_negatives": NEGATIVES,
+       "op13_centroid_clusters": CENTROIDS}

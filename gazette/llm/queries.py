@@ -12,12 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .centroids import cluster_vectors
 from .common import read
 from .decontaminate import contamination
 from .hnsw import nearest_neighbours
 from .language import page_languages
 from .licences import scan_licences
 from .mixing import mix_documents
+from .negatives import mined_negatives
+from .packing import packed_documents
 from .quality import quality_scores
 from .shards import shard_documents
 from .simhash import near_duplicates
@@ -65,10 +68,22 @@ def op10_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_languages(read(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined_negatives(read(spark, sf_dir, "embeddings"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_hilbert_shards, op2_licence_scan, op3_hnsw_neighbours, op4_toxicity, op5_quality_classifier,
         op6_suffix_deduplication, op7_benchmark_decontamination, op8_sainte_lague_mix, op9_simhash_near_duplicates,
-        op10_language_evidence)
+        op10_language_evidence, op11_hard_negatives, op12_best_fit_packing, op13_centroid_clusters)
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
