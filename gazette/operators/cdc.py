@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
+from ..sources.versions import BucketTable
 
 
 def latest_per_key(changes: DataFrame, key: list, order: list) -> DataFrame:
@@ -45,68 +46,42 @@ def merge_changes(snapshot: DataFrame | None, batch: DataFrame, key: list, order
 
 
 class SnapshotStore:
-    """Current state (tombstones kept) as a Parquet table partitioned by key bucket.
-
-    Copy-on-write per bucket: a batch reads only the buckets its keys fall
-    in, merges them with the batch (latest per key) into a staging folder,
-    then swaps those bucket partitions in with dynamic partition overwrite.
-    Work per batch is O(batch + touched buckets), not O(state); size
-    ``buckets`` so one bucket is a few hundred MB at the expected state size.
-
-    Crash and replay safe: merging is idempotent (taking the latest of rows
-    that already include the batch changes nothing), so re-running a batch
-    after a partial swap converges to the same state.  A commit marker per
-    batch id records completion.
+    """Current state (tombstones kept) as a versioned table cut into key buckets.
+
+    A batch is reduced to its latest change per key, merged with the buckets
+    its keys fall in, and those buckets are written once, one file each, as a
+    new version.  Work per batch is O(batch + touched buckets), not O(state);
+    size ``buckets`` so one bucket is a few hundred MB at the expected state
+    size.
+
+    Readers see whole versions: a frame opened before or during ``apply``
+    keeps the state it was opened on (``keep`` versions stay).  A batch that
+    fails before its version is published leaves the state as it was.  Merging
+    is idempotent (taking the latest of rows that already include the batch
+    changes nothing), so a batch may be applied again.
     """
 
-    def __init__(self, spark, root: str | None = None, name: str = "cdc", buckets: int = 64):
+    def __init__(self, spark, root: str | None = None, name: str = "cdc", buckets: int = 64, keep: int = 2):
         self.spark = spark
         self.root = (root or f"{checkpoint_root(spark)}/{name}").rstrip("/")
-        self.buckets = buckets
-        self.state_path = f"{self.root}/state"
+        self.buckets, self.keep = buckets, keep
 
-    def _fs(self, path):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def table(self, key: list | None = None) -> BucketTable:
+        return BucketTable(self.spark, self.root, key or [], self.buckets, self.keep)
 
-    def _committed(self) -> list[int]:
-        p, fs = self._fs(f"{self.root}/_commits")
-        if not fs.exists(p):
-            return []
-        return sorted(int(st.getPath().getName()) for st in fs.listStatus(p))
-
-    def _mark(self, batch_id: int) -> None:
-        p, fs = self._fs(f"{self.root}/_commits/{batch_id}")
-        fs.create(p, True).close()
-
-    def _bucket(self, key: list):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(self.buckets))
-
-    def latest(self) -> DataFrame | None:
-        if not self._committed():
-            return None
-        return self.spark.read.parquet(self.state_path).drop("_bucket")
+    def latest(self, version: int | None = None) -> DataFrame | None:
+        return self.table().read(version)
 
     def apply(self, batch: DataFrame, batch_id: int, key: list, order: list) -> None:
-        batch = batch.withColumn("_bucket", self._bucket(key)).persist()
+        table = self.table(key)
+        batch = latest_per_key(batch, key, order).persist()
         try:
-            touched = [r[0] for r in batch.select("_bucket").distinct().collect()]
-            if not touched:
-                self._mark(batch_id)
+            touched = table.touched(batch)
+            if not touched and table.manifest()["schema"] is not None:
                 return
-            combined = batch
-            path, fs = self._fs(self.state_path)
-            if fs.exists(path):
-                state = self.spark.read.parquet(self.state_path).where(F.col("_bucket").isin(touched))
-                combined = state.unionByName(batch)
-            merged = latest_per_key(combined, key, order)
-            staging = f"{self.root}/staging/batch={batch_id}"
-            (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy("_bucket").parquet(staging))
-            (self.spark.read.parquet(staging).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.state_path))
-            self._mark(batch_id)
+            state = table.read(buckets=touched)
+            merged = batch if state is None else latest_per_key(state.unionByName(batch), key, order)
+            table.replace(merged, touched, {"batch": int(batch_id)})
         finally:
             batch.unpersist()
 

@@ -17,12 +17,12 @@ from ..session import input_bytes, scratch_path
 from ..sources import staging
 from ..sources import testdata as td
 from ..sources.schemas import TRACKING_SCHEMA
-from ..streaming import native, refresh
+from ..streaming import bitmaps, native, refresh
 from ..streaming import ingest as st_ingest
 from . import oracle as O
 from .context import Context
 from .core import ARTICLE_PERFORMANCE_SQL, READER_ENGAGEMENT_SQL
-from .ingest import RAW_EVOLVED_SQL
+from .ingest import CUTOFF_SQL, RAW_EVOLVED_SQL
 from .registry import register
 
 CDC_KEY, CDC_ORDER = ["article_id"], ["change_ts", "change_seq"]
@@ -144,15 +144,17 @@ def _typed_stream(spark, sf_dir, groups_per_batch: int = 1, late_every: int | No
     return ctx, stream
 
 
+def _state_buckets(sf_dir, spark):
+    return cdc.buckets_for(input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
 @register("engagement_stream", O.with_events(READER_ENGAGEMENT_SQL))
 def q_engagement_stream(spark, sf_dir):
-    """Reader engagement maintained by touched-day recompute."""
+    """Reader engagement kept by merging bitmaps of readers; late events included."""
     _, stream = _typed_stream(spark, sf_dir)
-    h = refresh.EngagementRefresh(scratch_path(spark, "raw-events"), scratch_path(spark, "reader-engagement"))
+    h = bitmaps.EngagementState(spark, scratch_path(spark, "reader-engagement"), _state_buckets(sf_dir, spark))
     refresh.run_available_now(stream, h, scratch_path(spark, "engagement-ckpt"))
-    out = spark.read.parquet(h.out_path)
-    return out.select("day", "section", "publication", "unique_readers", "page_views",
-                      "avg_engagement_sec", "paywall_hits", "subscribe_clicks", "conversion_rate_pct")
+    return h.read()
 
 
 @register("engagement_incremental", O.with_events(READER_ENGAGEMENT_SQL))
@@ -166,13 +168,12 @@ def q_engagement_incremental(spark, sf_dir):
 
 @register("performance_stream", O.with_events(ARTICLE_PERFORMANCE_SQL))
 def q_performance_stream(spark, sf_dir):
-    """T4: article performance maintained by touched-bucket recompute."""
+    """T4: article performance kept by merging bitmaps of readers, on a stored dimension."""
     ctx, stream = _typed_stream(spark, sf_dir)
-    h = refresh.PerformanceRefresh(scratch_path(spark, "raw-events"), scratch_path(spark, "article-performance"),
-                                   ctx.articles)
-    h.initialize(spark)
+    h = bitmaps.PerformanceState(spark, scratch_path(spark, "article-performance"), _state_buckets(sf_dir, spark))
+    h.set_articles(ctx.articles)
     refresh.run_available_now(stream, h, scratch_path(spark, "performance-ckpt"))
-    return h.read(spark)
+    return h.read()
 
 
 @register("performance_incremental", O.with_events(ARTICLE_PERFORMANCE_SQL))
@@ -186,12 +187,17 @@ def q_performance_incremental(spark, sf_dir):
     return h.read(spark)
 
 
-@register("file_ingest_dedup", RAW_EVOLVED_SQL)
+@register("file_ingest_dedup", f"""
+SELECT r.*, CASE WHEN event_id >= {CUTOFF_SQL} THEN 9007199254740993 + event_id END AS visit_token,
+       CASE WHEN event_id >= (SELECT (count(*) * 8) // 10 FROM events) THEN event_id % 7 + 0.25::DOUBLE
+            WHEN event_id >= {CUTOFF_SQL} THEN CAST(event_id % 7 AS DOUBLE) END AS read_depth
+FROM ({RAW_EVOLVED_SQL}) r""")
 def q_file_ingest_dedup(spark, sf_dir):
-    """File-arrival ingest with schema evolution, run twice (replay adds nothing)."""
-    paths = staging.stage_tracking_batches(spark, sf_dir)
+    """File-arrival ingest in three folders, the first one twice (replay adds
+    nothing); late fields keep all digits, and a whole number turns fractional."""
+    paths = staging.stage_open_numbers(spark, sf_dir)
     raw_path, ckpt = scratch_path(spark, "raw-tracking-stream"), scratch_path(spark, "ingest-ckpt")
-    for landing in (paths["batch_1"], paths["batch_2"], paths["batch_1"]):
+    for landing in (*paths, paths[0]):
         h = st_ingest.ingest_files(spark, landing, raw_path, f"{ckpt}/{landing.rsplit('/', 1)[-1]}",
                                    TRACKING_SCHEMA, glob="*.json*")
     return h.read(spark)
@@ -235,5 +241,3 @@ def q_engagement_window_stream(spark, sf_dir):
     agg = native.daily_windows(stream, approx_readers=False)
     return native.run_to_table(agg, scratch_path(spark, "native-windows"), mode="complete")
 
-
-__all__ = ["F"]

@@ -40,13 +40,17 @@ def load_ndjson(spark: SparkSession, paths, schema: StructType, case_insensitive
 def parse_lines(lines: DataFrame, schema: StructType, fail_fast: bool = True,
                 col: str = "value") -> DataFrame:
     """Parse a frame of JSON text lines into ``schema``, keys matched case-insensitively."""
+    return key_map(lines, col, fail_fast).select(*[
+        F.col("_kv")[f.name.lower()].cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
+def key_map(lines: DataFrame, col: str = "value", fail_fast: bool = True) -> DataFrame:
+    """``_kv``: each JSON object as a map from lower-cased key to the value's text; blank lines go."""
     lines = lines.where(F.length(F.trim(col)) > 0)
     opts = {"mode": "FAILFAST"} if fail_fast else {}
     kv = F.transform_keys(F.from_json(col, "map<string,string>", opts), lambda k, v: F.lower(k))
-    parsed = lines.select(kv.alias("_kv"))
-    return parsed.select(*[
-        F.col("_kv")[f.name.lower()].cast(f.dataType).alias(f.name) for f in schema.fields
-    ])
+    return lines.select(kv.alias("_kv"))
 
 
 def load_variant(spark: SparkSession, paths, column: str = "raw_event",

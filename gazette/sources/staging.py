@@ -44,6 +44,29 @@ def stage_tracking_batches(spark: SparkSession, sf_dir: str, compression: str =
     return paths
 
 
+def stage_open_numbers(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> list[str]:
+    """Three landing folders of tracking lines whose late fields are not settled at first.
+
+    From the second on lines carry the evolved fields, ``visit_token`` (whole
+    numbers beyond 2^53) and ``read_depth``, which is whole in the second folder
+    and fractional in the third.
+    """
+    root = scratch_path(spark, "landing-open")
+    ev = td.table(spark, sf_dir, "events")
+    n = ev.count()
+    cuts = [0, (n * 6) // 10, (n * 8) // 10, n]
+    paths = []
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        rows = td.tracking_columns(ev.where(F.col("event_id").between(a, b - 1)), evolved=i > 0)
+        if i:
+            depth = F.pmod("event_id", F.lit(7))
+            rows = rows.withColumn("visit_token", F.lit(9007199254740993) + F.col("event_id")) \
+                .withColumn("read_depth", depth if i == 1 else depth + F.lit(0.25))
+        paths.append(f"{root}/part_{i + 1}")
+        rows.write.option("compression", compression).json(paths[-1])
+    return paths
+
+
 def stage_subscribers(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> str:
     """Subscribers as NDJSON with upper-case keys and text timestamps
     (``YYYY-MM-DDTHH:MM:SSZ``), the shape of the subscriber export."""

@@ -2,10 +2,10 @@
 
 File ingest: a file stream over the landing folder (suffix filter) with a
 checkpoint, so each file is ingested exactly once however often the job
-restarts.  Each micro-batch infers the schema of its own files, widens the
-RAW table's schema (new fields become columns, unsafe type changes are
-refused) and writes its rows into a batch-id partition (a replay overwrites
-its own partition).
+restarts.  Each micro-batch is appended to a RAW table whose schema is a
+committed log (``sources/raw_table.py``): new fields become columns without
+loss of digits, type changes are refused, and neither the history nor the file
+names of a batch are gathered.
 """
 
 from __future__ import annotations
@@ -14,54 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cdc, evolve
-from ..session import path_exists
-from ..sources import json_loader
+from ..operators import cdc
+from ..sources.raw_table import RawTable
 from .refresh import run_available_now
 
 
 class EvolvingFileIngest:
-    """foreachBatch handler: NDJSON lines -> RAW Parquet with schema evolution."""
+    """foreachBatch handler: NDJSON lines -> RAW table with a schema log."""
 
     def __init__(self, raw_path: str, base_schema: T.StructType, source: str = "default"):
-        self.raw_path = raw_path
-        self.base_schema = base_schema
-        self.source = source
+        self.raw_path, self.base_schema, self.source = raw_path, base_schema, source
 
-    def current_schema(self, spark: SparkSession) -> T.StructType:
-        if not path_exists(spark, self.raw_path):
-            return self.base_schema
-        return evolve.read_evolving(spark, self.raw_path).drop("_source", "_batch").schema
+    def table(self, spark: SparkSession) -> RawTable:
+        return RawTable(spark, self.raw_path, self.base_schema)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
         try:
-            files = [r[0] for r in batch.select("_source_file").distinct().collect()]
-            if not files:
-                return
-            current = self.current_schema(spark)
-            have = {f.name.lower() for f in current.fields}
-            # a new number may be fractional in a later file: store it as double from the start
-            incoming = T.StructType([
-                T.StructField(f.name, T.DoubleType(), True)
-                if f.name.lower() not in have and isinstance(f.dataType, T.LongType) else f
-                for f in json_loader.infer_schema(spark, files).fields])
-            schema = evolve.merged_schema(current, incoming)
-            for f in current.fields:  # files already written keep their type, or later reads fail
-                if schema[f.name].dataType != f.dataType:
-                    raise evolve.SchemaConflict(
-                        f"column {f.name} would change type {f.dataType.simpleString()} -> "
-                        f"{schema[f.name].dataType.simpleString()}")
-            rows = json_loader.parse_lines(batch, schema)
-            (rows.withColumn("_source", F.lit(self.source)).withColumn("_batch", F.lit(int(batch_id)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_source", "_batch").parquet(self.raw_path))
+            if not batch.isEmpty():
+                self.table(batch.sparkSession).append(batch, self.source, batch_id)
         finally:
             batch.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.raw_path).drop("_source", "_batch")
+        return self.table(spark).read()
 
 
 def file_stream(spark: SparkSession, landing: str, glob: str = "*.json*",
