@@ -20,6 +20,8 @@ from ..functions.buckets import hash60
 from ..functions.constants import SUBSCRIPTION_CODE, SUBSCRIPTION_CODE_DEFAULT
 from ..functions.dates import boundary_diff
 from ..functions.rules import churn_rule_score, engagement_segment, risk_segment
+from ..session import materialize
+from . import ranking
 
 FEATURES = ["days_since_login", "articles_read_30d", "tenure_months", "avg_session_sec",
             "paywall_bounces_30d", "sub_type_enc"]
@@ -193,6 +195,66 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return df.orderBy(F.desc("importance"), F.asc("feature"))
 
 
+def permutation_importance(features: DataFrame, score, columns: list, label: str = "churned", key: str = "user_id",
+                           seed: int = 42) -> DataFrame:
+    """M7 for any score: how much the squared error grows when one feature is shuffled between rows.
+
+    ``score`` is an expression over the features, or a function from a frame to
+    a frame with a ``score`` column.  A feature is shuffled by a shift in the
+    order of a 60-bit hash of key and feature name (the last row takes the
+    first's value), so the shuffle is a fixed permutation that any engine
+    reproduces.  Rows are sorted over the cluster once per feature; losses are
+    sums, one row per feature.  Returns ``feature, base_loss, permuted_loss,
+    importance``; rows without a label take no part.
+    """
+    rows = materialize(features.where(F.col(label).isNotNull()), "importance-rows")
+    scored = score if callable(score) else (lambda df: df.withColumn("score", score))
+
+    def loss(df: DataFrame, name: str) -> DataFrame:
+        error = F.pow(F.col(label).cast("double") - F.col("score"), 2)
+        return scored(df).agg(F.avg(error).alias(name))
+
+    out = None
+    for c in columns:
+        order = [hash60(F.col(key), f"perm{seed}:{c}"), F.col(key)]
+        one = loss(ranking.permuted(rows, c, order, "importance-shift"), "permuted_loss").withColumn("feature", F.lit(c))
+        out = one if out is None else out.unionByName(one)
+    base = loss(rows, "base_loss").first()[0]
+    return out.select("feature", F.lit(base).cast("double").alias("base_loss"), "permuted_loss",
+                      (F.col("permuted_loss") - F.lit(base).cast("double")).alias("importance"))
+
+
+def tree_nodes(model: PipelineModel) -> dict:
+    """The fitted trees as flat arrays, one entry per node of all trees.
+
+    ``feature`` (-1: a leaf), ``threshold``, ``left``, ``right`` (places of the
+    children), ``value`` (a leaf's prediction); ``root`` and ``weight`` have one
+    entry per tree.  Their size follows the number of trees and their depth.
+    """
+    trees = model.stages[-1]
+    out = {"feature": [], "threshold": [], "left": [], "right": [], "value": [], "root": [],
+           "weight": [float(w) for w in trees.treeWeights], "depth": 0}
+    for tree in trees.trees:
+        out["root"].append(len(out["feature"]))
+        out["depth"] = max(out["depth"], tree.depth)
+        todo = [(tree._call_java("rootNode"), None, None)]
+        while todo:
+            node, parent, side = todo.pop()
+            here = len(out["feature"])
+            if parent is not None:
+                out[side][parent] = here
+            inner = node.getClass().getSimpleName() == "InternalNode"
+            split = node.split() if inner else None
+            out["feature"].append(split.featureIndex() if inner else -1)
+            out["threshold"].append(split.threshold() if inner else 0.0)
+            out["value"].append(node.prediction())
+            out["left"].append(-1)
+            out["right"].append(-1)
+            if inner:
+                todo += [(node.rightChild(), here, "right"), (node.leftChild(), here, "left")]
+    return out
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """M8: persist the fitted pipeline (shared storage)."""
     model.write().overwrite().save(path)

@@ -31,7 +31,7 @@ def article_ids(raw: DataFrame, extra_ids: list | None = None) -> DataFrame:
     ids = raw.where(F.col("article_id").isNotNull()).select("article_id")
     if extra_ids:
         extra = raw.sparkSession.range(1).select(
-            F.explode(F.array(*[F.lit(int(i)).cast("long") for i in extra_ids])).alias("article_id"))
+            F.explode(F.array(*[F.lit(i).cast(raw.schema["article_id"].dataType) for i in extra_ids])).alias("article_id"))
         ids = ids.unionByName(extra)
     return ids.distinct()
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import churn, core, export, governance, ingest, streams  # noqa: F401  (registers)
+from . import churn, core, export, governance, ingest, streams, text_ids  # noqa: F401  (registers)
 from .registry import ORACLE, QUERIES
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.rules import churn_rule_score_sql, engagement_segment_sql
-from ..functions.sql_functions import register_sql_functions
-from ..operators import churn
+from ..functions.rules import churn_rule_score, churn_rule_score_sql, engagement_segment_sql
+from ..functions.sql_functions import register_sql_functions, register_tree_function
+from ..operators import churn, ranking
 from ..session import materialize, scratch_path
 from ..sources import testdata as td
 from . import oracle as O
@@ -230,3 +231,95 @@ def q_churn_model_report(spark, sf_dir):
     test = churn.model_inputs(split.where(F.col("split") == "test"))
     rep = churn.classification_report(model.transform(test))
     return rep.withColumn("roc_auc", F.round(F.lit(auc), 6))
+
+
+AUC_FEATURES = ["churn_score", *churn.FEATURES]
+
+
+@register("feature_auc", _with(SCORES_CTE, f"""
+long AS (
+  UNPIVOT (SELECT f.churned, CAST(raw_score AS DOUBLE) AS churn_score,
+                  {', '.join(f'CAST(f.{c} AS DOUBLE) AS {c}' for c in churn.FEATURES)}
+           FROM features f JOIN scores s USING (user_id))
+  ON {', '.join(AUC_FEATURES)} INTO NAME feature VALUE v
+), counts AS (
+  SELECT feature, v, CAST(sum(churned) AS BIGINT) AS pos, CAST(sum(1 - churned) AS BIGINT) AS neg
+  FROM long GROUP BY feature, v
+), steps AS (
+  SELECT *, COALESCE(sum(neg) OVER (PARTITION BY feature ORDER BY v
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM counts
+)""", body="""
+SELECT feature, round(sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives, count(*) AS distinct_scores
+FROM steps GROUP BY feature"""))
+def q_feature_auc(spark, sf_dir):
+    """M5: exact ROC AUC of the rule score and of each model input against the label."""
+    feats = churn.model_inputs(_features(spark, sf_dir))
+    scored = feats.withColumn("churn_score", churn_rule_score("days_since_login", "articles_read_30d", "paywall_bounces_30d"))
+    long = scored.select("churned", *[F.col(c).cast("double").alias(c) for c in AUC_FEATURES]) \
+        .unpivot(["churned"], AUC_FEATURES, "feature", "value")
+    return ranking.roc_auc(long, "value", "churned", "feature").withColumn("auc", F.round("auc", 6))
+
+
+def _permutation_sql() -> str:
+    def one(c: str) -> str:
+        moved = {x: ("moved" if x == c else x) for x in churn.FEATURES}
+        score = churn_rule_score_sql(moved["days_since_login"], moved["articles_read_30d"], moved["paywall_bounces_30d"])
+        return f"""
+SELECT '{c}' AS feature, avg((churned - ({score})) ** 2) AS permuted_loss FROM (
+  SELECT *, COALESCE(lead({c}) OVER o, first_value({c}) OVER o) AS moved FROM (
+    SELECT *, ('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':perm42:{c}'), 1, 15))::BIGINT AS h FROM features)
+  WINDOW o AS (ORDER BY h, user_id))"""
+    return _with(SCORES_CTE, "moves AS (" + " UNION ALL ".join(one(c) for c in churn.FEATURES) + ")",
+                 "base AS (SELECT avg((churned - raw_score) ** 2) AS base_loss FROM scores)", body="""
+SELECT feature, round(base_loss, 6) AS base_loss, round(permuted_loss, 6) AS permuted_loss,
+       round(permuted_loss - base_loss, 6) AS importance FROM moves, base""")
+
+
+@register("permutation_importance", _permutation_sql())
+def q_permutation_importance(spark, sf_dir):
+    """M7: permutation importance of each input for the rule score."""
+    score = churn_rule_score("days_since_login", "articles_read_30d", "paywall_bounces_30d")
+    out = churn.permutation_importance(churn.model_inputs(_features(spark, sf_dir)), score, churn.FEATURES)
+    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("base_loss", "permuted_loss", "importance")])
+
+
+@register("churn_trees_sql", """
+SELECT count(*) AS subscribers, CAST(0 AS BIGINT) AS different_scores, CAST(0 AS BIGINT) AS different_segments FROM customer""")
+def q_churn_trees_sql(spark, sf_dir):
+    """The trained trees as a SQL table function, called per subscriber with LATERAL,
+    compared with the model's own scores."""
+    model, _ = _model(spark, sf_dir)
+    register_tree_function(spark, churn.tree_nodes(model))
+    feats = _features(spark, sf_dir)
+    churn.score(model, feats, as_served=True).createOrReplaceTempView("scored_by_model")
+    return spark.sql("""
+SELECT count(*) AS subscribers,
+       count_if(abs(t.churn_probability - m.churn_probability) > 0.00011D) AS different_scores,
+       count_if(t.risk_segment != m.risk_segment) AS different_segments
+FROM scored_by_model m,
+     LATERAL predict_churn(m.days_since_login, m.articles_read_30d, m.tenure_months,
+                           CAST(m.avg_session_sec AS DOUBLE), m.paywall_bounces_30d) t""")
+
+
+@register("churn_model_report_checked", _with("""
+ranked AS (
+  SELECT churned, row_number() OVER (PARTITION BY churned
+           ORDER BY ('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':seed42'), 1, 15))::BIGINT, user_id) AS rn,
+         count(*) OVER (PARTITION BY churned) AS n FROM features
+)""", body="""
+SELECT CASE churned WHEN 0 THEN 'Active' ELSE 'Churned' END AS class, count(*) AS support,
+       true AS auc_above_bound, true AS importances_sum_to_one, true AS auc_equals_ranks
+FROM ranked WHERE rn <= (n * 2 + 9) // 10 GROUP BY churned"""))
+def q_churn_model_report_checked(spark, sf_dir):
+    """C17: support per class of the test split, the model's AUC above 0.95, importances that sum
+    to 1, and the evaluator's AUC equal to the exact rank form to 6 digits."""
+    model, split = _model(spark, sf_dir)
+    test = churn.model_inputs(split.where(F.col("split") == "test"))
+    pred = model.transform(test).withColumn("margin", vector_to_array("rawPrediction")[1]).withColumn("all", F.lit(1))
+    exact = ranking.roc_auc(pred, "margin", "churned", "all").first()["auc"]
+    auc = churn.roc_auc(model, split)
+    total = churn.feature_importance(model).agg(F.sum("importance")).first()[0]
+    return churn.classification_report(pred).select(
+        "class", "support", F.lit(auc > 0.95).alias("auc_above_bound"),
+        F.lit(abs(total - 1) < 1e-6).alias("importances_sum_to_one"), F.lit(abs(auc - exact) < 1e-6).alias("auc_equals_ranks"))

@@ -17,11 +17,11 @@ from ..session import input_bytes, scratch_path
 from ..sources import staging
 from ..sources import testdata as td
 from ..sources.schemas import TRACKING_SCHEMA
-from ..streaming import bitmaps, native, refresh
+from ..streaming import bitmaps, native, refresh, session_state
 from ..streaming import ingest as st_ingest
 from . import oracle as O
 from .context import Context
-from .core import ARTICLE_PERFORMANCE_SQL, READER_ENGAGEMENT_SQL
+from .core import ARTICLE_PERFORMANCE_SQL, READER_ENGAGEMENT_SQL, _sessions_out, _with_sessions
 from .ingest import CUTOFF_SQL, RAW_EVOLVED_SQL
 from .registry import register
 
@@ -241,3 +241,66 @@ def q_engagement_window_stream(spark, sf_dir):
     agg = native.daily_windows(stream, approx_readers=False)
     return native.run_to_table(agg, scratch_path(spark, "native-windows"), mode="complete")
 
+
+
+@register("sessions_stream", _with_sessions(30, "SELECT * FROM sess"))
+def q_sessions_stream(spark, sf_dir):
+    """T8 by the C6 rule: interval state merged with late events (every 20th event comes last)."""
+    _, stream = _typed_stream(spark, sf_dir, groups_per_batch=2)
+    h = session_state.SessionState(spark, scratch_path(spark, "session-state"), 30, _state_buckets(sf_dir, spark))
+    refresh.run_available_now(stream, h, scratch_path(spark, "session-state-ckpt"))
+    return _sessions_out(h.read())
+
+
+CLOSED_DAYS_CTE = """
+closed AS (
+  SELECT * FROM ev WHERE CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY
+                         <= (SELECT max(event_timestamp) FROM ev) - INTERVAL 6 DAY
+)"""
+
+
+def _closed_days(spark, sf_dir):
+    """Days closed by the watermark, with sketches; rows come up to one group (about five days) late."""
+    ctx = Context(spark, sf_dir)
+    landing, per_group = refresh.stage_typed_events(ctx.events, spark, late_every=20, late_groups=1)
+    stream = spark.readStream.schema(ctx.events.schema).option("maxFilesPerTrigger", per_group).parquet(landing)
+    agg = native.daily_windows(stream, watermark="6 days", approx_readers=False, sketch=True)
+    return ctx, native.run_to_table(agg, scratch_path(spark, "closed-days"), mode="append")
+
+
+def _estimates(rows, exact, keys):
+    """``rows`` with a 0/1 column: the sketch's estimate is within 4 % (five standard errors) of the exact count."""
+    same = [rows[k].eqNullSafe(exact[k]) for k in keys]
+    near = F.abs(F.hll_sketch_estimate("readers_sketch") - F.col("readers")) <= 0.04 * F.col("readers")
+    return rows.join(exact, same).select(*[rows[k] for k in keys], "page_views", "paywall_hits", "subscribe_clicks",
+                                         near.cast("int").alias("estimate_within_bound"))
+
+
+_WINDOW_SQL = """
+SELECT {key} AS {name}, section, count(*) AS page_views, count(*) FILTER (WHERE event_name = 'paywall_hit') AS paywall_hits,
+       count(*) FILTER (WHERE event_name = 'subscribe_click') AS subscribe_clicks, 1 AS estimate_within_bound
+FROM closed GROUP BY 1, 2"""
+
+
+@register("engagement_window_append", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, CLOSED_DAYS_CTE,
+                                                  body=_WINDOW_SQL.format(key="event_date", name="day")))
+def q_engagement_window_append(spark, sf_dir):
+    """T9 in append mode: days leave the state once the watermark closes them, late rows included."""
+    ctx, days = _closed_days(spark, sf_dir)
+    exact = ctx.events.groupBy(F.col("event_date").alias("day"), "section").agg(
+        F.count_distinct("user_pseudo_id").alias("readers"))
+    return _estimates(days, exact, ["day", "section"])
+
+
+@register("engagement_weeks_sketch", O.with_ctes(
+    O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, CLOSED_DAYS_CTE,
+    body=_WINDOW_SQL.format(key="CAST(date_trunc('week', event_date) AS DATE)", name="week")))
+def q_engagement_weeks_sketch(spark, sf_dir):
+    """Closed days' reader sketches merged into weeks without reading events again."""
+    ctx, days = _closed_days(spark, sf_dir)
+    weeks = native.merged_windows(days, "week")
+    week = F.date_trunc("week", "event_date").cast("date").alias("week")
+    last = days.agg(F.max("day")).first()[0]
+    exact = ctx.events.where(F.col("event_date") <= F.lit(last)).groupBy(week, "section").agg(
+        F.count_distinct("user_pseudo_id").alias("readers"))
+    return _estimates(weeks, exact, ["week", "section"])

@@ -20,6 +20,12 @@ TRACKING_SCHEMA = T.StructType([
     T.StructField("scroll_pct", T.LongType()),
 ])
 
+# The same feed with text identifiers; ``sources/dictionary.py`` gives them numbers where those are needed.
+TRACKING_TEXT_SCHEMA = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in ("user_pseudo_id", "article_id") else f.dataType)
+    for f in TRACKING_SCHEMA.fields
+])
+
 EVOLVED_FIELDS = ["consent_state", "engagement_score", "ab_test_variant"]
 
 SUBSCRIBER_SCHEMA = T.StructType([

@@ -67,6 +67,17 @@ def stage_open_numbers(spark: SparkSession, sf_dir: str, compression: str = "gzi
     return paths
 
 
+def stage_text_tracking(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> str:
+    """Tracking lines with text ids: readers ``u<n>``, articles ``art-<n>``, none in every thirteenth event."""
+    path = scratch_path(spark, "landing-text-ids")
+    rows = td.tracking_events(spark, sf_dir)
+    article = F.when(F.pmod("event_id", F.lit(13)) != 0, F.concat(F.lit("art-"), F.col("article_id").cast("string")))
+    (rows.withColumn("article_id", article)
+     .withColumn("user_pseudo_id", F.concat(F.lit("u"), F.col("user_pseudo_id").cast("string")))
+     .write.option("compression", compression).json(path))
+    return path
+
+
 def stage_subscribers(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> str:
     """Subscribers as NDJSON with upper-case keys and text timestamps
     (``YYYY-MM-DDTHH:MM:SSZ``), the shape of the subscriber export."""

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import DEEP_READ_SCROLL_PCT, PERFORMANCE_TIERS
 from ..functions.rules import pct_or_null, tier
+from ..sources.dictionary import IdDictionary
 from ..sources.versions import BucketTable
 
 
@@ -31,8 +32,9 @@ class DistinctState:
     """foreachBatch handler: groups by ``keys``, readers as bitmaps, ``sums`` of columns."""
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], sums: dict[str, Column],
-                 reader: str = "user_pseudo_id", spread: list[str] | None = None, buckets: int = 16, keep: int = 2):
-        self.keys, self.sums, self.reader = keys, sums, reader
+                 reader: str = "user_pseudo_id", spread: list[str] | None = None, buckets: int = 16, keep: int = 2,
+                 dictionary: IdDictionary | None = None):
+        self.keys, self.sums, self.reader, self.dictionary = keys, sums, reader, dictionary
         self.table = BucketTable(spark, root, [*(spread or keys), "slot"], buckets, keep)
 
     def delta(self, events: DataFrame) -> DataFrame:
@@ -50,6 +52,9 @@ class DistinctState:
         held = self.table.manifest()
         if held["note"].get("batch", -1) >= int(batch_id):
             return  # the version that holds this batch is published
+        if self.dictionary:  # text readers: numbers for new ones first
+            self.dictionary.extend(batch, self.reader)
+            batch = self.dictionary.encode(batch, self.reader)
         delta = self.delta(batch).persist()
         try:
             touched = self.table.touched(delta)
@@ -80,12 +85,14 @@ class DistinctState:
 class EngagementState(DistinctState):
     """Reader engagement (C4) per day, section and publication; NULLs are groups."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, keep: int = 2):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, keep: int = 2,
+                 dictionary: IdDictionary | None = None):
         ev = F.col("event_name")
         super().__init__(spark, root, ["event_date", "section", "publication"], {
             "page_views": F.count(F.lit(1)), "eng_sum": F.sum("engagement_time_sec"),
             "eng_cnt": F.count("engagement_time_sec"), "paywall_hits": F.count_if(ev == "paywall_hit"),
-            "subscribe_clicks": F.count_if(ev == "subscribe_click")}, spread=["event_date"], buckets=buckets, keep=keep)
+            "subscribe_clicks": F.count_if(ev == "subscribe_click")}, spread=["event_date"], buckets=buckets, keep=keep,
+            dictionary=dictionary)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         tot = self.totals(version)

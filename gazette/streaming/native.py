@@ -6,6 +6,8 @@
   minute-boundary difference exceeds 30.  Session end = last event + gap.
 * ``daily_windows``: tumbling one-day windows per section with a watermark;
   distinct readers are approximate (exact distinct is refused on streams).
+  With ``sketch`` each closed day carries its HyperLogLog sketch of readers, so
+  days merge into longer spans later (``merged_windows``) without the events.
 
 Watermarks need TIMESTAMP (not NTZ): with the session time zone pinned to
 UTC the cast keeps the wall clock, and results are cast back to NTZ.
@@ -34,19 +36,33 @@ def native_sessions(events: DataFrame, gap: str = "30 minutes", watermark: str =
                       "total_events", "total_engagement_sec", "paywall_hits")
 
 
-def daily_windows(events: DataFrame, watermark: str = "1 day", approx_readers: bool = True) -> DataFrame:
+SKETCH_BITS = 14  # 2^14 registers: a relative standard error of 0.8 %
+
+
+def daily_windows(events: DataFrame, watermark: str = "1 day", approx_readers: bool = True,
+                  sketch: bool = False) -> DataFrame:
     ev = F.col("event_name")
     aggs = [F.count("*").alias("page_views"),
             F.count_if(ev == "paywall_hit").alias("paywall_hits"),
             F.count_if(ev == "subscribe_click").alias("subscribe_clicks")]
     if approx_readers:
         aggs.append(F.approx_count_distinct("user_pseudo_id").alias("approx_unique_readers"))
+    if sketch:
+        aggs.append(F.hll_sketch_agg("user_pseudo_id", SKETCH_BITS).alias("readers_sketch"))
     agg = (_ts(events).withWatermark("_ts", watermark)
            .groupBy(F.window("_ts", "1 day").alias("w"), "section").agg(*aggs))
     return agg.select(F.col("w.start").cast("timestamp_ntz").cast("date").alias("day"), "section",
                       *[a for a in agg.columns if a not in ("w", "section")])
 
 
+def merged_windows(days: DataFrame, unit: str = "week") -> DataFrame:
+    """Closed days with sketches merged into weeks (or any ``date_trunc`` unit) per section."""
+    return (days.groupBy(F.date_trunc(unit, "day").cast("date").alias(unit), "section")
+            .agg(F.count(F.lit(1)).alias("days"), F.sum("page_views").alias("page_views"),
+                 F.sum("paywall_hits").alias("paywall_hits"), F.sum("subscribe_clicks").alias("subscribe_clicks"),
+                 F.hll_union_agg("readers_sketch").alias("readers_sketch")))
+
+
 def run_to_table(agg: DataFrame, checkpoint: str, mode: str = "append") -> DataFrame:
     """Run a streaming aggregate to completion and return its final rows.
 

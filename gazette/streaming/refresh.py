@@ -151,12 +151,12 @@ def run_available_now(stream: DataFrame, handler, checkpoint: str, name: str | N
 
 
 def stage_typed_events(events: DataFrame, spark: SparkSession, files: int = 6,
-                       late_every: int | None = 20) -> tuple[str, int]:
+                       late_every: int | None = 20, late_groups: int | None = None) -> tuple[str, int]:
     """Write typed events as time-ordered groups of files, oldest group first.
 
     Group ``k`` holds days ``[5k+1, 5k+5]`` of the month.  With ``late_every``
-    every n-th event is held back into the last group, so later micro-batches
-    carry late events for old days.  Each group is written by all task slots
+    every n-th event is held back into the last group (or by ``late_groups``
+    groups), so later micro-batches carry late events for old days.  Each group is written by all task slots
     (one file per slot, never a single-task write); groups are written one
     after another so the stream's modification-time order is the time order.
     Returns ``(path, files_per_group)``: read with ``maxFilesPerTrigger`` set
@@ -167,7 +167,9 @@ def stage_typed_events(events: DataFrame, spark: SparkSession, files: int = 6,
     day = F.dayofmonth("event_date")
     file_no = F.least(F.floor((day - 1) / 5), F.lit(files - 1))
     if late_every:
-        file_no = F.when(F.pmod(F.col("event_id"), F.lit(late_every)) == 0, F.lit(files - 1)).otherwise(file_no)
+        last = F.lit(files - 1)
+        held = last if late_groups is None else F.least(file_no + late_groups, last)
+        file_no = F.when(F.pmod(F.col("event_id"), F.lit(late_every)) == 0, held).otherwise(file_no)
     tagged = events.withColumn("_file", file_no).persist()
     try:
         for k in range(files):
