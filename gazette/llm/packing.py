@@ -28,6 +28,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from .common import fresh, materialize
 CAPACITY = 1024
 END = 2                              # id after each document
 WEIGHTS = (1.0, 0.001, 0.001)        # of tokens, documents and attention cost, as shares of the capacity
-SLAB = 1 << 21                       # characters tokenized at once; one longer text is a slab of its own
+SLAB = 1 << 22                       # characters tokenized at once; one longer text is a slab of its own
 CACHE = 1 << 19                      # distinct chunks whose ids a task remembers
 _LONGEST = 64                        # characters of a chunk that is joined with others for a call
 _JOIN = 1 << 13                      # chunks joined for a call
@@ -46,13 +47,23 @@ _PLACE = 40                          # bits of a rank within a length
 # Between two visible characters a space starts a new word of the tokenizer's pattern, which takes one space
 # with the word after it, and a line end is a word of its own; so the ids of a text are those of its chunks.
 _CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
+# A letter and a sign after it never share a word of the pattern.
+_STOP = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u047f])([.,;:!?])"
 
 
-def chunks(text: str) -> list[str]:
-    """Keys of the chunks of a text: a word for the space and the word, ``\\0`` and the chunk for others."""
+def regular(text: str) -> bool:
+    """Whether every space and line end of a text lies between two visible characters."""
     flat = text.replace("\n", " ")
-    if flat.isprintable() and "  " not in flat and flat.strip(" ") == flat:
-        return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
+    return flat.isprintable() and "  " not in flat and flat.strip(" ") == flat
+
+
+def chunks(text: str, plain: bool) -> str | list[str]:
+    """Keys of the chunks of a text: a word for the space and the word, ``\\0`` and the chunk for others.
+
+    Those of a regular text (``plain``) are returned joined by spaces, signs still at their words.
+    """
+    if plain:
+        return "\0" + text.replace("\n", " \0\n \0")
     return ["\0" + c for c in _CUT.split(text)]
 
 
@@ -124,24 +135,32 @@ class Ids:
             found = self._encode([k[1:] if k[0] == "\0" else " " + k for k in alone])
             self._add(alone, np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
 
-    def documents(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, offsets)``: the ids of all texts, the end id after each, and where each text starts."""
+    def documents(self, texts: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, offsets)``: the ids of all texts, the end id after each, and where each text starts.
+
+        ``plain`` says that all texts are regular.
+        """
         if len(self.known) > CACHE:
             self._forget()
-        keys = [chunks(t) for t in texts]
-        new = set().union(*keys).difference(self.known)
+        keys = pa.array([chunks(t, plain) for t in texts], pa.large_string() if plain else pa.large_list(pa.large_string()))
+        if plain:
+            keys = pc.split_pattern(pc.replace_substring_regex(keys, _STOP, "\\1 \0\\2"), " ")
+        each = keys.flatten().dictionary_encode()
+        distinct = each.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [k for k in distinct if k not in self.known]
         if new:
-            self._learn(list(new))
-        at = []
-        for ks in keys:
-            at += map(self.known.__getitem__, ks)
-            at.append(0)
-        at = np.array(at, np.int64)
+            self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        stops = np.asarray(keys.offsets)[1:] - keys.offsets[0].as_py() + np.arange(1, len(texts) + 1)
+        at = np.zeros(stops[-1], np.int64)      # chunk 0 ends a document
+        inside = np.ones(len(at), bool)
+        inside[stops - 1] = False
+        at[inside] = number[each.indices.to_numpy()]
         self.uses += np.bincount(at, minlength=len(self.uses))
         sizes = self.sizes[at]
-        stops = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.starts[at] - stops + sizes, sizes) + np.arange(sizes.sum())]
-        return ids, np.concatenate(([0], stops[at == 0]))
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])]
+        return ids, np.concatenate(([0], ends[stops - 1]))
 
 
 class Vocabulary:
@@ -169,15 +188,20 @@ def cut(lengths: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.n
     return doc, piece, start, np.where(piece == 0, head[doc], longest)
 
 
-def _slabs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > a and size + len(t) > SLAB:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+def _slabs(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], bool]]:
+    """Places and texts of at most ``SLAB`` characters (or one text), regular ones apart from the others."""
+    for plain in (True, False):
+        places, size = [], 0
+        for i, t in enumerate(texts):
+            if regular(t) is not plain:
+                continue
+            if places and size + len(t) > SLAB:
+                yield np.array(places), [texts[j] for j in places], plain
+                places, size = [], 0
+            places.append(i)
+            size += len(t)
+        if places:
+            yield np.array(places), [texts[j] for j in places], plain
 
 
 def _pieces(model, end: int, longest: int, with_ids: bool, names: list[str]):
@@ -187,8 +211,8 @@ def _pieces(model, end: int, longest: int, with_ids: bool, names: list[str]):
         seen = np.zeros(longest + 1, np.int64)
         for batch in batches:
             texts = batch.column(0).fill_null("").to_pylist()
-            for a, b in _slabs(texts):
-                ids, off = encode.documents(texts[a:b])
+            for places, some, plain in _slabs(texts):
+                ids, off = encode.documents(some, plain)
                 doc, piece, start, size = cut(np.diff(off), longest)
                 at = off[doc] + start
                 crc = [zlib.crc32(ids[s:s + n]) for s, n in zip(at.tolist(), size.tolist())]
@@ -197,7 +221,7 @@ def _pieces(model, end: int, longest: int, with_ids: bool, names: list[str]):
                 rank = np.empty(len(size), np.int64)
                 rank[order] = np.arange(len(size)) - np.repeat(head, count) + seen[size[order]]
                 seen[kinds] += count
-                cols = [c.take(pa.array(doc + a)) for c in batch.columns[1:]]
+                cols = [c.take(pa.array(places[doc])) for c in batch.columns[1:]]
                 cols += [pa.array(piece, pa.int32()), pa.array(start), pa.array(size), pa.array(crc, pa.int64()),
                          pa.array(np.full(len(size), part), pa.int32()), pa.array(rank)]
                 if with_ids:  # pieces of a slab lie one after the other

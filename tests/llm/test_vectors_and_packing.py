@@ -173,8 +173,13 @@ def test_chunked_ids_equal_whole_texts(monkeypatch):
     for _ in range(60):
         texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(15)]
         texts += [words(rng, 30) + "\n" + words(rng, 5), ""]
-        ids, off = own.documents(texts)
-        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == plain_ids(texts)
+        want = plain_ids(texts)
+        places = []
+        for at, some, plain in packing._slabs(texts):
+            ids, off = own.documents(some, plain)
+            assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [want[i] for i in at]
+            places += at.tolist()
+        assert sorted(places) == list(range(len(texts)))
 
 
 def check_packing(spark, rows, packed, capacity, most_docs=None, most_cost=None):
