@@ -5,12 +5,17 @@ from __future__ import annotations
 
 from .licences import TEMPLATES
 
-# Highest quotients taken literally: every quotient of every shard is listed and ranked.
+# Highest quotients taken literally: every quotient of every shard is listed and ranked; what they
+# miss of a source's target is settled in words, shard after shard.
 MIX = r"""
-WITH d AS (
+WITH b AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
-  FROM documents
+         substr(md5(COALESCE(text, '')), 1, 16) AS digest FROM documents
+), e AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, source, digest) - 1 AS copy FROM b
+), d AS (
+  SELECT *, CAST('0x' || substr(md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), 'null') || '|' || digest || '|' || copy),
+                                1, 15) AS BIGINT) AS h FROM e
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS words, count(*) AS n,
          [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
@@ -34,36 +39,58 @@ WITH d AS (
 ), r AS (
   SELECT d.doc_id, d.size, d.source, t.words, t.target, d.h % CAST(t.k AS BIGINT) AS shard,
          COALESCE(sum(d.size) OVER (PARTITION BY d.source, d.h % CAST(t.k AS BIGINT)
-           ORDER BY d.h, d.doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+           ORDER BY d.h, d.doc_id NULLS FIRST, d.digest, d.copy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), m AS (
-  SELECT source, shard, CAST(ceil(sum(size) / 64) AS BIGINT) AS nb,
-         COALESCE(any_value(target) * CAST(sum(size) AS BIGINT) / nullif(any_value(words), 0) / 64, 0) AS quota
+  SELECT source, shard, CAST(sum(size) AS BIGINT) AS z, CAST(ceil(sum(size) / 64) AS BIGINT) AS nb,
+         any_value(target) AS target, COALESCE(any_value(target) * CAST(ceil(sum(size) / 64) AS BIGINT)
+                                               / nullif(any_value(words), 0), 0) AS quota
   FROM r GROUP BY source, shard
 ), q AS (
   SELECT source, shard, k, row_number() OVER (ORDER BY quota / (2 * k - 1) DESC, source NULLS LAST, shard, k) AS place
   FROM (SELECT source, shard, quota, unnest(range(1, 2 * nb + 1)) AS k FROM m WHERE quota > 0)
 ), seats AS (
   SELECT source, shard, count(*) AS seats FROM q
-  WHERE place <= (SELECT floor(sum(target) / 64 + 0.5) FROM t) GROUP BY source, shard
-), p AS (
-  SELECT m.source, m.shard, m.nb, COALESCE(seats, 0) // greatest(nb, 1) AS passes,
-         COALESCE(seats, 0) % greatest(nb, 1) AS extra,
+  WHERE place <= (SELECT floor(sum(quota) + 0.5) FROM m) GROUP BY source, shard
+), p AS (  -- the short block of a shard comes at place `last` of its seeded order
+  SELECT m.*, COALESCE(seats, 0) AS seats, greatest(nb, 1) AS one, 64 * nb - z AS short,
          CAST('0x' || substr(md5('mix-1|' || COALESCE(m.source, 'null') || '|' || m.shard), 1, 15) AS BIGINT)
-           % greatest(nb, 1) AS turn
+           % greatest(nb, 1) AS turn,
+         ((nb - 1) * (1000000007 % greatest(nb, 1)) + turn) % greatest(nb, 1) AS last
   FROM m LEFT JOIN seats x ON m.source IS NOT DISTINCT FROM x.source AND m.shard = x.shard
+), g AS (
+  SELECT *, seats // one * z + seats % one * 64 - CASE WHEN last < seats % one THEN short ELSE 0 END AS given FROM p
+), f AS (
+  SELECT *, floor(target + 0.5) - sum(given) OVER (PARTITION BY source) AS missed FROM g
+), o AS (
+  SELECT *, CASE WHEN missed > 0 THEN 2 * z - given ELSE given END AS room,
+         COALESCE(sum(CASE WHEN missed > 0 THEN 2 * z - given ELSE given END) OVER (
+           PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached FROM f
 ), w AS (
-  SELECT r.doc_id, r.size, r.words, r.target, r.a, p.*, unnest(CASE WHEN r.size = 0 THEN [NULL]
-           ELSE range(CAST(r.a // 64 AS BIGINT), CAST((r.a + r.size - 1) // 64 + 1 AS BIGINT)) END) AS j,
+  SELECT *, CAST(given + sign(missed) * greatest(0, least(room, abs(missed) - reached)) AS BIGINT) AS take FROM o
+), steps AS (  -- words of the first `place` blocks in seeded order
+  SELECT source, shard, any_value(z) AS z, any_value(take) AS take, unnest(range(0, any_value(nb) + 1)) AS place,
+         any_value(last) AS last, any_value(short) AS short FROM w WHERE nb > 0 GROUP BY source, shard
+), x AS (
+  SELECT source, shard, max(place) AS "full",
+         any_value(take) % any_value(z) - max(64 * place - CASE WHEN last < place THEN short ELSE 0 END) AS rest
+  FROM steps WHERE 64 * place - CASE WHEN last < place THEN short ELSE 0 END <= take % z GROUP BY source, shard
+), j AS (
+  SELECT r.doc_id, r.size, r.words, r.target, r.a, w.take // greatest(w.z, 1) AS passes, w.one, w.turn, x."full", x.rest,
+         unnest(CASE WHEN r.size = 0 THEN [NULL]
+                ELSE range(CAST(r.a // 64 AS BIGINT), CAST((r.a + r.size - 1) // 64 + 1 AS BIGINT)) END) AS j,
          row_number() OVER () AS id
-  FROM r JOIN p ON r.source IS NOT DISTINCT FROM p.source AND r.shard = p.shard
+  FROM r JOIN w ON r.source IS NOT DISTINCT FROM w.source AND r.shard = w.shard
+  LEFT JOIN x ON r.source IS NOT DISTINCT FROM x.source AND r.shard = x.shard
+), y AS (
+  SELECT *, CASE WHEN (j * (1000000007 % one) + turn) % one < "full" THEN 64
+                 WHEN (j * (1000000007 % one) + turn) % one = "full" THEN rest ELSE 0 END AS most FROM j
 )
 SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(words) AS source_size,
        any_value(target) AS target,
-       CAST(any_value(size) * any_value(passes) + COALESCE(sum(CASE
-         WHEN (j * (1000000007 % greatest(nb, 1)) + turn) % greatest(nb, 1) < extra THEN least(a + size, (j + 1) * 64) - greatest(a, j * 64)
-         ELSE 0 END), 0) AS BIGINT) AS taken
-FROM w GROUP BY id
+       CAST(any_value(size) * any_value(passes) + COALESCE(sum(
+         greatest(0, least(a + size, j * 64 + most) - greatest(a, j * 64))), 0) AS BIGINT) AS taken
+FROM y GROUP BY id
 """
 
 _TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES)

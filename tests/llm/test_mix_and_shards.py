@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 
-from gazette.llm.mixing import highest_quotients, mix_documents, mixed_rows, source_targets
+from gazette.llm.mixing import highest_quotients, mix_documents, mixed_rows, mixture, source_targets
 from gazette.llm.oracle import MIX
 from gazette.llm.shards import shard_documents, with_hilbert
 
@@ -82,3 +82,63 @@ def test_mixed_rows_hold_what_the_mix_takes(docs, no_docs):
     assert sum(len(r.text.split()) for r in rows) == taken
     assert all(r.n_chars == len(r.text) for r in rows)
     assert mixed_rows(no_docs).count() == 0 and mix_documents(no_docs).count() == 0
+
+
+def _targets(sources):
+    """Targets by plain water filling: ``{source: (words, target)}``."""
+    order = sorted(sources, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    goal, full = 1.5 * sum(sources.values()), set()
+    while True:
+        left = goal - sum(2 * sources[s] for s in full)
+        share = sum(weight[s] for s in order if s not in full)
+        more = {s for s in order if s not in full and share and weight[s] * left / share >= 2 * sources[s]}
+        if not more:
+            return {s: (sources[s], 2.0 * sources[s] if s in full else weight[s] * left / share) for s in order}
+        full |= more
+
+
+def _check_mix(spark, rows, out):
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want = _targets(sizes)
+    taken = defaultdict(int)
+    for r in out:
+        assert r.taken <= 2 * r["size"]
+        taken[r.source_size, round(r.target, 6)] += r.taken
+    for words, target in want.values():
+        same = [v for v in want.values() if v == (words, target)]
+        assert abs(taken[words, round(target, 6)] - len(same) * target) <= len(same)
+
+
+def test_small_sources_reach_their_targets(spark):
+    rows, k = [], 0
+    for n in list(range(1, 64, 4)) + [63, 64, 65, 130, 700]:       # one document of n words
+        rows.append((k := k + 1, " ".join(["w"] * n), f"s{n:03}"))
+    rows += [(k := k + 1, "one", "many") for _ in range(600)]       # 600 documents of one word
+    rows += [(k := k + 1, " ".join(["x"] * 7), "sevens") for _ in range(900)]
+    rows += [(k := k + 1, t, None) for t in (None, "", "a b c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mix_documents(df).collect()
+    assert len(out) == len(rows)
+    _check_mix(spark, rows, out)
+    text = defaultdict(int)
+    for r in mixed_rows(df).collect():
+        text[r.doc_id] += len(r.text.split())
+    assert text == {r.doc_id: r.taken for r in out if r.taken}
+
+
+def test_repeated_rows_and_null_ids_are_spread(spark):
+    rows = [(None, f"text {i} of nobody", "hot") for i in range(1500)] + [(5, "the same row again", "hot")] * 3000
+    rows += [(i, "a b c d e f", "other") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    placed, names = mixture(df)
+    shards = Counter(r[0] for r in placed.where("doc_id = 5 or doc_id is null").select(names["shard"]).collect())
+    assert len(shards) == 9 and max(shards.values()) < 2 * 4500 / 9
+    out = placed.collect()
+    copies = sorted(r[names["copy"]] for r in out if r.doc_id == 5 and r[names["source"]] == "hot")
+    assert copies == list(range(3000))
+    _check_mix(spark, rows, mix_documents(df).collect())
+    again = spark.createDataFrame(rows[::-1], "doc_id long, text string, source string").repartition(3)
+    assert got(mix_documents(df)) == got(mix_documents(again))
