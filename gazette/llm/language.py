@@ -171,9 +171,17 @@ def _sum(xs: Column) -> Column:
     return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often it is used inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _softmax(logs: Column) -> Column:
-    parts = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(logs, lambda x: F.exp(x - F.array_max(logs)) / _sum(parts))
+    def shares(parts: Column) -> Column:
+        return _bound(_sum(parts), lambda total: F.transform(parts, lambda x: x / total))
+
+    return _bound(logs, lambda xs: _bound(F.array_max(xs), lambda top: _bound(
+        F.transform(xs, lambda x: F.exp(x - top)), shares)))
 
 
 def domain(host: Column) -> Column:
@@ -194,7 +202,9 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     """``rows`` with ``language`` and ``posterior`` from all evidence, and ``letters``.
 
     ``languages`` are those that at least ``support`` rows declare, if not given;
-    ``language`` is one of them or ``OTHER``.
+    ``language`` is one of them or ``OTHER``.  A row that fits none of them but
+    declares a rarer language keeps that one.  If no row declares a language,
+    ``language`` and ``posterior`` are NULL.
 
     ``text``, ``declared`` and ``host`` name columns; names of the results take
     ``prefix``.  Missing evidence (NULL or unknown) is a factor of one.  With no
@@ -239,39 +249,47 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     base = F.array(*[F.lit(w / total) for w in whole])
 
     def smoothed(counts: Column, towards: Column) -> Column:
-        return F.zip_with(counts, towards, lambda c, t: (c + STRENGTH * t) / (_sum(counts) + STRENGTH))
+        return _bound(_sum(counts), lambda all_: F.zip_with(
+            counts, towards, lambda c, t: (c + STRENGTH * t) / (all_ + STRENGTH)))
 
     df = df.withColumn(prior, smoothed(tags["domain"], base))
     df = df.withColumn(prior, smoothed(tags["host"], F.col(prior)))
     sizes = F.array(*[F.lit(w) for w in whole])
 
-    def factor(what: str, i: Column) -> Column:
+    def factor(what: str) -> Column:
         # P(value | language), smoothed towards the value's share of the corpus
-        share = (_sum(tags[what]) + 1.0) / (total + 1.0)
-        return F.log((F.get(tags[what], i) + STRENGTH * share) / (F.get(sizes, i) + STRENGTH))
-
-    final = fresh(df, "_final")
-    df = df.withColumn(final, F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (
-        F.when(seen, F.get(F.col(ll), i + 1)).otherwise(0.0) + F.log(F.get(F.col(prior), i))
-        + factor("declared", i) + factor("suffix", i))))
+        return _bound((_sum(tags[what]) + 1.0) / (total + 1.0), lambda share: F.zip_with(
+            tags[what], sizes, lambda t, z: F.log((t + STRENGTH * share) / (z + STRENGTH))))
+
+    final, told = fresh(df, "_final"), fresh(df, "_told_by")
+    text_part = F.transform(logs, lambda x: F.when(seen, x).otherwise(0.0))
+    df = df.withColumn(told, F.zip_with(factor("declared"), factor("suffix"), lambda a, b: a + b))
+    df = df.withColumn(final, F.zip_with(F.zip_with(text_part, F.col(prior), lambda x, p: x + F.log(p)), F.col(told),
+                                         lambda x, y: x + y))
     df = df.withColumn(final, _softmax(F.col(final)))
     best = F.array_max(final)
-    return df.select(*[f"`{c}`" for c in rows.columns],
-                     F.get(F.array(*[F.lit(x) for x in classes]),
-                           (F.array_position(final, best) - 1).cast("int")).alias(lang),
-                     best.alias(post), F.get(F.col(ll), F.lit(0)).cast("long").alias(count))
+    found = F.get(F.array(*[F.lit(x) for x in classes]), (F.array_position(final, best) - 1).cast("int"))
+    # a language that too few rows declare for a model of its own is taken at its word where no other one fits
+    own_word = F.col(f"`{declared}`")
+    found = F.when((found == OTHER) & own_word.isNotNull() & ~own_word.isin(*known), own_word).otherwise(found)
+    if not known:  # nothing declared, nothing learned: the language is unknown, not another one
+        found, best = F.lit(None).cast("string"), F.lit(None).cast("double")
+    return df.select(*[f"`{c}`" for c in rows.columns], found.alias(lang), best.alias(post),
+                     F.get(F.col(ll), F.lit(0)).cast("long").alias(count))
 
 
 def _told(language: str, posterior: str, letters: str) -> Column:
-    return (F.col(letters) > 0) & (F.col(language) != OTHER) & (F.col(posterior) >= LEAST_POSTERIOR)
+    sure = (F.col(language) != OTHER) & (F.col(posterior) >= LEAST_POSTERIOR)
+    return (F.col(letters) > 0) & F.coalesce(sure, F.lit(False))
 
 
 def page_languages(pages: DataFrame, languages=None, support: int = LEAST_SUPPORT) -> DataFrame:
     """One row per page: ``page_id, host, suffix, declared, language, posterior, letters, accepted``.
 
     Accepted pages have visible letters, a language that is not ``OTHER`` and a
-    posterior of at least ``LEAST_POSTERIOR``.  NULL or empty markup and addresses are missing
-    evidence.  Repeated rows give repeated results.
+    posterior of at least ``LEAST_POSTERIOR``; if no page declares a language none is accepted.  NULL
+    or empty markup and addresses are missing evidence; very long pages are read whole.  Repeated rows
+    give repeated results, an empty table an empty one.  Other columns are not read.
     """
     host = F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
     declared = F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", 1)
@@ -287,10 +305,16 @@ def identified(docs: DataFrame, languages=None, support: int = LEAST_SUPPORT) ->
 
     ``lang`` is the declared language and ``source`` the host.  Documents
     without letters, that fit no language better than ``OTHER``, or whose best
-    posterior is under ``LEAST_POSTERIOR``, go.
+    posterior is under ``LEAST_POSTERIOR``, go.  If no document declares a
+    language nothing can be learned, and all documents with letters stay.  NULL
+    texts have no letters; NULL ``lang`` and ``source`` are missing evidence;
+    very long texts are read whole; repeated rows are judged alike; an empty
+    table stays empty.
     """
     lang, host = fresh(docs, "_declared"), fresh(docs, "_host")
     rows = docs.withColumns({lang: declared_language(F.col("lang").cast("string")),
                              host: F.lower(F.col("source").cast("string"))})
     out = fuse(rows, "text", lang, host, prefix=fresh(rows, "_id_"), languages=languages, support=support)
-    return out.where(_told(*out.columns[-3:])).select(*[f"`{c}`" for c in docs.columns])
+    found, _, letters = out.columns[-3:]
+    unknown = F.col(found).isNull() & (F.col(letters) > 0)
+    return out.where(_told(*out.columns[-3:]) | unknown).select(*[f"`{c}`" for c in docs.columns])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from gazette.llm import simhash, suffixes
+from gazette.llm import language, simhash, suffixes
 from gazette.llm.common import components
 from gazette.llm.decontaminate import brute_force, contamination, decontaminated, scan
 
@@ -157,3 +157,72 @@ def test_deep_shallow_order():
     for p in range(301):
         assert later[p] == (raw[p:p + 100] in seen)
         seen.add(raw[p:p + 100])
+
+
+def _letters(text):
+    import re
+    return len(re.findall(rb"[A-Za-z\x80-\xff]", (text or "").encode()))
+
+
+def test_corpus_without_declared_languages_is_kept(spark, docs, rows):
+    bare = docs.withColumn("lang", language.F.lit(None).cast("string"))
+    kept = language.identified(bare)
+    assert kept.dtypes == bare.dtypes
+    assert kept.count() == sum(1 for r in rows if _letters(r[1]) > 0)
+
+
+def test_rare_language_is_taken_at_its_word(spark):
+    rng = random.Random(9)
+    en = [(i, " ".join(rng.choice(["the", "house", "water", "with", "river", "and", "bread"]) for _ in range(60)), "en", "s")
+          for i in range(60)]
+    el = [(100, "το σπίτι και το νερό με το ψωμί στο ποτάμι " * 4, "el", "s"), (101, "το σπίτι και το νερό " * 8, None, "s")]
+    df = spark.createDataFrame(en + el, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in language.identified(df).collect()}
+    assert kept == {r[0] for r in en} | {100}
+
+
+def test_softmax_equals_numpy(spark):
+    import numpy as np
+    rng = random.Random(2)
+    data = [([rng.uniform(-900, 0) for _ in range(k)],) for k in (1, 2, 5, 40)]
+    got = [r[0] for r in spark.createDataFrame(data, "x array<double>").select(language._softmax(language.F.col("x"))).collect()]
+    for (x,), p in zip(data, got):
+        e = np.exp(np.array(x) - max(x))
+        assert np.allclose(p, e / e.sum(), rtol=1e-12)
+
+
+def test_fusion_equals_a_plain_loop(spark, docs, rows):
+    """All factors of ``fuse`` restated row by row from the text likelihoods."""
+    import numpy as np
+    F = language.F
+    base = docs.select("doc_id", "text", "lang", F.lower("source").alias("host"))
+    known = ["de", "en", "es", "fr"]
+    out = [r.asDict() for r in language.fuse(base, "text", "lang", "host", languages=known).collect()]
+    model = language.trigram_model(base.select("text", F.col("lang").alias("declared")), known, False)
+    ll = language.text_evidence(base, base.columns, model, False, "text", "ll").collect()
+    soft = lambda v: np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+    has = [r.ll[0] > 0 for r in ll]
+    own = [soft(np.array(r.ll[1:])) if s else np.zeros(5) for r, s in zip(ll, has)]
+    whole = sum(own) + 1.0
+    total, want = whole.sum(), []
+    dom = lambda h: None if h is None else ".".join(h.split(".")[-2:])
+    for i, r in enumerate(ll):
+        def part(key):
+            v = key(r)
+            if v is None:
+                return np.zeros(5)
+            return np.maximum(sum((own[j] for j, o in enumerate(ll) if key(o) == v), np.zeros(5)) - own[i], 0)
+        prior = whole / total
+        for c in (part(lambda o: dom(o.host)), part(lambda o: o.host)):
+            prior = (c + language.STRENGTH * prior) / (c.sum() + language.STRENGTH)
+        logs = np.log(prior) + (np.array(r.ll[1:]) if has[i] else 0)
+        for c in (part(lambda o: o.lang), np.zeros(5)):
+            share = (c.sum() + 1) / (total + 1)
+            logs = logs + np.log((c + language.STRENGTH * share) / (whole + language.STRENGTH))
+        p = soft(logs)
+        best = (known + ["other"])[int(p.argmax())]
+        if best == "other" and r.lang is not None and r.lang not in known:
+            best = r.lang
+        want.append((repr(r.doc_id), repr(r.text), best, round(float(p.max()), 6), int(r.ll[0])))
+    assert sorted((repr(r["doc_id"]), repr(r["text"]), r["language"], round(r["posterior"], 6), r["letters"])
+                  for r in out) == sorted(want)
