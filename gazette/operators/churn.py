@@ -36,8 +36,11 @@ def subscription_code(col) -> "F.Column":
     return expr.otherwise(F.lit(SUBSCRIPTION_CODE_DEFAULT))
 
 
-def churn_features(subscribers: DataFrame, as_of) -> DataFrame:
-    """M1 + M2: recency days, reads, tenure months (calendar), session, bounces, label."""
+def churn_features(subscribers: DataFrame, as_of, keep: list | None = None) -> DataFrame:
+    """M1 + M2: recency days, reads, tenure months (calendar), session, bounces, label.
+
+    ``keep`` passes further subscriber columns through.
+    """
     as_of_d = F.lit(str(as_of)).cast("date")
     return subscribers.select(
         "user_id",
@@ -50,6 +53,7 @@ def churn_features(subscribers: DataFrame, as_of) -> DataFrame:
         "segment",
         F.col("churn_flag").cast("int").alias("churned"),
         subscription_code("subscription_type").alias("sub_type_enc"),
+        *(keep or []),
     )
 
 
@@ -58,12 +62,16 @@ def model_inputs(features: DataFrame) -> DataFrame:
     return features.fillna(0, subset=FEATURES)
 
 
-def rule_scores(features: DataFrame) -> DataFrame:
-    """M11 + M12: fixed-formula churn score, its risk segment and the segment rule."""
-    score = churn_rule_score("days_since_login", "articles_read_30d", "paywall_bounces_30d")
+def rule_scores(features: DataFrame, keep: list | None = None, digits: int = 6) -> DataFrame:
+    """M11 + M12: fixed-formula churn score, its risk segment and the segment rule.
+
+    NULL inputs of the score count as 0; the segment uses the unrounded score.
+    """
+    zero = F.lit(0).cast("long")
+    score = churn_rule_score(*[F.coalesce(c, zero) for c in ("days_since_login", "articles_read_30d", "paywall_bounces_30d")])
     return features.select(
-        "user_id", "churned",
-        F.round(score, 6).alias("churn_score"),
+        "user_id", "churned", *(keep or []),
+        F.round(score, digits).alias("churn_score"),
         risk_segment(score).alias("risk_segment"),
         engagement_segment("articles_read_30d", "days_since_login").alias("engagement_segment"),
     )
@@ -80,7 +88,8 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     order-preserving buckets; a per-label histogram of bucket counts (at most
     2^bits rows per label) yields, by a running sum, how many rows precede
     each bucket.  Only the one bucket per label that holds the cut is ranked
-    row by row; it is a uniform hash range, so it stays small.
+    row by row; it is a uniform hash range, so it stays small.  Rows without a
+    label are a class of their own.
     """
     h = hash60(F.col(key), f"seed{seed}")
     rows = df.withColumn("_h", h).withColumn("_b", F.shiftright(F.col("_h"), 60 - buckets_bits))
@@ -92,8 +101,10 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
             # ceil(n * p / q) in exact integer arithmetic
             .withColumn("_k", F.expr(f"(_tot * {frac.numerator} + {frac.denominator - 1}) div {frac.denominator}"))
             .select(label, "_b", F.coalesce("_before", F.lit(0).cast("long")).alias("_before"), "_n", "_k"))
-    # buckets wholly below or above the cut need no ranks; one bucket per label holds it
-    placed = rows.join(hist, [label, "_b"], "inner")
+    # buckets wholly below or above the cut need no ranks; one bucket per label holds it; NULL is a label
+    hist = hist.withColumnsRenamed({label: "_label", "_b": "_bucket"})
+    placed = rows.join(hist, rows[label].eqNullSafe(hist["_label"]) & rows["_b"].eqNullSafe(hist["_bucket"])) \
+        .drop("_label", "_bucket")
     cut = (F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_n") > F.col("_k"))
     rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key))
     whole = placed.where(~cut).withColumn("split", F.when(F.col("_before") < F.col("_k"), "test").otherwise("train"))
@@ -119,17 +130,28 @@ def gbt_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=[assembler(), gbt(**kw)])
 
 
-def train(split_df: DataFrame, partitions: int = 8, key: str = "user_id", **kw) -> PipelineModel:
+TRAIN_ROWS = 250_000  # training rows of a partition
+
+
+def train_partitions(rows: int) -> int:
+    """Partitions of a training set: 8 up to two million rows, then one per ``TRAIN_ROWS``."""
+    return max(8, -(-rows // TRAIN_ROWS))
+
+
+def train(split_df: DataFrame, partitions: int | None = None, key: str = "user_id", **kw) -> PipelineModel:
     """Fit on the ``train`` rows; returns ``PipelineModel([assembler, trees])``.
 
     Each tree is grown on a sample that Spark draws per partition, so the
     layout is part of the model: rows go to ``partitions`` partitions by their
-    key and are sorted within, whatever the input's layout, size or the number
-    of cores.  Equal data and ``partitions`` give an equal model; raise
-    ``partitions`` with the training set.
+    key and are sorted within, whatever the input's layout or the number of
+    cores.  Their number follows from the row count alone
+    (``train_partitions``), so equal data give an equal model.  Rows without a
+    label are not trained on.
     """
     asm = assembler()
-    vec = asm.transform(model_inputs(split_df.where(F.col("split") == "train"))) \
+    rows = split_df.where((F.col("split") == "train") & F.col("churned").isNotNull())
+    partitions = partitions or train_partitions(rows.count())
+    vec = asm.transform(model_inputs(rows)) \
         .select(key, "features", "churned").repartition(partitions, key).sortWithinPartitions(key) \
         .select("features", "churned").persist()
     try:

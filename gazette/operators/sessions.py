@@ -13,13 +13,13 @@ therefore:
 
 1. reduces events to their distinct ``(user, minute)`` buckets (partial
    aggregation before the shuffle),
-2. runs LAG and the running SUM over the buckets of each user (one row per
-   occupied minute: bounded by the time span, not by the event count, so a
-   bot user holding a third of all events still yields a small window
-   partition),
-3. joins the bucket -> session map back to the events on ``(user, minute)``
-   (AQE broadcasts the map when its measured size allows, and splits a hot
-   join key otherwise),
+2. runs LAG and the running SUM over the buckets of each user, on those two
+   columns alone (one row per occupied minute: bounded by the time span, not by
+   the event count or by what was read, so a bot user holding a third of all
+   events still yields a small window partition),
+3. joins the bucket -> session map back on ``(user, minute)``: ``sessionize`` to
+   the events, ``sessions`` to the metrics and sets of each bucket (AQE
+   broadcasts the map when its measured size allows; a minute is no hot key),
 4. groups by ``(user, session_id)`` with partial aggregation.
 
 No tiebreak is needed: ties fall in one minute.  ``method="window"`` is the
@@ -60,17 +60,20 @@ def sessionize(events: DataFrame, gap_minutes: int = 30, user: str = "user_pseud
 
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
-    minute = F.date_trunc("minute", F.col(ts))
-    ev = events.withColumn("_minute", minute)
-    buckets = ev.select(user, "_minute").distinct()
+    ev = events.withColumn("_minute", F.date_trunc("minute", F.col(ts)))
+    return _with_numbers(ev, ev, gap_minutes, user).drop("_minute")
+
+
+def _with_numbers(rows: DataFrame, events: DataFrame, gap_minutes: int, user: str) -> DataFrame:
+    """``rows`` (with ``_minute``) and the ``session_id`` of their user's minute, numbered over ``events``."""
     w = Window.partitionBy(user).orderBy(F.col("_minute").asc_nulls_last())
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    smap = (buckets
+    smap = (events.select(user, "_minute").distinct()
             .withColumn("_flag", _flag(F.lag("_minute").over(w), F.col("_minute"), gap_minutes))
             .withColumn("session_id", F.sum("_flag").over(run).cast("long"))
             .select(F.col(user).alias("_u"), F.col("_minute").alias("_m"), "session_id"))
     cond = F.col(user).eqNullSafe(F.col("_u")) & F.col("_minute").eqNullSafe(F.col("_m"))
-    return ev.join(smap, cond, "inner").drop("_u", "_m", "_minute")
+    return rows.join(smap, cond, "inner").drop("_u", "_m")
 
 
 def sessions(events: DataFrame, gap_minutes: int = 30, method: str = "buckets") -> DataFrame:
@@ -89,14 +92,11 @@ def sessions(events: DataFrame, gap_minutes: int = 30, method: str = "buckets")
         agg = rows.groupBy(user, "session_id").agg(*[first.alias(n) for n, (first, _) in metrics.items()],
                                                    *[c.alias(n) for n, c in sets.items()])
     else:
-        # one row per (user, minute), numbered per user; sessions then need no further shuffle
-        minutes = (events.groupBy(user, F.date_trunc("minute", "event_timestamp").alias("_minute"))
-                   .agg(*[first.alias(n) for n, (first, _) in metrics.items()], *[c.alias(n) for n, c in sets.items()]))
-        w = Window.partitionBy(user).orderBy(F.col("_minute").asc_nulls_last())
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        agg = (minutes.withColumn("_flag", _flag(F.lag("_minute").over(w), F.col("_minute"), gap_minutes))
-               .withColumn("session_id", F.sum("_flag").over(run).cast("long"))
-               .groupBy(user, "session_id")
+        # one row per (user, minute); only those two columns are ordered by user
+        events = events.withColumn("_minute", F.date_trunc("minute", "event_timestamp"))
+        minutes = events.groupBy(user, "_minute").agg(
+            *[first.alias(n) for n, (first, _) in metrics.items()], *[c.alias(n) for n, c in sets.items()])
+        agg = (_with_numbers(minutes, events, gap_minutes, user).groupBy(user, "session_id")
                .agg(*[again(n).alias(n) for n, (_, again) in metrics.items()],
                     *[F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in sets]))
     return (agg.withColumn("articles_viewed", F.size("articles_viewed").cast("long"))

@@ -130,11 +130,9 @@ ORDER BY s.ltv_estimated_eur DESC, s.user_id ASC LIMIT 10"""))
 def q_at_risk_topn(spark, sf_dir):
     """M10 on the rule score: HIGH-risk subscribers with the highest LTV."""
     ctx = Context(spark, sf_dir)
-    feats = churn.churn_features(ctx.subscribers, AS_OF)
-    s = churn.rule_scores(feats).select(
-        "user_id", F.round("churn_score", 4).alias("churn_probability"), "risk_segment")
-    return churn.at_risk_topn(s, ctx.subscribers, 10).select(
-        "user_id", "subscription_type", "ltv_estimated_eur", "churn_probability", "risk_segment")
+    feats = churn.churn_features(ctx.subscribers, AS_OF, keep=["ltv_estimated_eur"])
+    scored = churn.rule_scores(feats, keep=["subscription_type", "ltv_estimated_eur"], digits=4)
+    return churn.at_risk_topn(scored.withColumnRenamed("churn_score", "churn_probability"), ctx.subscribers, 10)
 
 
 @register("churn_udtf_sql", _with(SCORES_CTE, body="""
@@ -212,8 +210,8 @@ def q_churn_model_at_risk(spark, sf_dir):
     """C17 / M10 with the model: top 10 HIGH-risk by LTV, scored as served."""
     ctx = Context(spark, sf_dir)
     model, _ = _model(spark, sf_dir)
-    scored = churn.score(model, _features(spark, sf_dir), as_served=True)
-    return churn.at_risk_topn(scored, ctx.subscribers, 10)
+    feats = churn.churn_features(ctx.subscribers, AS_OF, keep=["ltv_estimated_eur"])
+    return churn.at_risk_topn(churn.score(model, feats, as_served=True), ctx.subscribers, 10)
 
 
 @register("feature_importance")

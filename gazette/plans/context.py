@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import testdata as td
 from ..operators import curate
-from ..session import materialize
+from ..session import materialize, path_exists
 
 
 # Curated tables built once per (application, fixture folder), like the
@@ -20,12 +20,6 @@ from ..session import materialize
 _CURATED: dict = {}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -44,7 +38,7 @@ class Context:
         """C1, materialized once in the shared folder (CTAS) and then read."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "articles")
         path = _CURATED.get(key)
-        if path and _exists(self.spark, path):
+        if path and path_exists(self.spark, path):
             return self.spark.read.parquet(path)
         df = materialize(curate.articles_dim(self.raw, td.ARTICLE_AS_OF_TS, td.UNREAD_ARTICLE_IDS),
                          "curated-articles")

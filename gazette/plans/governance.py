@@ -106,6 +106,48 @@ def q_metric_by_synonyms(spark, sf_dir):
     return _model(spark, sf_dir).query(["lecteurs", "partages", "abonnements"], ["journal", "auteur"])
 
 
+@register("metric_filtered", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, _perf_sql(), body="""
+SELECT publication, CAST(sum(unique_readers) AS BIGINT) AS total_unique_readers, count(article_id) AS article_count
+FROM perf WHERE paywall_type <> 'none' AND section IN ('Politique', 'Sport', 'Culture') AND unique_readers >= 10
+GROUP BY publication"""))
+def q_metric_filtered(spark, sf_dir):
+    """G6 with a filter: metrics of paid articles in three sections with at least ten readers."""
+    paid = (F.col("paywall_type") != "none") & F.col("section").isin("Politique", "Sport", "Culture") \
+        & (F.col("unique_readers") >= 10)
+    return _model(spark, sf_dir).query(["readers", "article_count"], ["journal"], where=paid)
+
+
+_names = [(n, e) for n, e, *_ in metrics.CONTENT_METRICS], [(n, e) for n, e, *_ in metrics.CONTENT_DIMENSIONS]
+
+
+@register("metric_refusals", O.with_ctes(O.EV_CTE, O.ARTICLES_CTE, O.EVENTS_CTE, _perf_sql(), _eng_sql(), f"""
+asked AS (SELECT * FROM (VALUES {', '.join(f"('{n}', '{e}')" for n, e in _names[0])}) m(metric, metric_entity),
+                       (VALUES {', '.join(f"('{n}', '{e}')" for n, e in _names[1])}) d(dimension, dimension_entity))""", body="""
+SELECT metric_entity, CAST(count(*) FILTER (WHERE metric_entity <> dimension_entity) AS BIGINT) AS refused,
+       CAST(count(*) FILTER (WHERE metric_entity = dimension_entity) AS BIGINT) AS answered,
+       any_value(CASE metric_entity WHEN 'articles' THEN (SELECT count(*) FROM perf) ELSE (SELECT count(*) FROM eng) END)
+         AS entity_rows
+FROM asked GROUP BY metric_entity"""))
+def q_metric_refusals(spark, sf_dir):
+    """Every metric asked by every dimension; combinations across entities are refused."""
+    model = _model(spark, sf_dir)
+    tally = {e: [0, 0] for e in model.entities}
+    for m in model.metrics.values():
+        for d in model.dimensions.values():
+            try:
+                model.query([m.name], [d.name])
+                tally[m.entity][1] += 1
+            except metrics.MetricError:
+                tally[m.entity][0] += 1
+    out = None
+    for name, (refused, answered) in tally.items():
+        one = model.entities[name].frame().agg(F.count("*").alias("entity_rows")).select(
+            F.lit(name).alias("metric_entity"), F.lit(refused).cast("long").alias("refused"),
+            F.lit(answered).cast("long").alias("answered"), "entity_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("masked_sql", _MASKED_SQL)
 def q_masked_sql(spark, sf_dir):
     """G1-G3 through the SQL masking functions, bound to the analyst's role."""

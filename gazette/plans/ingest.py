@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, curate, evolve, nested
-from ..session import materialize, path_exists, scratch_path
+from ..session import materialize, scratch_path
 from ..sources import json_loader, staging
-from ..sources import testdata as td
+from ..sources.raw_table import RawTable
 from ..sources.schemas import EVOLVED_FIELDS, SUBSCRIBER_SCHEMA, TRACKING_SCHEMA
 from . import oracle as O
 from .context import Context
@@ -56,16 +56,15 @@ def q_raw_tracking_evolved(spark, sf_dir):
 def q_staged_batch_load(spark, sf_dir):
     """Batch 1 loaded, batch 1 re-run (ledger: no-op), then batch 2 (evolved)."""
     paths = staging.stage_tracking_batches(spark, sf_dir)
-    table_path, ledger = scratch_path(spark, "raw-staged"), scratch_path(spark, "load-ledger")
+    table = RawTable(spark, scratch_path(spark, "raw-staged"), TRACKING_SCHEMA)
+    ledger = json_loader.FileLedger(spark, scratch_path(spark, "load-ledger"))
     for landing in (paths["batch_1"], paths["batch_1"], paths["batch_2"]):
-        current = evolve.read_evolving(spark, table_path).schema if path_exists(spark, table_path) else TRACKING_SCHEMA
-        if landing == paths["batch_2"]:
-            current = evolve.merged_schema(current, json_loader.infer_schema(spark, landing))
-        rows, files = json_loader.load_once(spark, landing, current, ledger)
-        if files:
-            evolve.append_evolving(spark, rows, table_path)
-            json_loader.record_file_list(spark, files, ledger)
-    return evolve.read_evolving(spark, table_path)
+        new = ledger.pending(landing, "*.json*")
+        lines = ledger.lines(landing, new, "*.json*")
+        if lines is not None:
+            table.append(lines, landing.rsplit("/", 1)[-1], 0)
+            ledger.record(new)
+    return table.read()
 
 
 @register("evolved_fields", O.with_ctes(O.EV_CTE, body=f"""
@@ -177,5 +176,3 @@ def q_row_audit(spark, sf_dir):
          "AUTHORS": curate.authors_dim(ctx.articles), "GA4_EVENTS": ctx.events},
         {"GA4_EVENTS_no_pub": ("GA4_EVENTS", "publication")})
 
-
-__all__ = ["load_raw_tracking", "load_nested", "td"]

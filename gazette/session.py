@@ -61,8 +61,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the runtime-settable defaults that an existing session has not set itself."""
+    own = spark.conf.getAll
     for k, v in DEFAULT_CONF.items():
+        if k in own:
+            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on an already-running context
@@ -103,12 +106,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def materialize(df, name: str, partition_by: list | None = None):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 

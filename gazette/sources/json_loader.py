@@ -7,8 +7,9 @@
   target column is looked up and cast with ANSI casts (bad values raise).
 * ``load_variant``: schema-on-read load into one VARIANT column; a single
   known wrapper key is unwrapped.
-* ``new_files`` / ``record_files``: an input-file ledger so re-running a
-  directory-scoped load never ingests a file twice.
+* ``FileLedger``: which files were loaded, so re-running a directory-scoped
+  load never ingests a file twice.  ``load_once`` is its short form for small
+  folders, whose file names are handled as a list.
 
 Gzip input is transparent; gzip files are not splittable, so callers that
 read a few large ``.gz`` files repartition right after the read.
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import path_exists
+from ..session import materialize, path_exists
 
 
 def load_ndjson(spark: SparkSession, paths, schema: StructType, case_insensitive: bool = True,
@@ -118,6 +119,43 @@ def record_file_list(spark: SparkSession, files: list[str], ledger_path: str) ->
         record_files(spark.createDataFrame([(f,) for f in files], "_source_file string"), ledger_path)
 
 
+class FileLedger:
+    """Which files of landing folders were loaded, compared and kept in Spark.
+
+    The listing is a scan of file metadata: no file is opened, and no file names
+    come to the driver's Python.  New files are those that the ledger lacks
+    (anti-join).  Their lines are read by one scan of the folder: a bound on the
+    modification time, the oldest of the new files, prunes older files before
+    they are opened, and a semi-join keeps exactly the new ones.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _reader(self, fmt: str, glob: str | None):
+        r = self.spark.read.format(fmt).option("recursiveFileLookup", "true")
+        return r.option("pathGlobFilter", glob) if glob else r
+
+    def pending(self, folder: str, glob: str | None = None) -> DataFrame:
+        """``(_source_file, _modified)`` of the files under ``folder`` not loaded yet, as a written table."""
+        found = self._reader("binaryFile", glob).load(folder).select(
+            F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_modification_time").alias("_modified"))
+        return materialize(new_files(self.spark, found, self.path), "pending-files")
+
+    def lines(self, folder: str, pending: DataFrame, glob: str | None = None) -> DataFrame | None:
+        """``(value, _source_file)`` of all lines of the pending files; None if there are none."""
+        oldest = pending.agg(F.min("_modified")).first()[0]
+        if oldest is None:
+            return None
+        rows = self._reader("text", glob).load(folder).where(F.col("_metadata.file_modification_time") >= F.lit(oldest))
+        return (rows.select("value", F.col("_metadata.file_path").alias("_source_file"))
+                .join(pending.select("_source_file"), "_source_file", "left_semi").select("value", "_source_file"))
+
+    def record(self, pending: DataFrame) -> None:
+        """Note the files as loaded; called once their rows are written."""
+        record_files(pending, self.path)
+
+
 def infer_schema(spark: SparkSession, paths, sampling_ratio: float = 1.0) -> StructType:
     """JSON schema inference with lower-cased, de-duplicated field names.
 

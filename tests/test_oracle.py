@@ -11,7 +11,6 @@ from conftest import SMOKE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"churn_model_scores", "churn_model_at_risk", "feature_importance", "churn_model_report"}
 
 
 def norm(v):
@@ -52,6 +51,6 @@ def test_registry_shape(spark):
     assert E.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SMOKE).count() > 0
