@@ -7,8 +7,10 @@
 2. Its whole words form a trie.  The Levenshtein automaton of a text's word is
    run through the trie, so all terms within the allowed distance come out of
    one walk.  Words met in clean labelled texts are never taken for
-   misspellings.  A word is walked only if it could match: of a term one edit
-   away the beginning or the ending is intact (two edits: a third of it).
+   misspellings.  Of a term one edit away the beginning or the ending is intact
+   (two edits: a third of it); an index of such parts tells which words can
+   match, and the walk follows only branches that lead to terms with a part of
+   the word.
 3. Every hit is weighed by the window around it: quotation marks on both sides
    or a reporting word before it speak for quotation, an address to a person
    for abuse.  The windows' sums, the share of the text and the number of
@@ -16,7 +18,8 @@
 4. Boosted lookup tables turn the features into a probability.
 
 Texts are read in place by vectorised steps; Python walks only candidates.  The
-lexicon is bounded by ``MOST_TERMS`` and the sample by ``FIT_ROWS``.
+sample is bounded by ``FIT_ROWS``, and the lexicon holds every term of it that
+passes the tests.
 """
 
 from __future__ import annotations
@@ -36,7 +39,6 @@ from .tokens import SLAB, Tokenizer, ascii_lower, marked
 
 FEATURES = ("abuse", "share", "window", "terms", "misspelled", "quoted", "log_words")
 THRESHOLD = 0.5
-MOST_TERMS = 2000
 FIT_ROWS = 10_000       # labelled texts to learn from
 STEM = (4, 8)           # characters of a stem
 LEAST_RATIO = 8.0       # of a term's rates in toxic and clean texts
@@ -74,22 +76,25 @@ def allowed(length: int) -> int:
 # --- the automaton -------------------------------------------------------
 
 def build_trie(terms: list[str]) -> dict:
-    """Nodes are dicts by character; the key ``""`` holds the term that ends there."""
-    root: dict = {}
-    for t in terms:
+    """Nodes are dicts by character; ``""`` holds the term that ends there, ``None`` a bit set of the terms below."""
+    root: dict = {None: 0}
+    for i, t in enumerate(terms):
         node = root
         for ch in t:
-            node = node.setdefault(ch, {})
+            node[None] |= 1 << i
+            node = node.setdefault(ch, {None: 0})
+        node[None] |= 1 << i
         node[""] = t
     return root
 
 
-def within(word: str, trie: dict, k: int) -> list[tuple[str, int]]:
+def within(word: str, trie: dict, k: int, only: int = -1) -> list[tuple[str, int]]:
     """Terms of ``trie`` within ``k`` edits of ``word``, with their distances.
 
     The Levenshtein automaton of the word and the trie are walked together.  Its
     states are pairs (characters of the word read, edits made), held as one bit
-    set of characters per number of edits; a branch ends when no state is left.
+    set of characters per number of edits; a branch ends when no state is left, or
+    when none of the terms in the bit set ``only`` lies below.
     """
     n, found = len(word), []
     masks: dict = {}
@@ -100,11 +105,15 @@ def within(word: str, trie: dict, k: int) -> list[tuple[str, int]]:
     while todo:
         node, state = todo.pop()
         for ch, below in node.items():
+            if ch is None:
+                continue
             if ch == "":
                 ends = next((e for e, bits in enumerate(state) if bits >> n & 1), None)
                 if ends is not None:
                     found.append((below, ends))
                 continue
+            if not below[None] & only:
+                continue
             mask = masks.get(ch, 0)
             new = [(state[0] & mask) << 1]
             for e in range(1, k + 1):  # read; extra term character; another character; skipped one
@@ -175,7 +184,7 @@ def learn_lexicon(fit: DataFrame) -> dict:
     near = counts.where((F.col("toxic_texts") >= LEAST_TEXTS) & (
         surprise(F.col("toxic_texts"), F.col("clean_texts"), share) >= LEAST_SURPRISE))
     near = near.withColumn("ratio", rate).where(F.col("ratio") >= LEAST_RATIO)
-    rows = near.orderBy(F.desc("toxic_texts"), F.desc("ratio"), "term", "stem").limit(4 * MOST_TERMS).collect()
+    rows = near.orderBy(F.desc("toxic_texts"), F.desc("ratio"), "term", "stem").collect()  # terms of a bounded sample
 
     def weight(toxic: float, clean: float) -> float:
         return float(np.log(((max(toxic, 0) + 0.1) / size[1][1]) / ((max(clean, 0) + 0.1) / size[0][1])))
@@ -190,10 +199,10 @@ def learn_lexicon(fit: DataFrame) -> dict:
         rest = r.toxic_texts - max([w.toxic_texts for w in inside], default=0)
         if rest >= max(LEAST_TEXTS, LEAST_SURPRISE / -np.log(share)) and weight(toxic, clean) >= np.log(LEAST_RATIO):
             stems[r.term] = weight(toxic, clean)
-    plain = {t: weight(r.toxic, r.clean) for t, r in list(words.items())[:MOST_TERMS]}
+    plain = {t: weight(r.toxic, r.clean) for t, r in words.items()}
     # the ratio weighs clean use: quoted terms are looked for misspelled too
     spelled = sorted(t for t in plain if allowed(len(t)))
-    lexicon = {"words": plain, "stems": dict(sorted(stems.items())[:MOST_TERMS]), "spelled": spelled, "known": []}
+    lexicon = {"words": plain, "stems": dict(sorted(stems.items())), "spelled": spelled, "known": []}
 
     def clean_near(batches):
         finder = Finder(lexicon)
@@ -210,10 +219,10 @@ def learn_lexicon(fit: DataFrame) -> dict:
     return lexicon | {"known": known}
 
 
-def near_terms(word: str, trie: dict) -> list[tuple[str, int]]:
+def near_terms(word: str, trie: dict, only: int = -1) -> list[tuple[str, int]]:
     """Terms that ``word`` misspells: within the edits allowed for the term, not equal."""
     k = allowed(len(word) + 1)
-    return [(t, d) for t, d in within(word, trie, k) if 0 < d <= allowed(len(t))] if k else []
+    return [(t, d) for t, d in within(word, trie, k, only) if 0 < d <= allowed(len(t))] if k else []
 
 
 # --- scoring -------------------------------------------------------------
@@ -226,11 +235,12 @@ class Finder:
         self.known = set(lexicon["known"])
         spelled = lexicon.get("spelled", [])
         self.trie = build_trie(spelled)
+        bits = {t: 1 << i for i, t in enumerate(spelled)}
         self.lengths = sorted({len(s) for s in self.stems})
         # a word of these bytes and this length may match: a term's first four bytes,
         # or for a misspelling one part intact of its edits + 1 parts
         self.heads, self.tails, self.middle = {}, {}, []
-        # the same parts whole, with their terms by length in characters of words that may hold them
+        # the same parts whole, with a bit set of their terms, by length in characters of words that may hold them
         self.parts: dict = {}
         for t in self.words:
             raw = t.encode()
@@ -250,7 +260,7 @@ class Finder:
                 for shift in {0} if a == 0 else range(-k, k + 1):
                     table = self.parts.setdefault((a + shift, b + shift), {})
                     for n in range(len(t) - k, len(t) + k + 1):
-                        table.setdefault((t[a:b], n), []).append(t)
+                        table[t[a:b], n] = table.get((t[a:b], n), 0) | bits[t]
         self.cache: dict = {}
 
     @staticmethod
@@ -261,15 +271,17 @@ class Finder:
         """Allow byte lengths ``low .. high`` (63 stands for all above) for words with ``raw``."""
         table = tables.setdefault(len(raw), np.zeros(1 << 16, np.uint64))
         bits = 0
-        for n in range(max(low, 0), min(high, 63) + 1):
+        for n in range(min(max(low, 0), 63), min(high, 63) + 1):
             bits |= 1 << n
         table[self._key(raw)] |= np.uint64(bits)
 
     def near(self, text: str) -> list[tuple[str, int]]:
-        """``near_terms`` of a word, walked only through terms of which it holds a part at its place."""
-        n = len(text)
-        terms = {t for (a, b), table in self.parts.items() if b <= n for t in table.get((text[a:b], n), ())}
-        return near_terms(text, build_trie(sorted(terms))) if terms else []
+        """``near_terms`` of a word: the trie walked along terms of which it holds a part at its place."""
+        n, terms = len(text), 0
+        for (a, b), table in self.parts.items():
+            if b <= n:
+                terms |= table.get((text[a:b], n), 0)
+        return near_terms(text, self.trie, terms) if terms else []
 
     def lookup(self, word: bytes) -> tuple[str, float, bool] | None:
         """``(term, weight, misspelled)`` of a word, if any."""
