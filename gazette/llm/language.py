@@ -202,9 +202,8 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     """``rows`` with ``language`` and ``posterior`` from all evidence, and ``letters``.
 
     ``languages`` are those that at least ``support`` rows declare, if not given;
-    ``language`` is one of them or ``OTHER``.  A row that fits none of them but
-    declares a rarer language keeps that one.  If no row declares a language,
-    ``language`` and ``posterior`` are NULL.
+    ``language`` is one of them or ``OTHER``.  If there are none, ``language``
+    and ``posterior`` are NULL.
 
     ``text``, ``declared`` and ``host`` name columns; names of the results take
     ``prefix``.  Missing evidence (NULL or unknown) is a factor of one.  With no
@@ -269,9 +268,6 @@ def fuse(rows: DataFrame, text: str, declared: str, host: str, html: bool = Fals
     df = df.withColumn(final, _softmax(F.col(final)))
     best = F.array_max(final)
     found = F.get(F.array(*[F.lit(x) for x in classes]), (F.array_position(final, best) - 1).cast("int"))
-    # a language that too few rows declare for a model of its own is taken at its word where no other one fits
-    own_word = F.col(f"`{declared}`")
-    found = F.when((found == OTHER) & own_word.isNotNull() & ~own_word.isin(*known), own_word).otherwise(found)
     if not known:  # nothing declared, nothing learned: the language is unknown, not another one
         found, best = F.lit(None).cast("string"), F.lit(None).cast("double")
     return df.select(*[f"`{c}`" for c in rows.columns], found.alias(lang), best.alias(post),
@@ -305,8 +301,10 @@ def identified(docs: DataFrame, languages=None, support: int = LEAST_SUPPORT) ->
 
     ``lang`` is the declared language and ``source`` the host.  Documents
     without letters, that fit no language better than ``OTHER``, or whose best
-    posterior is under ``LEAST_POSTERIOR``, go.  If no document declares a
-    language nothing can be learned, and all documents with letters stay.  NULL
+    posterior is under ``LEAST_POSTERIOR``, go.  A language that too few rows
+    declare for a model of its own is taken at its word: documents that declare
+    it and fit none of the others stay.  If no document declares a language
+    nothing can be learned, and all documents with letters stay.  NULL
     texts have no letters; NULL ``lang`` and ``source`` are missing evidence;
     very long texts are read whole; repeated rows are judged alike; an empty
     table stays empty.
@@ -314,7 +312,10 @@ def identified(docs: DataFrame, languages=None, support: int = LEAST_SUPPORT) ->
     lang, host = fresh(docs, "_declared"), fresh(docs, "_host")
     rows = docs.withColumns({lang: declared_language(F.col("lang").cast("string")),
                              host: F.lower(F.col("source").cast("string"))})
-    out = fuse(rows, "text", lang, host, prefix=fresh(rows, "_id_"), languages=languages, support=support)
+    known = declared_languages(rows.select(F.col(lang).alias("declared")), support) if languages is None else list(languages)
+    out = fuse(rows, "text", lang, host, prefix=fresh(rows, "_id_"), languages=known)
     found, _, letters = out.columns[-3:]
-    unknown = F.col(found).isNull() & (F.col(letters) > 0)
-    return out.where(_told(*out.columns[-3:]) | unknown).select(*[f"`{c}`" for c in docs.columns])
+    unknown = F.col(found).isNull()
+    rare = (F.col(found) == OTHER) & F.col(lang).isNotNull() & ~F.col(lang).isin(*known)
+    kept = _told(*out.columns[-3:]) | ((F.col(letters) > 0) & F.coalesce(unknown | rare, F.lit(False)))
+    return out.where(kept).select(*[f"`{c}`" for c in docs.columns])
