@@ -4,7 +4,8 @@
 the first 15 hex digits of ``md5(text)`` read as a non-negative 60-bit
 integer, modulo ``n``.  The text is ``cast(x as string)``, followed by
 ``':' || salt`` when a salt is given.  Portable across Spark and DuckDB, so
-derived dimensions are identical wherever they are recomputed.
+derived dimensions are identical wherever they are recomputed; the checks
+restate the rule in their own SQL.
 """
 
 from __future__ import annotations
@@ -33,16 +34,3 @@ def bucket(x, n: int, salt: str | None = None) -> Column:
 def pick(values: list, idx: Column) -> Column:
     """0-based lookup into a literal list (``GET(ARRAY_CONSTRUCT(...), i)``)."""
     return F.get(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
-
-
-def sql_bucket(expr: str, n: int, salt: str | None = None) -> str:
-    """The same bucket as DuckDB SQL text (used by the oracle)."""
-    txt = f"CAST({expr} AS VARCHAR)"
-    if salt is not None:
-        txt = f"({txt} || ':{salt}')"
-    return f"(('0x' || substr(md5({txt}), 1, 15))::BIGINT % {n})"
-
-
-def sql_pick(values: list, idx_sql: str) -> str:
-    lits = ", ".join("NULL" if v is None else "'" + str(v).replace("'", "''") + "'" for v in values)
-    return f"([{lits}])[({idx_sql}) + 1]"

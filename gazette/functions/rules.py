@@ -65,12 +65,6 @@ def churn_rule_score_sql(days: str, reads: str, bounces: str, dbl: str = "") ->
             f" * {lit(CHURN_W_BOUNCES)}")
 
 
-def engagement_segment_sql(reads: str, days: str) -> str:
-    return (f"CASE WHEN {reads} >= {LOYAL_MIN_READS} AND {days} <= {LOYAL_MAX_DAYS} THEN 'loyal'"
-            f" WHEN {reads} >= {REGULAR_MIN_READS} THEN 'regular'"
-            f" WHEN {days} >= {DORMANT_MIN_DAYS} THEN 'dormant' ELSE 'casual' END")
-
-
 def engagement_segment(articles_read_30d, days_since_login) -> Column:
     """Ordered rules: loyal, regular (tested before dormant), dormant, casual."""
     a, d = _c(articles_read_30d), _c(days_since_login)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.rules import churn_rule_score, churn_rule_score_sql, engagement_segment_sql
+from ..functions.rules import churn_rule_score
 from ..functions.sql_functions import register_sql_functions, register_tree_function
 from ..operators import churn, ranking
 from ..session import materialize, scratch_path
@@ -29,12 +29,12 @@ features AS (
   FROM subscribers
 )"""
 
-SCORE_EXPR = churn_rule_score_sql("days_since_login", "articles_read_30d", "paywall_bounces_30d")
+SCORE_EXPR = O.churn_score("days_since_login", "articles_read_30d", "paywall_bounces_30d")
 
 SCORES_CTE = f"""
 scores AS (
   SELECT user_id, churned, {SCORE_EXPR} AS raw_score,
-         {engagement_segment_sql("articles_read_30d", "days_since_login")} AS engagement_segment
+         {O.segment("articles_read_30d", "days_since_login")} AS engagement_segment
   FROM features
 )"""
 
@@ -262,7 +262,7 @@ def q_feature_auc(spark, sf_dir):
 def _permutation_sql() -> str:
     def one(c: str) -> str:
         moved = {x: ("moved" if x == c else x) for x in churn.FEATURES}
-        score = churn_rule_score_sql(moved["days_since_login"], moved["articles_read_30d"], moved["paywall_bounces_30d"])
+        score = O.churn_score(moved["days_since_login"], moved["articles_read_30d"], moved["paywall_bounces_30d"])
         return f"""
 SELECT '{c}' AS feature, avg((churned - ({score})) ** 2) AS permuted_loss FROM (
   SELECT *, COALESCE(lead({c}) OVER o, first_value({c}) OVER o) AS moved FROM (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit, curate, evolve, nested
-from ..session import materialize, scratch_path
+from ..session import path_exists, scratch_path
 from ..sources import json_loader, staging
 from ..sources.raw_table import RawTable
 from ..sources.schemas import EVOLVED_FIELDS, SUBSCRIBER_SCHEMA, TRACKING_SCHEMA
@@ -100,12 +100,20 @@ def q_field_presence(spark, sf_dir):
     return evolve.field_presence(labelled, "batch")
 
 
+_NESTED: dict = {}  # (application, folder) -> path of its RAW VARIANT table
+
+
 def load_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage nested documents, load them as one VARIANT column (unwrapped)
-    and store the RAW table as Parquet with the hot leaves shredded."""
-    path = staging.stage_nested(spark, sf_dir)
-    v = json_loader.load_variant(spark, path, "raw_event", unwrap_key="raw_event")
-    return materialize(nested.with_hot_leaves(v), "raw-events-variant")
+    """Nested documents loaded as one VARIANT column (unwrapped) into a RAW
+    Parquet table with the hot leaves shredded, once per application and folder;
+    queries read the stored table."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _NESTED or not path_exists(spark, _NESTED[key]):
+        path = staging.stage_nested(spark, sf_dir)
+        v = json_loader.load_variant(spark, path, "raw_event", unwrap_key="raw_event")
+        _NESTED[key] = scratch_path(spark, "raw-events-variant")
+        nested.with_hot_leaves(v).write.mode("overwrite").parquet(_NESTED[key])
+    return spark.read.parquet(_NESTED[key])
 
 
 @register("nested_projection", O.with_ctes(O.EV_CTE, body="""

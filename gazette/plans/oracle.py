@@ -7,15 +7,36 @@ against a second engine.  Shared CTEs are composed as text.
 
 from __future__ import annotations
 
-from ..functions.buckets import sql_bucket, sql_pick  # noqa: F401  (re-exported)
 from ..functions.constants import (
     AUTHORS, BROWSERS, COUNTRIES, DEVICES, FR_CITIES, MEDIUMS, OS_LIST, PUBLICATIONS,
     SECTIONS, SOURCES, CONSENT_STATES, AB_VARIANTS,
 )
-from ..functions.rules import churn_rule_score_sql, engagement_segment_sql
 from ..sources import testdata as td
 
 
+def sql_bucket(expr: str, n: int, salt: str = "") -> str:
+    """Hash bucket: 15 hex digits of the MD5 of the key's text (and ``:salt``), as a number modulo ``n``."""
+    text = f"concat({expr}, ':{salt}')" if salt else f"CAST({expr} AS VARCHAR)"
+    return f"CASE WHEN ({expr}) IS NOT NULL THEN CAST(concat('0x', left(md5({text}), 15)) AS BIGINT) % {n} END"
+
+
+def sql_pick(values: list, index: str) -> str:
+    """The value at a 0-based place of a list."""
+    quoted = ("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"list_extract([{', '.join(quoted)}], 1 + ({index}))"
+
+
+def churn_score(days: str, reads: str, bounces: str) -> str:
+    """M11 in words of its definition: 60 % recency over 90 days, 25 % reading missed of 60, 15 % bounces of 30."""
+    return (f"0.6::DOUBLE * ({days} / 90::DOUBLE) + 0.25::DOUBLE * (1 - if({reads} < 60, {reads}, 60) / 60::DOUBLE)"
+            f" + 0.15::DOUBLE * (if({bounces} < 30, {bounces}, 30) / 30::DOUBLE)")
+
+
+def segment(reads: str, days: str) -> str:
+    """The first rule that holds of loyal, regular, dormant, casual."""
+    return (f"if({reads} >= 60 AND {days} <= 7, 'loyal', if({reads} >= 20, 'regular', if({days} >= 45, 'dormant', 'casual')))")
+
+
 def _event_name_sql(col: str) -> str:
     whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in td.EVENT_NAME_MAP)
     return f"CASE {col} {whens} ELSE '{td.EVENT_NAME_DEFAULT}' END"
@@ -100,8 +121,8 @@ subscribers AS (
     30 + (k * 13) % 1171 AS avg_session_sec,
     bounces AS paywall_bounces_30d,
     c_acctbal AS ltv_estimated_eur,
-    {engagement_segment_sql('reads', 'dsl')} AS segment,
-    ({churn_rule_score_sql('dsl', 'reads', 'bounces')}) > 0.5 AS churn_flag
+    {segment('reads', 'dsl')} AS segment,
+    ({churn_score('dsl', 'reads', 'bounces')}) > 0.5 AS churn_flag
   FROM subs_base
 )"""
 

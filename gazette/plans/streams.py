@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.buckets import sql_pick
 from ..functions.constants import PUBLICATIONS, SECTIONS
 from ..operators import cdc
 from ..session import input_bytes, scratch_path
@@ -32,8 +31,8 @@ CDC_COLUMNS = ["article_id", "title", "section", "publication", "published_at",
 CHANGE_FEED_CTE = f"""
 feed AS (
   SELECT o_custkey AS article_id, 'Article ' || CAST(o_orderkey AS VARCHAR) AS title,
-         {sql_pick(SECTIONS, 'o_orderkey % 9')} AS section,
-         {sql_pick(PUBLICATIONS, 'o_orderkey % 5')} AS publication,
+         {O.sql_pick(SECTIONS, 'o_orderkey % 9')} AS section,
+         {O.sql_pick(PUBLICATIONS, 'o_orderkey % 5')} AS publication,
          o_orderdate AS published_at, 300 + CAST(floor(o_totalprice) AS BIGINT) % 2200 AS word_count,
          CASE o_orderstatus WHEN 'P' THEN 'I' WHEN 'O' THEN 'U' ELSE 'D' END AS op,
          o_orderdate AS change_ts, o_orderkey AS change_seq

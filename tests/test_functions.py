@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from gazette.functions import boundary_diff, bucket, pct_or_null, pct_or_zero, tier
-from gazette.functions.buckets import sql_bucket
+from gazette.plans.oracle import sql_bucket
 from gazette.functions.rules import churn_rule_score, engagement_segment, risk_segment
 
 
