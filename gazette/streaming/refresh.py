@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import DEEP_READ_SCROLL_PCT
 from ..operators import aggregates
 from ..session import path_exists, scratch_path
+from ..sources.versions import Versions
 
 ARTICLE_BUCKETS = 32
 
@@ -193,8 +194,11 @@ class PerformanceIncremental:
       engagement sum and count, deep reads, shares, paywall hits,
       conversions), each version = previous committed version + the batch
       delta; a commit marker makes the version visible.
-    * ``out`` -- the published table: dimension LEFT JOIN totals, rewritten
-      per batch (one row per article).
+    * the published table: dimension LEFT JOIN totals (one row per article), a
+      folder of its own per publication.  A manifest names the current one and
+      the current dimension: readers see whole tables and keep the one they
+      opened, and dimension edits outlive the driver.  The last two
+      publications and totals stay, older ones are removed.
 
     Per batch the work is O(batch + pairs of touched buckets + articles), not
     O(history); late events are simply added; exact distinct readers.
@@ -227,6 +231,38 @@ class PerformanceIncremental:
         done = [b for b in self._committed(spark) if before is None or b < before]
         return spark.read.parquet(f"{self.root}/totals/v={done[-1]}") if done else None
 
+    # -- publication -------------------------------------------------------
+    def _published(self, spark) -> Versions:
+        return Versions(spark, f"{self.root}/published")
+
+    def _publish(self, spark, out: DataFrame, articles: DataFrame | None = None) -> None:
+        """Write ``out`` (and a changed dimension) aside, then name them in the next manifest."""
+        log = self._published(spark)
+        held = log.load() or {"version": -1, "articles": None}
+        number = held["version"] + 1
+        names = {"out": f"out/v={number}", "articles": held["articles"]}
+        if articles is not None:
+            names["articles"] = f"articles/v={number}"
+            articles.write.mode("overwrite").parquet(f"{self.root}/{names['articles']}")
+            out = out(spark.read.parquet(f"{self.root}/{names['articles']}"))
+        out.write.mode("overwrite").parquet(f"{self.root}/{names['out']}")
+        log.publish(number, names)
+        old, live = log.numbers()[:-2], [log.load(n) for n in log.numbers()[-2:]]
+        kept = {m[k] for m in live for k in ("out", "articles")}
+        for n in old:
+            for path in {log.load(n)[k] for k in ("out", "articles")} - kept - {None}:
+                p, fs = self._fs(spark, f"{self.root}/{path}")
+                fs.delete(p, True)
+        log.drop(old)
+        for batch in self._committed(spark)[:-2]:
+            p, fs = self._fs(spark, f"{self.root}/totals/v={batch}")
+            fs.delete(p, True)
+
+    def dimension(self, spark) -> DataFrame:
+        """The stored article dimension; the one given at first until something is published."""
+        held = self._published(spark).load()
+        return spark.read.parquet(f"{self.root}/{held['articles']}") if held else self.articles
+
     # -- the handler -------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -273,18 +309,23 @@ class PerformanceIncremental:
     def apply_dimension_change(self, spark, changed: DataFrame) -> None:
         """CMS edit of article rows: swap them into the dimension and republish
         (the totals are keyed by id, so no event history is touched)."""
-        cols = self.articles.columns
-        keep = self.articles.join(changed.select("article_id"), "article_id", "left_anti")
-        self.articles = keep.unionByName(changed.select(*cols))
-        self.publish(spark)
+        held = self.dimension(spark)
+        keep = held.join(changed.select("article_id"), "article_id", "left_anti").select(*held.columns)
+        self._publish(spark, lambda arts: self._table(spark, arts), keep.unionByName(changed.select(*held.columns)))
 
     def publish(self, spark) -> None:
+        if self._published(spark).numbers():
+            self._publish(spark, self._table(spark, self.dimension(spark)))
+        else:  # the first time the dimension is stored too
+            self._publish(spark, lambda arts: self._table(spark, arts), self.articles)
+
+    def _table(self, spark, articles: DataFrame) -> DataFrame:
         from ..functions.constants import PERFORMANCE_TIERS
         from ..functions.rules import tier as tier_expr
 
         tot = self._totals(spark)
-        arts = self.articles.select("article_id", "title", "author", "section", "publication",
-                                    "published_at", "paywall_type")
+        arts = articles.select("article_id", "title", "author", "section", "publication",
+                               "published_at", "paywall_type")
         zero = F.lit(0).cast("long")
         if tot is None:
             j = arts
@@ -293,7 +334,7 @@ class PerformanceIncremental:
         else:
             j = arts.join(tot, "article_id", "left")
         readers = F.coalesce("readers", zero)
-        out = j.select(
+        return j.select(
             "article_id", "title", "author", "section", "publication", "published_at", "paywall_type",
             readers.alias("unique_readers"),
             F.round(F.col("eng_sum") / F.nullif(F.col("eng_cnt"), zero), 1).alias("avg_read_time_sec"),
@@ -302,10 +343,9 @@ class PerformanceIncremental:
             F.coalesce("paywall_hits", zero).alias("paywall_hits"),
             F.coalesce("conversions", zero).alias("conversions"),
             tier_expr(readers, self.tiers or PERFORMANCE_TIERS, False).alias("performance_tier"))
-        out.write.mode("overwrite").parquet(f"{self.root}/out")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/out")
+        return spark.read.parquet(f"{self.root}/{self._published(spark).load()['out']}")
 
 
 class EngagementIncremental(PerformanceIncremental):
@@ -389,4 +429,4 @@ class EngagementIncremental(PerformanceIncremental):
             .alias("avg_engagement_sec"),
             "paywall_hits", "subscribe_clicks",
             pct_or_null("subscribe_clicks", "paywall_hits").alias("conversion_rate_pct"))
-        out.write.mode("overwrite").parquet(f"{self.root}/out")
+        self._publish(spark, out)

@@ -116,3 +116,23 @@ def test_incremental_engagement_replay_late_and_null_groups(spark):
     h(odd.where(F.pmod("event_id", F.lit(3)) == 0), 1)        # replay
     want = aggregates.reader_engagement(odd)
     assert rows(h.read(spark).select(*want.columns)) == rows(want)
+
+
+def test_incremental_publication_keeps_open_readers_and_edits(spark):
+    import glob
+
+    ctx = Context(spark, SMOKE)
+    root = scratch_path(spark, "t-inc-pub")
+    h = refresh.PerformanceIncremental(root, ctx.articles)
+    h.publish(spark)
+    h(ctx.events.where(F.pmod("event_id", F.lit(3)) == 0), 0)
+    before = h.read(spark)
+    want = rows(before)
+    edited = ctx.articles.orderBy("article_id").limit(2).withColumn("title", F.lit("Edited"))
+    h.apply_dimension_change(spark, edited)
+    assert rows(before) == want                              # the open reader's table is whole
+    again = refresh.PerformanceIncremental(root, None)       # another driver knows the edit
+    again(ctx.events.where(F.pmod("event_id", F.lit(3)) == 1), 1)
+    assert again.read(spark).where("title = 'Edited'").count() == 2
+    assert again.read(spark).count() == ctx.articles.count()
+    assert len(glob.glob(f"{root}/out/v=*")) == 2 and len(glob.glob(f"{root}/articles/v=*")) == 1
