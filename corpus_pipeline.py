@@ -57,7 +57,7 @@ STAGES = [
     ("shard", shard),
 ]
 
-# SimHash components are not expressible in SQL: tests compare with a brute-force version.
+# SimHash components are not expressible in SQL: tests check the stages by themselves and their chain.
 ORACLE_SQL = None
 
 
