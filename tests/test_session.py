@@ -2,6 +2,7 @@
 
 from conftest import SMOKE
 from gazette import session as S
+from pyspark.sql import functions as F
 
 
 def test_shuffle_partitions_sizing_keeps_explicit_setting(spark, monkeypatch):
@@ -39,3 +40,23 @@ def test_checkpoint_root_reads_session_setting(spark):
     assert p.startswith(root + "/x-")
     m = S.materialize(spark.range(5), "t-mat")
     assert m.count() == 5 and root in m.inputFiles()[0]
+
+
+def test_rebalance_sees_one_row_group_behind_many_splits(spark, tmp_path):
+    path = str(tmp_path / "one.parquet")
+    spark.range(200_000).selectExpr("id", "md5(cast(id AS string)) AS v").coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        out = S.rebalance_small_scan(df, path)
+        loads = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(loads) >= spark.sparkContext.defaultParallelism and max(loads) < 100_000 and sum(loads) == 200_000
+        above = S.rebalance_small_scan(df, path, max_bytes=1 << 20)       # uneven: shuffled at any size
+        assert above is not df and above.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
