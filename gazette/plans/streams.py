@@ -85,9 +85,11 @@ def _replayed(spark, feed, name, key, order, by, volume, files=4):
     landing = scratch_path(spark, f"{name}-landing")
     for i in range(files):
         feed.where(F.pmod(F.xxhash64(by), F.lit(files)) == i).write.mode("append").parquet(landing)
+    # as many micro-batches as pieces, whatever the number of files: each one rewrites the buckets it touches
+    per_batch = -(-len(spark.read.schema(feed.schema).parquet(landing).inputFiles()) // files)
     store = cdc.SnapshotStore(spark, scratch_path(spark, f"{name}-snapshot"), buckets=cdc.buckets_for(volume))
     return st_ingest.apply_change_stream(spark, landing, feed.schema, store, key, order,
-                                         scratch_path(spark, f"{name}-ckpt"), max_files=4).current()
+                                         scratch_path(spark, f"{name}-ckpt"), max_files=per_batch).current()
 
 
 @register("cdc_calendar_stream", CALENDAR_SQL)

@@ -136,3 +136,18 @@ def test_incremental_publication_keeps_open_readers_and_edits(spark):
     assert again.read(spark).where("title = 'Edited'").count() == 2
     assert again.read(spark).count() == ctx.articles.count()
     assert len(glob.glob(f"{root}/out/v=*")) == 2 and len(glob.glob(f"{root}/articles/v=*")) == 1
+
+
+def test_replay_takes_as_many_batches_as_pieces(spark, monkeypatch):
+    from gazette.operators import cdc
+    from gazette.plans import streams
+
+    applied = []
+    apply = cdc.SnapshotStore.apply
+    monkeypatch.setattr(cdc.SnapshotStore, "apply",
+                        lambda self, batch, batch_id, *a: (applied.append(batch_id), apply(self, batch, batch_id, *a))[1])
+    feed = spark.range(400).selectExpr("id % 40 AS k", "id AS seq", "if(id % 7 = 0, 'D', 'U') AS op").repartition(12)
+    got = streams._replayed(spark, feed, "replay-test", ["k"], ["seq"], "seq", 1)
+    assert len(applied) == 4                                            # not one for every four files
+    last = {i % 40: i for i in range(400)}
+    assert sorted((r.k, r.seq) for r in got.collect()) == sorted((k, i) for k, i in last.items() if i % 7)
