@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import tempfile
 
 from pyspark.sql import functions as F
@@ -94,3 +95,20 @@ def test_merge_changes_equals_state_of_union(spark):
         rows(cdc.current_state(a.unionByName(b), key, order))
     again = cdc.merge_changes(snap, b, key, order)          # idempotent
     assert rows(again) == rows(snap)
+
+
+def test_roc_auc_of_many_scores_is_exact(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from gazette.operators import churn, ranking
+
+    class Scores:
+        def transform(self, df):
+            return df.withColumn("rawPrediction", array_to_vector(F.array(-F.col("s"), F.col("s"))))
+
+    rows = spark.range(6000).selectExpr(
+        "id AS user_id", "cast(pmod(xxhash64(id), 100003) AS double) AS s", "'test' AS split",
+        "cast(pmod(xxhash64(id), 100003) + pmod(hash(id), 150000) > 120000 AS int) AS churned",
+        *[f"cast(0 AS bigint) AS {c}" for c in churn.FEATURES])
+    exact = ranking.roc_auc(rows.withColumn("all", F.lit(1)), "s", "churned", "all").first()["auc"]
+    assert 0.5 < exact < 1 and abs(churn.roc_auc(Scores(), rows) - exact) < 1e-9
