@@ -7,7 +7,7 @@
   fixed formula (M11); NULL inputs count as 0; the probability is rounded
   to 4 places and the segment uses the unrounded value.
 * ``predict_churn(...)`` -- the same arguments, scored by trained trees (M9):
-  the ensemble is held as flat node arrays and folded per row.
+  the ensemble is written out as nested conditions.
 * ``mask_email / mask_name / mask_phone(value)`` -- the masking policies
   (G1-G3) for the role bound when the functions are registered (exact match),
   so a query cannot name a role of its own.
@@ -48,28 +48,28 @@ def register_tree_function(spark: SparkSession, nodes: dict, name: str = "predic
                            subscription_code: int = SUBSCRIPTION_CODE_DEFAULT) -> None:
     """A table function over trained trees: ``FROM t, LATERAL predict_churn(...)``.
 
-    ``nodes`` are the arrays of ``operators.churn.tree_nodes``.  A fold over the
-    trees adds up the leaves; the leaf of a tree is found by a fold over its
-    depth.  Arguments are those of ``predict_churn_rule``; the subscription code
-    is fixed, as the serving function fixes it.  NULL arguments count as 0; the
-    probability is rounded to 4 places, the segment uses the unrounded value.
+    ``nodes`` are the arrays of ``operators.churn.tree_nodes``.  Each tree is
+    written as nested conditions, so a row costs the comparisons on its paths
+    and carries no node arrays; the leaves, times their tree's weight, are added
+    up in the order of the trees.  Arguments are those of
+    ``predict_churn_rule``; the subscription code is fixed, as the serving
+    function fixes it.  NULL arguments count as 0; the probability is rounded to
+    4 places, the segment uses the unrounded value.
     """
-    def array(values, kind):
-        return f"array({', '.join(f'{v!r}{kind}' for v in values)})"
+    def branch(n: int) -> str:
+        if nodes["feature"][n] < 0:
+            return f"{nodes['value'][n]!r}D"
+        return (f"if(x{nodes['feature'][n]} <= {nodes['threshold'][n]!r}D, {branch(nodes['left'][n])}, "
+                f"{branch(nodes['right'][n])})")
 
+    leaves = ", ".join(f"{w!r}D * {branch(root)}" for w, root in zip(nodes["weight"], nodes["root"]))
     spark.sql(f"""
 CREATE OR REPLACE TEMPORARY FUNCTION {name}(
   days_since_last_login BIGINT, articles_read_30d BIGINT, subscription_months BIGINT,
   avg_session_sec DOUBLE, paywall_bounces_30d BIGINT)
 RETURNS TABLE (churn_probability DOUBLE, risk_segment STRING)
 RETURN SELECT round(p, 4), CASE WHEN p > {RISK_HIGH}D THEN 'HIGH' WHEN p > {RISK_MEDIUM}D THEN 'MEDIUM' ELSE 'LOW' END
-FROM (SELECT 1D / (1D + exp(-2D * aggregate(sequence(0, {len(nodes["root"]) - 1}), 0D, (total, t) -> total + weight[t] * value[
-        aggregate(sequence(1, {max(1, nodes["depth"])}), root[t], (n, level) ->
-          if(feature[n] < 0, n, if(x[feature[n]] <= threshold[n], `left`[n], `right`[n])))]))) AS p
-      FROM (SELECT array(CAST(coalesce(days_since_last_login, 0) AS DOUBLE), CAST(coalesce(articles_read_30d, 0) AS DOUBLE),
-                         CAST(coalesce(subscription_months, 0) AS DOUBLE), coalesce(avg_session_sec, 0D),
-                         CAST(coalesce(paywall_bounces_30d, 0) AS DOUBLE), {float(subscription_code)}D) AS x,
-                   {array(nodes["root"], "")} AS root, {array(nodes["weight"], "D")} AS weight,
-                   {array(nodes["feature"], "")} AS feature, {array(nodes["threshold"], "D")} AS threshold,
-                   {array(nodes["left"], "")} AS `left`, {array(nodes["right"], "")} AS `right`,
-                   {array(nodes["value"], "D")} AS value))""")
+FROM (SELECT 1D / (1D + exp(-2D * aggregate(array({leaves}), 0D, (total, leaf) -> total + leaf))) AS p
+      FROM (SELECT CAST(coalesce(days_since_last_login, 0) AS DOUBLE) AS x0, CAST(coalesce(articles_read_30d, 0) AS DOUBLE) AS x1,
+                   CAST(coalesce(subscription_months, 0) AS DOUBLE) AS x2, coalesce(avg_session_sec, 0D) AS x3,
+                   CAST(coalesce(paywall_bounces_30d, 0) AS DOUBLE) AS x4, {float(subscription_code)}D AS x5))""")

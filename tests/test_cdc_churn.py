@@ -112,3 +112,18 @@ def test_roc_auc_of_many_scores_is_exact(spark):
         *[f"cast(0 AS bigint) AS {c}" for c in churn.FEATURES])
     exact = ranking.roc_auc(rows.withColumn("all", F.lit(1)), "s", "churned", "all").first()["auc"]
     assert 0.5 < exact < 1 and abs(churn.roc_auc(Scores(), rows) - exact) < 1e-9
+
+
+def test_tree_function_carries_no_node_arrays(spark):
+    from gazette.functions.sql_functions import register_tree_function
+
+    nodes = {"feature": [0, -1, 4, -1, -1], "threshold": [3.5, 0.0, 1.0, 0.0, 0.0], "left": [1, -1, 3, -1, -1],
+             "right": [2, -1, 4, -1, -1], "value": [0.0, -1.0, 0.0, 0.25, 2.0], "root": [0], "weight": [0.5], "depth": 2}
+    register_tree_function(spark, nodes, "tree_tiny")
+    df = spark.sql("""SELECT a, b, t.churn_probability AS p FROM VALUES (3L, 9L), (4L, 1L), (4L, 2L), (NULL, 0L) v(a, b),
+                      LATERAL tree_tiny(a, 0L, 0L, 0D, b) t""")
+    value = {(3, 9): -0.5, (4, 1): 0.125, (4, 2): 1.0, (None, 0): -0.5}
+    assert {(r.a, r.b): r.p for r in df.collect()} == {
+        k: round(1 / (1 + math.exp(-2 * v)), 4) for k, v in value.items()}
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("lambdafunction(") == 2                           # of the one sum; no walk over arrays
