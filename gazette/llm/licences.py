@@ -5,7 +5,9 @@ to lower-case words and compared with each template by the Dice coefficient of
 the two bigram bags, ``2 * common / (bigrams of the unit + of the template)``.
 Since ``common`` is at most the smaller count, the two counts alone bound the
 coefficient; templates that fail the bound are pruned before any bigram is
-built, so long texts cost one word count.
+built, so long texts cost one word count.  A match also needs two thirds of a
+template's bigrams, so a unit without any of a few key words matches nothing:
+such lines and texts are passed over before they are normalised.
 
 Only DataFrame operations, all inside the row: nothing is shuffled.
 """
@@ -15,6 +17,8 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +69,28 @@ def template_words(text: str) -> list[str]:
     return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
 
 
+def key_words(templates) -> list[str]:
+    """Words of which every unit that matches a template holds at least one.
+
+    A match needs ``common >= TENTHS * m / (20 - TENTHS)`` of a template's ``m``
+    bigrams, so it cannot miss a set of more than the rest.  Words are taken, long
+    ones first, until in every template the bigrams that hold one are such a set.
+    """
+    bags = [list(zip(w, w[1:])) for w in (template_words(t) for _, t in templates) if len(w) > 1]
+    open_ = [(b, len(b) + TENTHS * len(b) // (TENTHS - 20) + 1) for b in bags]  # m less its share, and one more
+    words, taken = sorted({w for b in bags for pair in b for w in pair}), []
+
+    def gain(word):
+        return sum(min(need, sum(word in pair for pair in bag)) for bag, need in open_)
+
+    while open_:
+        best = max(words, key=lambda w: (gain(w) > 0 and len(w) > 4, gain(w), len(w), w))
+        taken.append(best)
+        open_ = [([p for p in bag if best not in p], need - sum(best in p for p in bag)) for bag, need in open_]
+        open_ = [(bag, need) for bag, need in open_ if need > 0]
+    return taken
+
+
 def _templates(templates) -> Column:
     rows = []
     for name, text in templates:
@@ -94,10 +120,18 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """
     lines, units, known = (fresh(docs, x) for x in ("_lines", "_units", "_templates"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keys = key_words(templates)
+
+    def may_match(unit):
+        low = F.lower(unit)
+        return reduce(or_, [F.contains(low, F.lit(w)) for w in keys], F.lit(False))
+
     df = docs.select("doc_id", F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
                      .alias(lines), text.alias(units))
-    df = df.withColumn(units, F.transform(F.col(lines), _words))
-    df = df.withColumn(units, F.when(F.size(units) > 1, F.concat(units, F.array(F.flatten(units)))).otherwise(F.col(units)))
+    # the whole text's words are those of its lines in a row: a line's end is no part of a word
+    some = F.transform(F.filter(F.col(lines), may_match), _words)
+    some = F.when(F.size(lines) > 1, F.concat(some, F.array(_words(F.col(units))))).otherwise(some)
+    df = df.withColumn(units, F.when(may_match(F.col(units)), some).otherwise(F.array().cast("array<array<string>>")))
     df = df.withColumn(known, _templates(templates))
     # the bound over all templates first: most lines and nearly all whole texts end here
     counts = [len(template_words(t)) - 1 for _, t in templates]
